@@ -156,7 +156,7 @@ def topk_desc(i: Inputs) -> DataFrame:
 @query
 def join_inner_using(i: Inputs) -> DataFrame:
     population = households.tile_population(i.pop_points())
-    return rounded(i.tile_metric().join(population, "tile"), 4)
+    return rounded(i.tile_metric().join(population, "tile"), 6)
 
 
 @query
@@ -169,7 +169,7 @@ def join_inner_expr(i: Inputs) -> DataFrame:
 @query
 def join_left_missing(i: Inputs) -> DataFrame:
     population = households.tile_population(i.pop_points())
-    return rounded(i.tile_metric().join(population, "tile", "left"), 4)
+    return rounded(i.tile_metric().join(population, "tile", "left"), 6)
 
 
 @query
@@ -197,7 +197,7 @@ def join_band(i: Inputs) -> DataFrame:
     tiles = _tiles_with_gaps(i, ZOOM)
     missing = tiles.filter("pop IS NULL").select("tile", "adm1", "adm2", "adm3", "floor_area")
     known = tiles.filter("pop IS NOT NULL")
-    return rounded(band.band_join(missing, known, AREA, "floor_area", "pop"), 4)
+    return rounded(band.band_join(missing, known, AREA, "floor_area", "pop"), 6)
 
 
 # --- aggregates
@@ -422,12 +422,12 @@ def attach_categories(i: Inputs) -> DataFrame:
 
 @query
 def tile_population(i: Inputs) -> DataFrame:
-    return rounded(households.tile_population(i.pop_points()), 4)
+    return rounded(households.tile_population(i.pop_points()), 6)
 
 
 @query
 def impute_cascade(i: Inputs) -> DataFrame:
-    return rounded(band.impute_cascade(_tiles_with_gaps(i, 16), stage="stage"), 6)
+    return rounded(band.impute_cascade(_tiles_with_gaps(i, 16), stage="stage"), 8)
 
 
 @query
@@ -540,7 +540,7 @@ def override_values(i: Inputs) -> DataFrame:
 
 @query
 def district_totals(i: Inputs) -> DataFrame:
-    return rounded(households.district_totals(i.estimates().drop(*AREA), i.tile_map()), 4)
+    return rounded(households.district_totals(i.estimates().drop(*AREA), i.tile_map()), 6)
 
 
 @query
