@@ -8,11 +8,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tileframe.functions.cells import tile_bounds, tile_centroid
-from tileframe.operators.spatial_join import join_boxes, join_points
+from tileframe.operators.cover import Cover, cover_polygons
+from tileframe.operators.spatial_join import join_boxes, join_points, largest_side
+from tileframe.sources.workspace import stored
 
 
-def tiles_by_centroid(
+def cover_areas(
     tiles: DataFrame, areas: DataFrame, columns: Sequence[str], tile: str = "tile", **options
+) -> Cover:
+    """Cover of the areas with cells no smaller than the tiles, to use in several of the steps below."""
+    side = largest_side(tiles, tile_bounds(F.col(tile)))
+    return cover_polygons(areas, columns, coarsest=side, **options)
+
+
+def tiles_by_centroid(
+    tiles: DataFrame, areas: DataFrame | Cover, columns: Sequence[str], tile: str = "tile", **options
 ) -> DataFrame:
     """Areas that hold a tile's centroid strictly inside: (tile, area columns)."""
     middle = tile_centroid(F.col(tile))
@@ -22,7 +32,8 @@ def tiles_by_centroid(
 
 
 def tile_overlaps(
-    tiles: DataFrame, areas: DataFrame, columns: Sequence[str], tile: str = "tile", area: str | None = None, **options
+    tiles: DataFrame, areas: DataFrame | Cover, columns: Sequence[str], tile: str = "tile",
+    area: str | None = None, **options
 ) -> DataFrame:
     """Every area a tile meets, touching included, and optionally the overlap in squared degrees."""
     return join_boxes(tiles, [tile], tile_bounds(F.col(tile)), areas, columns, area=area, **options)
@@ -37,21 +48,23 @@ def assign_tiles(
     go to the area that comes first by its columns. Tiles that meet no area are left out.
     """
     distinct = tiles.select(tile).distinct()
-    direct = tiles_by_centroid(distinct, areas, columns, tile, **options)
+    cover = cover_areas(tiles, areas, columns, tile, **options)
+    # Stored, as it is used twice: in the result, and to find what is left.
+    direct = stored(tiles_by_centroid(distinct, cover, columns, tile), "tiles")
     rest = distinct.join(direct.select(tile), tile, "left_anti")
-    overlaps = tile_overlaps(rest, areas, columns, tile, area="_area", **options)
+    overlaps = tile_overlaps(rest, cover, columns, tile, area="_area")
     # min_by of (-overlap, columns): one aggregate with map-side combine, no per-tile sort.
-    names = F.struct(*columns)
-    best = overlaps.groupBy(tile).agg(F.min_by(names, F.struct(-F.col("_area"), *columns)).alias("_best"))
+    best = overlaps.groupBy(tile).agg(
+        F.min_by(F.struct(*columns), F.struct(-F.col("_area"), *columns)).alias("_best")
+    )
     return direct.unionByName(best.select(tile, *[F.col(f"_best.{c}").alias(c) for c in columns]))
 
 
 def unassigned_tiles(
     tiles: DataFrame, areas: DataFrame, columns: Sequence[str], tile: str = "tile", **options
 ) -> DataFrame:
-    """Tiles that no area meets."""
+    """Tiles that no area meets: the residue of the assignment."""
     distinct = tiles.select(tile).distinct()
-    rest = distinct.join(
-        tiles_by_centroid(distinct, areas, columns, tile, **options).select(tile), tile, "left_anti"
-    )
-    return rest.join(tile_overlaps(rest, areas, columns, tile, **options).select(tile), tile, "left_anti")
+    cover = cover_areas(tiles, areas, columns, tile, **options)
+    # A tile whose centroid is in an area meets it, so the overlaps alone decide.
+    return distinct.join(tile_overlaps(distinct, cover, columns, tile).select(tile), tile, "left_anti")

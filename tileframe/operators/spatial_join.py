@@ -61,18 +61,17 @@ def join_points(
     )
 
 
-def _largest_side(boxes: DataFrame, bounds: Mapping[str, Column]) -> float | None:
-    sides = boxes.select(
-        F.greatest(bounds["east"] - bounds["west"], bounds["north"] - bounds["south"]).alias("side")
-    )
-    return sides.agg(F.max("side")).first()[0]
+def largest_side(boxes: DataFrame, bounds: Mapping[str, Column]) -> float | None:
+    """Longest side of any box: cells need not be smaller than that. One aggregate over the boxes."""
+    sides = F.greatest(bounds["east"] - bounds["west"], bounds["north"] - bounds["south"])
+    return boxes.agg(F.max(sides)).first()[0]
 
 
 def join_boxes(
     boxes: DataFrame,
     box_key: Sequence[str],
     bounds: Mapping[str, Column],
-    polygons: DataFrame,
+    polygons: DataFrame | Cover,
     columns: Sequence[str],
     rings: str = "rings",
     area: str | None = None,
@@ -81,13 +80,15 @@ def join_boxes(
     """Pairs of boxes (for instance tiles) and polygons that meet, touching included.
 
     ``bounds`` gives west, south, east and north as columns of ``boxes``. Returns ``box_key``,
-    ``columns`` and, if ``area`` names it, the common area in squared units of the coordinates.
-    Each box is cut at the cell borders; tests and areas of the pieces are folded per pair, so
-    no pair is formed twice and no polygon is ever handled whole.
+    ``columns`` (which must identify a polygon) and, if ``area`` names it, the common area in
+    squared units of the coordinates. Each box is cut at the cell borders; tests and areas of the
+    pieces are folded per pair, so no pair is formed twice and no polygon is ever handled whole.
     """
-    if "bits" not in cover_options:
-        cover_options = {**cover_options, "coarsest": _largest_side(boxes, bounds)}
-    cover = cover_polygons(polygons, columns, rings=rings, **cover_options)
+    if isinstance(polygons, Cover):
+        cover = polygons
+    else:
+        options = {"coarsest": largest_side(boxes, bounds), **cover_options}
+        cover = cover_polygons(polygons, columns, rings=rings, **options)
     bits, side = cover.bits, f"{2**cover.bits}D"
     framed = boxes.select(*box_key, *[bounds[b].alias(f"_{b}") for b in ("west", "south", "east", "north")])
     w, s, e, n = (F.col(f"_{b}") for b in ("west", "south", "east", "north"))
