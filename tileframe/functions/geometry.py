@@ -22,7 +22,7 @@ _ON_EDGE = 1 << 20
 
 def _ring_area2(ring: Column) -> Column:
     """Twice the signed area of a closed ring, taken relative to its first point."""
-    first = F.element_at(ring, 1)
+    first = F.get(ring, F.lit(0))
     terms = F.transform(
         F.sequence(F.lit(1), F.size(ring) - 1),
         lambda i: (F.get(ring, i - 1)["x"] - first["x"]) * (F.get(ring, i)["y"] - first["y"])
@@ -32,7 +32,7 @@ def _ring_area2(ring: Column) -> Column:
 
 
 def close_ring(ring: Column) -> Column:
-    return F.when(F.element_at(ring, 1) == F.element_at(ring, -1), ring).otherwise(
+    return F.when(F.get(ring, F.lit(0)) == F.get(ring, F.size(ring) - 1), ring).otherwise(
         F.concat(ring, F.slice(ring, 1, 1))
     )
 
@@ -83,7 +83,7 @@ def polygon_area(rings: Column) -> Column:
 
 def polygon_centroid(rings: Column) -> dict[str, Column]:
     """Planar centroid by the shoelace sums, relative to the first point for accuracy."""
-    origin = F.element_at(F.element_at(rings, 1), 1)
+    origin = F.get(F.get(rings, F.lit(0)), F.lit(0))
 
     def moment(axis: str) -> Column:
         def of_ring(r: Column) -> Column:
