@@ -47,9 +47,10 @@ def assign_tiles(
     A tile that meets only one area gets that one, even if they just touch. Equal overlaps
     go to the area that comes first by its columns. Tiles that meet no area are left out.
     """
-    distinct = tiles.select(tile).distinct()
-    cover = cover_areas(tiles, areas, columns, tile, **options)
-    # Stored, as it is used twice: in the result, and to find what is left.
+    # Stored, as both are used again: the tiles in each step, the hits in the result and to find
+    # what is left. It also keeps tests of a tile's position behind the removal of duplicates.
+    distinct = stored(tiles.select(tile).distinct(), "tiles")
+    cover = cover_areas(distinct, areas, columns, tile, **options)
     direct = stored(tiles_by_centroid(distinct, cover, columns, tile), "tiles")
     rest = distinct.join(direct.select(tile), tile, "left_anti")
     overlaps = tile_overlaps(rest, cover, columns, tile, area="_area")
@@ -64,7 +65,7 @@ def unassigned_tiles(
     tiles: DataFrame, areas: DataFrame, columns: Sequence[str], tile: str = "tile", **options
 ) -> DataFrame:
     """Tiles that no area meets: the residue of the assignment."""
-    distinct = tiles.select(tile).distinct()
-    cover = cover_areas(tiles, areas, columns, tile, **options)
+    distinct = stored(tiles.select(tile).distinct(), "tiles")
+    cover = cover_areas(distinct, areas, columns, tile, **options)
     # A tile whose centroid is in an area meets it, so the overlaps alone decide.
     return distinct.join(tile_overlaps(distinct, cover, columns, tile).select(tile), tile, "left_anti")

@@ -9,10 +9,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tileframe.operators.ordered import running_sums
+from tileframe.sources.workspace import stored
 
 # Sums are exact decimals: differences of running totals then lose no digits.
 _EXACT = "decimal(28,10)"
-_SEPARATOR = "\u0001"
 
 
 def band_join(
@@ -75,44 +75,42 @@ def band_averages(
     end. The cost is one sort of (donors + 2 x targets) rows per level, however many donors a
     band holds and however many rows share a group.
     """
-    number = "double"
 
-    def at_level(df: DataFrame, i: int, columns: list[Column]) -> DataFrame:
+    def group_at(i: int) -> Column:
+        """Names of a level as one text, length-prefixed so that different lists never look alike;
+        NULL if any name is."""
         names = [F.col(g).cast("string") for g in levels[i]]
-        known = df
-        for g in levels[i]:
-            known = known.filter(F.col(g).isNotNull())
-        # The text of each name is length-prefixed, so different name lists never look alike.
-        parts = [F.concat_ws(_SEPARATOR, F.length(n).cast("string"), n) for n in names]
-        return known.select(
-            F.lit(i).alias("_lvl"), F.concat_ws(_SEPARATOR, *parts).alias("_grp"), *columns
-        )
+        return F.concat(*[part for n in names for part in (F.length(n).cast("string"), F.lit(":"), n)])
 
+    def at_levels(df: DataFrame, ends: Sequence[tuple[Column, int]], *columns: Column) -> DataFrame:
+        """One row per level and end: (_lvl, _grp, _v, _kind, columns)."""
+        rows = [
+            F.struct(
+                F.lit(i).alias("_lvl"), group_at(i).alias("_grp"), v.cast("double").alias("_v"), F.lit(kind).alias("_kind")
+            )
+            for i in range(len(levels))
+            for v, kind in ends
+        ]
+        spread = df.filter(F.col(value).isNotNull()).select(F.explode(F.array(*rows)).alias("_row"), *columns)
+        kept = [c for c in spread.columns if c != "_row"]
+        return spread.select("_row.*", *kept).filter("_grp IS NOT NULL")
+
+    v = F.col(value)
     own = [F.col(c).alias(f"_t_{c}") for c in targets.columns]
     none = [F.lit(None).cast(targets.schema[c].dataType).alias(f"_t_{c}") for c in targets.columns]
-    stacked: DataFrame | None = None
-    for i in range(len(levels)):
-        # Donors of equal value are one row before anything is sorted.
-        given = (
-            at_level(donors, i, [F.col(value).cast(number).alias("_v"), F.col(measure).cast(_EXACT).alias("_m")])
-            .groupBy("_lvl", "_grp", "_v")
-            .agg(F.sum("_m").cast("decimal(38,10)").alias("_m"), F.count("_m").alias("_c"))
-            .select("_lvl", "_grp", "_v", F.lit(1).alias("_kind"), "_m", "_c", *none)
-        )
-        # The lower end sorts before donors of the same value, the upper end after them.
-        ends = F.explode(
-            F.array(
-                F.struct((F.col(value) * F.lit(low)).cast(number).alias("v"), F.lit(0).alias("kind")),
-                F.struct((F.col(value) * F.lit(high)).cast(number).alias("v"), F.lit(2).alias("kind")),
-            )
-        )
-        asked = at_level(targets.filter(F.col(value).isNotNull()), i, [ends.alias("_end"), *own]).select(
-            "_lvl", "_grp", F.col("_end.v").alias("_v"), F.col("_end.kind").alias("_kind"),
-            F.lit(0).cast("decimal(38,10)").alias("_m"), F.lit(0).cast("long").alias("_c"),
-            *[f"_t_{c}" for c in targets.columns],
-        )
-        both = given.unionByName(asked)
-        stacked = both if stacked is None else stacked.unionByName(both)
+    # Donors of equal value are one row before anything is sorted.
+    given = (
+        at_levels(donors, [(v, 1)], F.col(measure).cast(_EXACT).alias("_m"))
+        .groupBy("_lvl", "_grp", "_v", "_kind")
+        .agg(F.sum("_m").cast("decimal(38,10)").alias("_m"), F.count("_m").alias("_c"))
+        .select("_lvl", "_grp", "_v", "_kind", "_m", "_c", *none)
+    )
+    # The lower end sorts before donors of the same value, the upper end after them.
+    asked = at_levels(
+        targets, [(v * F.lit(low), 0), (v * F.lit(high), 2)],
+        F.lit(0).cast("decimal(38,10)").alias("_m"), F.lit(0).cast("long").alias("_c"), *own,
+    )
+    stacked = given.unionByName(asked)
 
     order = ["_v", "_kind", *[f"_t_{c}" for c in targets.columns]]
     totals = running_sums(stacked, ["_lvl", "_grp"], order, {"_ms": "_m", "_cs": "_c"}).filter("_kind <> 1")
@@ -152,6 +150,8 @@ def impute_cascade(
     from: 0 observed, 1 first level, and so on.
     """
     names = sorted({c for level in levels for c in level}, reverse=True)
+    # Read many times below, and twice more for the bounds of the sort.
+    tiles = stored(tiles.select(tile, value, *names, measure), "tiles")
     known = tiles.filter(F.col(measure).isNotNull())
     targets = tiles.filter(F.col(measure).isNull()).select(tile, value, *names)
     bands = band_averages(targets, known.select(value, measure, *names), levels, value, measure, low, high)

@@ -5,6 +5,7 @@ exact. A polygon yields one row per cell it meets: cells that no edge touches ar
 whole (``_edges`` is NULL, nothing to test), and the others carry just the edges of their grid
 row that are not entirely to the east. Those are the only edges that the even-odd test of a
 point in that cell can ever count, so the test gives the same answer as on the full polygon.
+Rows also carry the polygon's bounding box, a cheap first test.
 """
 
 from __future__ import annotations
@@ -12,20 +13,23 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tileframe.functions.geometry import EDGE_FIELDS, EDGES_TYPE, holds_point, ring_edges
+from tileframe.sources.workspace import stored
 
 CELL, EDGES = "_cell", "_edges"
+BOX = ("_w", "_s", "_e", "_n")
 MAX_BITS = 20
 _MARGIN = "0.000001"  # cells this close to an edge (in cell sides) count as touched
-_CELL_BYTES, _EDGE_BYTES = 96, 48
+_CELL_BYTES, _EDGE_BYTES = 128, 48
+_CELLS_PER_TASK = 5_000
 
 
 @dataclass(frozen=True)
 class Cover:
-    """Cover rows (polygon columns, ``_cell``, ``_edges``) and what is known about their size."""
+    """Cover rows (polygon columns, bounding box, ``_cell``, ``_edges``) and what is known about their size."""
 
     rows: DataFrame
     bits: int
@@ -63,13 +67,25 @@ def _with_box(polygons: DataFrame, rings: str, columns: Sequence[str]) -> DataFr
     )
 
 
-def choose_bits(
-    boxes: DataFrame, cells_per_polygon: int, least_cells: int, coarsest: float | None = None
-) -> tuple[int, int, int]:
+@dataclass(frozen=True)
+class Grid:
+    """A grid for a polygon table, and upper bounds of what the cover will hold."""
+
+    bits: int
+    polygons: int
+    edges: int
+    cells: int
+
+
+def choose_grid(
+    boxes: DataFrame, cells_per_polygon: int | None, least_cells: int, coarsest: float | None = None
+) -> Grid:
     """Finest grid within a cell budget; one aggregate over the polygon boxes, one result row.
 
-    Returns bits, number of polygons, number of edges. ``coarsest`` keeps the cell side at or
-    above a given size (used when the other side has boxes, not points).
+    The finer the grid, the more points fall in cells that need no test, which pays for polygons of
+    many edges: unless given, the budget is two cells per edge, within 9 to 64 cells per polygon.
+    ``coarsest`` keeps the cell side at or above a given size (used when the other side has boxes,
+    not points).
     """
     # (w k + 2)(h k + 2) bounds the cells of one polygon at k cells per unit; its sum over all
     # polygons needs three sums only, whatever k.
@@ -79,24 +95,25 @@ def choose_bits(
         F.expr("sum((_e - _w) * (_n - _s)) AS wh"),
         F.expr("sum((_e - _w) + (_n - _s)) AS w_plus_h"),
     ).first()
-    if not row["n"]:
-        return 0, 0, 0
-    budget = max(cells_per_polygon * row["n"], least_cells)
-    fits = [
-        b
-        for b in range(MAX_BITS + 1)
-        if row["wh"] * 4**b + 2 * row["w_plus_h"] * 2**b + 4 * row["n"] <= budget
-    ]
-    if coarsest:
-        fits = [b for b in fits if 2.0**-b >= coarsest]
-    return max(fits, default=0), row["n"], row["edges"]
+    n = row["n"]
+    if not n:
+        return Grid(0, 0, 0, 0)
+
+    def cells(bits: int) -> int:
+        return int(row["wh"] * 4**bits + 2 * row["w_plus_h"] * 2**bits + 4 * n)
+
+    each = cells_per_polygon or min(64, max(9, 2 * row["edges"] // n))
+    budget = max(each * n, least_cells)
+    fits = [b for b in range(MAX_BITS + 1) if cells(b) <= budget and not (coarsest and 2.0**-b < coarsest)]
+    bits = max(fits, default=0)
+    return Grid(bits, n, row["edges"], cells(bits))
 
 
 def _cover_rows(boxes: DataFrame, bits: int, columns: Sequence[str]) -> DataFrame:
     """One row per polygon and cell; narrow transformations only, no shuffle."""
     side = f"{2**bits}D"
     strips = boxes.select(
-        *columns, EDGES, F.expr(f"explode(sequence(floor(_s * {side}), floor(_n * {side}))) AS _iy")
+        *columns, *BOX, EDGES, F.expr(f"explode(sequence(floor(_s * {side}), floor(_n * {side}))) AS _iy")
     )
     bottom, top = f"(_iy / {side})", f"((_iy + 1) / {side})"
     slope = "try_divide(e.x2 - e.x1, e.y2 - e.y1)"
@@ -106,7 +123,7 @@ def _cover_rows(boxes: DataFrame, bits: int, columns: Sequence[str]) -> DataFram
     fields = ", ".join(f"'{f}', e.{f}" for f in EDGE_FIELDS)
     in_strip = f"""transform(filter({EDGES}, e -> e.y1 < {top} AND e.y2 >= {bottom}), e -> named_struct(
         {fields}, 'xa', least({enter}, {leave}), 'xb', greatest({enter}, {leave})))"""
-    strips = strips.select(*columns, "_iy", F.expr(in_strip).alias(EDGES))
+    strips = strips.select(*columns, *BOX, "_iy", F.expr(in_strip).alias(EDGES))
     west = f"floor(array_min({EDGES}.xa) * {side} - {_MARGIN}D)"
     east = f"floor(array_max({EDGES}.xb) * {side} + {_MARGIN}D)"
     touched = f"exists({EDGES}, e -> e.xa * {side} <= ix + 1 + {_MARGIN}D AND e.xb * {side} >= ix - {_MARGIN}D)"
@@ -123,6 +140,7 @@ def _cover_rows(boxes: DataFrame, bits: int, columns: Sequence[str]) -> DataFram
         filter({EDGES}, e -> least(e.x1, e.x2) * {side} <= _c.ix + 1), e -> named_struct({fields}))"""
     return cells.select(
         *columns,
+        *BOX,
         cell_id(F.col("_c.ix"), F.col("_iy")).alias(CELL),
         F.expr(f"CAST(IF(_c.touched, {near}, NULL) AS {EDGES_TYPE})").alias(EDGES),
     )
@@ -139,31 +157,35 @@ def cover_polygons(
     columns: Sequence[str],
     rings: str = "rings",
     bits: int | None = None,
-    cells_per_polygon: int = 64,
+    cells_per_polygon: int | None = None,
     least_cells: int = 50_000,
     coarsest: float | None = None,
     broadcast_bytes: int = 64 << 20,
 ) -> Cover:
     """Cover a polygon table. ``columns`` are the polygon columns that joins shall return.
 
-    Runs one or two small aggregates (grid size; size of the cover) and keeps everything else lazy.
-    The cover is broadcast only if its measured size is within ``broadcast_bytes``; larger covers,
-    such as a country's buildings, join by shuffle on the cell, where AQE splits hot cells.
+    One aggregate over the polygons picks the grid. If their edges alone exceed ``broadcast_bytes``,
+    as those of a country's buildings do, the cover stays lazy and joins by shuffle on the cell,
+    where AQE splits hot cells. Otherwise the cover is written once, its size is measured while it
+    is written, and it is broadcast only if that size is within the bound.
     """
     columns = tuple(columns)
     boxes = _with_box(polygons, rings, columns)
-    n, edges = None, None
+    limit = _session_broadcast_limit(polygons, broadcast_bytes)
     if bits is None:
-        bits, n, edges = choose_bits(boxes, cells_per_polygon, least_cells, coarsest)
+        grid = choose_grid(boxes, cells_per_polygon, least_cells, coarsest)
+        bits = grid.bits
+        # A small file is one task, yet its cover can be a lot of work.
+        tasks = min(polygons.sparkSession.sparkContext.defaultParallelism, grid.cells // _CELLS_PER_TASK)
+        if tasks > 1:
+            boxes = boxes.repartition(tasks)
+        if grid.polygons * _CELL_BYTES + grid.edges * _EDGE_BYTES > limit:
+            limit = 0
     rows = _cover_rows(boxes, bits, columns)
-    limit = _session_broadcast_limit(polygons, broadcast_bytes)
-    if limit <= 0 or (n is not None and n * _CELL_BYTES + edges * _EDGE_BYTES > limit):
+    if limit <= 0:
         return Cover(rows, bits, columns, broadcast=False)
-    text = F.lit(0)
-    for name, kind in rows.dtypes:
-        if name in columns and kind == "string":
-            text = text + F.coalesce(F.length(name), F.lit(0))
-    size = rows.agg(
-        F.sum(F.lit(_CELL_BYTES) + text + F.coalesce(F.size(EDGES), F.lit(0)) * _EDGE_BYTES).alias("bytes")
-    ).first()["bytes"]
-    return Cover(rows, bits, columns, broadcast=(size or 0) <= limit)
+    text = " + ".join(["0", *(f"coalesce(length(`{c}`), 0)" for c, kind in rows.dtypes if c in columns and kind == "string")])
+    size = Observation()
+    bytes_ = f"sum({_CELL_BYTES} + {text} + coalesce(size({EDGES}), 0) * {_EDGE_BYTES})"
+    kept = stored(rows.observe(size, F.expr(bytes_).alias("bytes")), "cover")
+    return Cover(kept, bits, columns, broadcast=(size.get["bytes"] or 0) <= limit)

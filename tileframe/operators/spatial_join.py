@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tileframe.functions.geometry import box_overlap_area, holds_point, touches_box
-from tileframe.operators.cover import CELL, EDGES, Cover, cell_id, cell_index, cover_polygons, indexable
+from tileframe.operators.cover import BOX, CELL, EDGES, Cover, cell_id, cell_index, cover_polygons, indexable
 
 PREDICATES = ("contains", "within", "intersects")
 
@@ -53,11 +53,12 @@ def join_points(
         side = side.withColumn(f"_key_{theirs}", F.col(theirs))
         on = on & (F.col(mine) == F.col(f"_key_{theirs}"))
     side = side.drop(*[c for c in cover.columns if c not in wanted])
-    hit = f"{EDGES} IS NULL OR {holds_point(EDGES, f'`{x}`', f'`{y}`', boundary=predicate == 'intersects')}"
+    exact = holds_point(EDGES, f"`{x}`", f"`{y}`", boundary=predicate == "intersects")
+    hit = f"`{x}` >= _w AND `{x}` <= _e AND `{y}` >= _s AND `{y}` <= _n AND ({EDGES} IS NULL OR {exact})"
     return (
         located.join(side, on)
         .filter(hit)
-        .drop(CELL, "_cover_cell", EDGES, *[f"_key_{c}" for c in keys.values()])
+        .drop(CELL, "_cover_cell", EDGES, *BOX, *[f"_key_{c}" for c in keys.values()])
     )
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tileframe.functions.cells import key_x, tile_centroid, tile_key
 from tileframe.functions.geometry import RINGS_TYPE
+from tileframe.sources.workspace import stored
 
 ZOOM = 14
 
@@ -18,6 +19,7 @@ ZOOM = 14
 class Inputs:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.dir = spark, sf_dir
+        self._tile_map: DataFrame | None = None
 
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.dir}/{name}.parquet")
@@ -143,9 +145,12 @@ class Inputs:
         placed = tiles.select("tile", middle["lon"].alias("lon"), middle["lat"].alias("lat"))
         return self.with_nation(placed, self.nations()).select("tile", "adm1", "adm2", "adm3")
 
-    def tile_map(self, zoom: int = ZOOM) -> DataFrame:
-        known = self.buildings(zoom).select("tile").union(self.pop_points(zoom).select("tile"))
-        return self.map_tiles(known.distinct())
+    def tile_map(self) -> DataFrame:
+        """The finished map of tiles, as a stored table."""
+        if self._tile_map is None:
+            known = self.buildings().select("tile").union(self.pop_points().select("tile")).distinct()
+            self._tile_map = stored(self.map_tiles(stored(known, "tiles")), "tile_map")
+        return self._tile_map
 
     def wide_tiles(self) -> DataFrame:
         """Tiles of an area somewhat larger than that of the areas."""

@@ -344,8 +344,9 @@ ORACLE: dict[str, str] = {
     "control_ratio": "SELECT adm1, round(ratio, 9) AS ratio FROM ratios",
     "scale_to_control": """SELECT tile, adm1, round(ratio, 6) AS ratio, round(pop, 6) AS pop,
         round(adjusted_pop, 6) AS adjusted_pop FROM scaled""",
-    "sample_bounds": """SELECT name, pop_to_hh, round(pop_to_hh + 2 * 0.29::DOUBLE, 2) AS upper,
-        round(pop_to_hh - 2 * 0.29::DOUBLE, 2) AS lower FROM control_province""",
+    "sample_bounds": f"""SELECT tile, m.adm1, pop_to_hh, round(pop_to_hh + 2 * 0.29::DOUBLE, 2) AS upper,
+        round(pop_to_hh - 2 * 0.29::DOUBLE, 2) AS lower FROM (SELECT tile, {_squash('adm1')} AS adm1 FROM tile_map) m
+        JOIN control_province c ON m.adm1 = {_squash('c.name')}""",
     "sample_bounded_gaussian": "SELECT adm1, slot, round(sample, 6) AS sample FROM samples",
     "sample_bounded_uniform": f"""SELECT adm1, slot, round(lower + (upper - lower) * ({_HASH.format(
         seed="('42:' || adm1 || ':' || slot)", at=1)}), 6) AS sample

@@ -445,7 +445,11 @@ def scale_to_control(i: Inputs) -> DataFrame:
 
 @query
 def sample_bounds(i: Inputs) -> DataFrame:
-    return rounded(sampling.ratio_bounds(i.control_province().select("name", "pop_to_hh"), spread=2), 4)
+    """Bounds per province, looked up for each tile by a join instead of one value at a time."""
+    means = i.control_province().select(keys.squash_name(F.col("name")).alias("adm1"), "pop_to_hh")
+    bounds = workspace.broadcast_if_small(sampling.ratio_bounds(means, spread=2))
+    tiles = i.tile_map().select("tile", keys.squash_name(F.col("adm1")).alias("adm1"))
+    return rounded(tiles.join(bounds, "adm1"), 4)
 
 
 def _sample_groups(i: Inputs) -> DataFrame:
