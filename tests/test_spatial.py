@@ -18,7 +18,8 @@ def ring(points):
 def star(rng, cx, cy, size, corners):
     """A simple polygon, usually concave, counter-clockwise around its centre."""
     angles = [2 * math.pi * (i + rng.uniform(0, 0.3)) / corners for i in range(corners)]
-    return [(cx + size * rng.uniform(0.3, 1) * math.cos(a), cy + size * rng.uniform(0.3, 1) * math.sin(a)) for a in angles]
+    radii = [size * rng.uniform(0.3, 1) for _ in angles]
+    return [(cx + r * math.cos(a), cy + r * math.sin(a)) for r, a in zip(radii, angles)]
 
 
 def side(p, a, b):
