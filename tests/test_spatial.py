@@ -113,6 +113,32 @@ def test_cover_is_broadcast_only_within_its_bound(shapes, points):
     assert "Exchange hashpartitioning" not in plan_of(small)
 
 
+def test_many_edges_few_cells(spark, points):
+    """The cells fit in a broadcast, the edges do not: only points in cells with an edge are shuffled."""
+    rng = random.Random(8)
+    rings = {f"s{i}": [star(rng, rng.uniform(0, 16), rng.uniform(-4, 8), rng.uniform(2, 4), 300)] for i in range(10)}
+    rows = [(n, n[0], [ring(r) for r in rs]) for n, rs in rings.items()]
+    polygons = spark.createDataFrame(rows, POLYGON_SCHEMA)
+    options = {"cells_per_polygon": 60, "least_cells": 0, "broadcast_bytes": 110_000}
+    built = cover.cover_polygons(polygons, ["name"], **options)
+    assert built.split and not built.broadcast
+    for predicate, kept in (("contains", ("inside",)), ("intersects", ("inside", "edge"))):
+        joined = spatial_join.join_points(points[1], polygons, ["name"], predicate, **options)
+        got = [tuple(r) for r in joined.select("id", "name").collect()]
+        want = {(i, n) for i, x, y in points[0] for n, rs in rings.items() if locate((x, y), rs) in kept}
+        assert len(got) == len(want) and set(got) == want
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "Union" in plan and "LeftSemi" in plan and "CartesianProduct" not in plan
+
+
+def test_clockwise_rings_have_the_same_overlaps(spark):
+    polygons = spark.createDataFrame([("a", "k", [ring(SQUARE[::-1]), ring(HOLE[::-1])])], POLYGON_SCHEMA)
+    boxes = spark.createDataFrame([(1, 0.5, 0.5, 1.5, 1.5)], "b int, w double, s double, e double, n double")
+    bounds = dict(zip(("west", "south", "east", "north"), map(F.col, "wsen")))
+    pairs = spatial_join.join_boxes(boxes, ["b"], bounds, polygons, ["name"], area="area")
+    assert pairs.first().area == pytest.approx(0.75)
+
+
 def test_hot_cell_keeps_all_rows(spark, shapes):
     """Two thirds of the points in one spot."""
     df = spark.range(30000).selectExpr("id", "IF(id % 3 = 0, 12.5D, 3.5D) AS lon", "IF(id % 3 = 0, 1D, 3.5D) AS lat")

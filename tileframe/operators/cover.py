@@ -29,16 +29,29 @@ _CELLS_PER_TASK = 5_000
 
 @dataclass(frozen=True)
 class Cover:
-    """Cover rows (polygon columns, bounding box, ``_cell``, ``_edges``) and what is known about their size."""
+    """Cover rows (polygon columns, bounding box, ``_cell``, ``_edges``) and how they may be joined.
+
+    ``broadcast``: all rows are within the broadcast bound. ``split``: all rows without their edges
+    are, that is, the list of cells.
+    """
 
     rows: DataFrame
     bits: int
     columns: tuple[str, ...]
     broadcast: bool
+    split: bool = False
 
     def joinable(self) -> DataFrame:
         return F.broadcast(self.rows) if self.broadcast else self.rows
 
+    def inner(self) -> DataFrame:
+        """Cells wholly inside a polygon, to broadcast."""
+        return F.broadcast(self.rows.filter(F.col(EDGES).isNull()))
+
+    def outer(self) -> DataFrame:
+        """Cells that an edge touches, with edges."""
+        return self.rows.filter(F.col(EDGES).isNotNull())
+
 
 def cell_id(ix: Column, iy: Column) -> Column:
     """Both indexes in one long."""
@@ -56,8 +69,15 @@ def cell_index(v: Column, bits: int) -> Column:
 
 
 def _with_box(polygons: DataFrame, rings: str, columns: Sequence[str]) -> DataFrame:
-    """Edges and bounding box of each polygon; the box of an empty polygon is NULL."""
+    """Edges and bounding box of each polygon; the box of an empty polygon is NULL.
+
+    Polygons whose outer rings run clockwise throughout are turned around.
+    """
     edges = polygons.select(*columns, ring_edges(rings).alias(EDGES))
+    fields = ", ".join(f"'{f}', e.{f}" for f in EDGE_FIELDS if f != "s")
+    turned = f"""IF(aggregate({EDGES}, 0D, (a, e) -> a + e.s * (e.x1 * e.y2 - e.x2 * e.y1)) < 0,
+        transform({EDGES}, e -> named_struct({fields}, 's', -e.s)), {EDGES})"""
+    edges = edges.select(*columns, F.expr(turned).alias(EDGES))
     return edges.select(
         "*",
         F.expr(f"array_min(transform({EDGES}, e -> least(e.x1, e.x2)))").alias("_w"),
@@ -67,6 +87,10 @@ def _with_box(polygons: DataFrame, rings: str, columns: Sequence[str]) -> DataFr
     )
 
 
+def _text_size(df: DataFrame, columns: Sequence[str]) -> str:
+    return " + ".join(["0", *(f"coalesce(length(`{c}`), 0)" for c, kind in df.dtypes if c in columns and kind == "string")])
+
+
 @dataclass(frozen=True)
 class Grid:
     """A grid for a polygon table, and upper bounds of what the cover will hold."""
@@ -75,10 +99,12 @@ class Grid:
     polygons: int
     edges: int
     cells: int
+    text: int  # longest text of the polygon columns
 
 
 def choose_grid(
-    boxes: DataFrame, cells_per_polygon: int | None, least_cells: int, coarsest: float | None = None
+    boxes: DataFrame, columns: Sequence[str], cells_per_polygon: int | None, least_cells: int,
+    coarsest: float | None = None,
 ) -> Grid:
     """Finest grid within a cell budget; one aggregate over the polygon boxes, one result row.
 
@@ -94,10 +120,11 @@ def choose_grid(
         F.expr(f"sum(size({EDGES})) AS edges"),
         F.expr("sum((_e - _w) * (_n - _s)) AS wh"),
         F.expr("sum((_e - _w) + (_n - _s)) AS w_plus_h"),
+        F.expr(f"max({_text_size(boxes, columns)}) AS text"),
     ).first()
     n = row["n"]
     if not n:
-        return Grid(0, 0, 0, 0)
+        return Grid(0, 0, 0, 0, 0)
 
     def cells(bits: int) -> int:
         return int(row["wh"] * 4**bits + 2 * row["w_plus_h"] * 2**bits + 4 * n)
@@ -106,7 +133,7 @@ def choose_grid(
     budget = max(each * n, least_cells)
     fits = [b for b in range(MAX_BITS + 1) if cells(b) <= budget and not (coarsest and 2.0**-b < coarsest)]
     bits = max(fits, default=0)
-    return Grid(bits, n, row["edges"], cells(bits))
+    return Grid(bits, n, row["edges"], cells(bits), row["text"])
 
 
 def _cover_rows(boxes: DataFrame, bits: int, columns: Sequence[str]) -> DataFrame:
@@ -164,28 +191,32 @@ def cover_polygons(
 ) -> Cover:
     """Cover a polygon table. ``columns`` are the polygon columns that joins shall return.
 
-    One aggregate over the polygons picks the grid. If their edges alone exceed ``broadcast_bytes``,
-    as those of a country's buildings do, the cover stays lazy and joins by shuffle on the cell,
-    where AQE splits hot cells. Otherwise the cover is written once, its size is measured while it
-    is written, and it is broadcast only if that size is within the bound.
+    One aggregate over the polygons picks the grid and bounds the size of the cover.
+
+    * A cover within ``broadcast_bytes`` is written once, measured while it is written, and broadcast.
+    * Few polygons of many edges, as administrative areas are, can have a small list of cells all the
+      same. Then the cells inside a polygon are broadcast, and only points in cells with an edge are
+      shuffled.
+    * Many polygons, as a country's buildings are, join by shuffle on the cell; AQE splits hot cells.
     """
     columns = tuple(columns)
     boxes = _with_box(polygons, rings, columns)
     limit = _session_broadcast_limit(polygons, broadcast_bytes)
+    fits_edges, fits_cells = True, False
     if bits is None:
-        grid = choose_grid(boxes, cells_per_polygon, least_cells, coarsest)
+        grid = choose_grid(boxes, columns, cells_per_polygon, least_cells, coarsest)
         bits = grid.bits
         # A small file is one task, yet its cover can be a lot of work.
         tasks = min(polygons.sparkSession.sparkContext.defaultParallelism, grid.cells // _CELLS_PER_TASK)
         if tasks > 1:
             boxes = boxes.repartition(tasks)
-        if grid.polygons * _CELL_BYTES + grid.edges * _EDGE_BYTES > limit:
-            limit = 0
+        fits_edges = grid.polygons * _CELL_BYTES + grid.edges * _EDGE_BYTES <= limit
+        fits_cells = grid.cells * (_CELL_BYTES + (grid.text or 0)) <= limit
     rows = _cover_rows(boxes, bits, columns)
-    if limit <= 0:
+    if limit <= 0 or not (fits_edges or fits_cells):
         return Cover(rows, bits, columns, broadcast=False)
-    text = " + ".join(["0", *(f"coalesce(length(`{c}`), 0)" for c, kind in rows.dtypes if c in columns and kind == "string")])
     size = Observation()
-    bytes_ = f"sum({_CELL_BYTES} + {text} + coalesce(size({EDGES}), 0) * {_EDGE_BYTES})"
+    bytes_ = f"sum({_CELL_BYTES} + {_text_size(rows, columns)} + coalesce(size({EDGES}), 0) * {_EDGE_BYTES})"
     kept = stored(rows.observe(size, F.expr(bytes_).alias("bytes")), "cover")
-    return Cover(kept, bits, columns, broadcast=(size.get["bytes"] or 0) <= limit)
+    whole = (size.get["bytes"] or 0) <= limit
+    return Cover(kept, bits, columns, broadcast=whole, split=fits_cells and not whole)

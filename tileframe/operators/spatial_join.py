@@ -46,20 +46,26 @@ def join_points(
     located = points.filter(indexable(px, py, cover.bits)).withColumn(
         CELL, cell_id(cell_index(px, cover.bits), cell_index(py, cover.bits))
     )
-    # Point columns keep their names; the key columns of the cover are renamed so as not to clash.
-    side = cover.joinable().withColumnRenamed(CELL, "_cover_cell")
-    on = F.col(CELL) == F.col("_cover_cell")
-    for mine, theirs in keys.items():
-        side = side.withColumn(f"_key_{theirs}", F.col(theirs))
-        on = on & (F.col(mine) == F.col(f"_key_{theirs}"))
-    side = side.drop(*[c for c in cover.columns if c not in wanted])
     exact = holds_point(EDGES, f"`{x}`", f"`{y}`", boundary=predicate == "intersects")
-    hit = f"`{x}` >= _w AND `{x}` <= _e AND `{y}` >= _s AND `{y}` <= _n AND ({EDGES} IS NULL OR {exact})"
-    return (
-        located.join(side, on)
-        .filter(hit)
-        .drop(CELL, "_cover_cell", EDGES, *BOX, *[f"_key_{c}" for c in keys.values()])
-    )
+    near = f"`{x}` >= _w AND `{x}` <= _e AND `{y}` >= _s AND `{y}` <= _n"
+
+    def joined(located: DataFrame, rows: DataFrame, test: str) -> DataFrame:
+        # Point columns keep their names; the key columns of the cover are renamed so as not to clash.
+        side = rows.withColumnRenamed(CELL, "_cover_cell")
+        on = F.col(CELL) == F.col("_cover_cell")
+        for mine, theirs in keys.items():
+            side = side.withColumn(f"_key_{theirs}", F.col(theirs))
+            on = on & (F.col(mine) == F.col(f"_key_{theirs}"))
+        side = side.drop(*[c for c in cover.columns if c not in wanted])
+        pairs = located.join(side, on).filter(test)
+        return pairs.drop(CELL, "_cover_cell", EDGES, *BOX, *[f"_key_{c}" for c in keys.values()])
+
+    if not cover.split:
+        return joined(located, cover.joinable(), f"{near} AND ({EDGES} IS NULL OR {exact})")
+    # The points are read twice, but only those in cells with an edge are shuffled.
+    edge_cells = F.broadcast(cover.outer().select(CELL).distinct())
+    in_doubt = located.join(edge_cells, CELL, "left_semi")
+    return joined(located, cover.inner(), "true").unionByName(joined(in_doubt, cover.outer(), f"{near} AND {exact}"))
 
 
 def largest_side(boxes: DataFrame, bounds: Mapping[str, Column]) -> float | None:
