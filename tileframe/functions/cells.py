@@ -42,9 +42,13 @@ def tile_y(lat: Column, zoom: int) -> Column:
 
 
 def _base4_digits(ones: Column, twos: Column, size: int) -> Column:
-    """Digits ``ones_bit + 2 * twos_bit``, as text without leading zeros."""
-    wide = "long" if size <= 18 else "decimal(38,0)"
-    return (F.bin(ones).cast(wide) + F.bin(twos).cast(wide) * F.lit(2).cast("int")).cast("string")
+    """Digits ``ones_bit + 2 * twos_bit``, as text without leading zeros in front of the first 15 from the right."""
+    if size <= 18:
+        return (F.bin(ones).cast("long") + F.bin(twos).cast("long") * 2).cast("string")
+    low = F.lit((1 << 15) - 1)
+    right = _base4_digits(ones.bitwiseAND(low), twos.bitwiseAND(low), 15)
+    left = _base4_digits(F.shiftright(ones, 15), F.shiftright(twos, 15), size - 15)
+    return F.concat(left, F.lpad(right, 15, "0"))
 
 
 def tile_key_from_xy(x: Column, y: Column, zoom: int) -> Column:

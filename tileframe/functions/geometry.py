@@ -107,20 +107,18 @@ def polygon_centroid(rings: Column) -> dict[str, Column]:
 # in the JVM instead of thousands of calls to build the same tree node by node.
 
 
-def crossings(edges: str, px: str, py: str) -> str:
-    """Number of edges left of a point, plus a large even mark for each edge it lies on."""
-    side = f"((e.x2 - e.x1) * ({py} - e.y1) - ({px} - e.x1) * (e.y2 - e.y1))"
-    return f"""aggregate({edges}, 0, (n, e) -> n + CASE
-        WHEN {py} < e.y1 OR {py} > e.y2 THEN 0
-        WHEN {side} < 0 THEN IF({py} < e.y2, 1, 0)
-        WHEN {side} = 0 AND {px} >= least(e.x1, e.x2) AND {px} <= greatest(e.x1, e.x2) THEN {_ON_EDGE}
-        ELSE 0 END)"""
-
-
 def holds_point(edges: str, px: str, py: str, boundary: bool) -> str:
-    """Even-odd test. ``boundary`` says whether a point on an edge counts."""
+    """Even-odd test. ``boundary`` says whether a point on an edge counts.
+
+    Counts the edges to the left of the point, plus a large even mark for each edge it lies on.
+    """
+    side = f"((e.x2 - e.x1) * ({py} - e.y1) - ({px} - e.x1) * (e.y2 - e.y1))"
     verdict = f"n >= {_ON_EDGE} OR n % 2 = 1" if boundary else f"n < {_ON_EDGE} AND n % 2 = 1"
-    return f"exists(array({crossings(edges, px, py)}), n -> {verdict})"
+    return f"""aggregate({edges}, 0, (n, e) -> CASE
+        WHEN {py} < e.y1 OR {py} > e.y2 THEN n
+        WHEN {side} < 0 THEN IF({py} < e.y2, n + 1, n)
+        WHEN {side} = 0 AND {px} >= least(e.x1, e.x2) AND {px} <= greatest(e.x1, e.x2) THEN n + {_ON_EDGE}
+        ELSE n END, n -> {verdict})"""
 
 
 def touches_box(edges: str, west: str, south: str, east: str, north: str) -> str:

@@ -347,7 +347,7 @@ def spatial_intersects_point(i: Inputs) -> DataFrame:
 
 @query
 def spatial_intersects_tile(i: Inputs) -> DataFrame:
-    return assign.tile_overlaps(i.wide_tiles().distinct(), i.areas(), ["adm3"])
+    return assign.tile_overlaps(workspace.stored(i.wide_tiles().distinct()), i.areas(), ["adm3"])
 
 
 @query
@@ -362,7 +362,7 @@ def spatial_join_keyed(i: Inputs) -> DataFrame:
 
 @query
 def overlap_area(i: Inputs) -> DataFrame:
-    return rounded(assign.tile_overlaps(i.wide_tiles().distinct(), i.areas(), ["adm3"], area="area"), 10)
+    return rounded(assign.tile_overlaps(workspace.stored(i.wide_tiles().distinct()), i.areas(), ["adm3"], area="area"), 10)
 
 
 @query
