@@ -10,7 +10,7 @@ SCHEMA = "tile string, adm1 string, adm2 string, adm3 string, floor_area double,
 LEVELS = (("adm1", "adm2", "adm3"), ("adm1", "adm2"), ("adm1",))
 
 
-def brute(rows, with_levels=False):
+def brute(rows):
     """The cascade by comparing all rows with all rows."""
     donors = [r for r in rows if r[5] is not None]
     out = {}
