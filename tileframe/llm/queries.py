@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tileframe.llm import quality
+from tileframe.llm import licenses, packing, pii, quality
 from tileframe.llm.oracle import ORACLE
 
 __all__ = ["ORACLE", "QUERIES"]
@@ -16,11 +16,29 @@ def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence notices of every document."""
+    return licenses.scan(_read(spark, sf_dir, "documents"))
+
+
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in sequences of at most 2048 tokens."""
+    return packing.pack(_read(spark, sf_dir, "documents"))
+
+
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of every document, as spans."""
+    return pii.scan(_read(spark, sf_dir, "documents"))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts and verdict per document; documents of one source share a host."""
     return quality.judge(_read(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_license_scan": op3_license_scan,
+    "op4_packing": op4_packing,
+    "op8_pii": op8_pii,
     "op9_quality_rules": op9_quality_rules,
 }
