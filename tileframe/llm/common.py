@@ -13,7 +13,7 @@ SPACE_CHARS = " \t\n\x0b\x0c\r"
 _MAX_BROADCAST_ROWS = 1_000_000
 _SALTS = 32
 
-__all__ = ["SPACE", "SPACE_CHARS", "join_groups", "sql_text", "stored", "text_or_empty", "words_of"]
+__all__ = ["SPACE", "SPACE_CHARS", "join_groups", "settled", "stored", "text_or_empty", "words_of"]
 
 
 def text_or_empty(column: str) -> Column:
@@ -39,5 +39,11 @@ def join_groups(rows: DataFrame, groups: DataFrame, key: str, how: str = "left")
     return rows.withColumn("_salt", salt).join(many, [key, "_salt"], how).drop("_salt")
 
 
-def sql_text(value: str) -> str:
-    return "'" + value.replace("'", "''") + "'"
+def settled(rows: DataFrame, *names: str) -> DataFrame:
+    """``rows`` with the named columns computed here and once.
+
+    A filter on a computed column would otherwise be pushed below its projections, with all expressions copied into
+    each other; nothing is pushed through a generator."""
+    rest = [c for c in rows.columns if c not in names]
+    return rows.select(*rest, F.inline(F.array(F.struct(*names))))
+

@@ -252,9 +252,18 @@ def _mask_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()), batch.column(1)], names=["_text", "_rest"])
 
 
-def masked(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``docs`` with every span masked; a null text stays null. Columns and their order stay."""
+def masked(docs: DataFrame, text: str = "text", length: str | None = None) -> DataFrame:
+    """``docs`` with every span masked; a null text stays null. Columns and their order stay; a column named by
+    ``length`` gets the new text's length in code points."""
     rest = [F.col(f"`{c}`") for c in docs.columns if c != text] or [F.lit(0).alias("none")]
     packed = docs.select(F.col(f"`{text}`").cast("string").alias("_text"), F.struct(*rest).alias("_rest"))
     out = packed.mapInArrow(_mask_batches, packed.schema)
-    return out.select(*[F.col("_text").alias(c) if c == text else F.col(f"_rest.`{c}`").alias(c) for c in docs.columns])
+
+    def column(name: str):
+        if name == text:
+            return F.col("_text").alias(name)
+        if name == length:
+            return F.length("_text").cast(docs.schema[name].dataType).alias(name)
+        return F.col(f"_rest.`{name}`").alias(name)
+
+    return out.select(*[column(c) for c in docs.columns])

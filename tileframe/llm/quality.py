@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tileframe.llm.common import SPACE_CHARS, join_groups, stored, text_or_empty, words_of
+from tileframe.llm.common import SPACE_CHARS, join_groups, settled, stored, text_or_empty, words_of
 
 MIN_WORDS = 50
 SYMBOLS = "#*$%&|<>"
@@ -132,5 +132,6 @@ def keep_good(docs: DataFrame, text: str = "text", host: str = "source") -> Data
     judged = with_counts(rows, "_raw").select(
         "_row", "_host", "_n_lines", base_failed().alias("base_failed"), any_failed().alias("_failed")
     )
+    judged = settled(judged, "base_failed", "_failed")
     hosts = host_rates(judged.select("_host", "_failed"), "_host")
     return _verdict(judged, hosts).where("kept").select("_row.*")

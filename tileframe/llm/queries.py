@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tileframe.llm import licenses, packing, pii, quality
+from tileframe.llm import jaccard, licenses, mixing, packing, pii, quality
 from tileframe.llm.oracle import ORACLE
 
 __all__ = ["ORACLE", "QUERIES"]
@@ -16,6 +16,11 @@ def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose 4-word shingles overlap by 85 % or more."""
+    return jaccard.join_ngrams(_read(spark, sf_dir, "documents"))
+
+
 def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Licence notices of every document."""
     return licenses.scan(_read(spark, sf_dir, "documents"))
@@ -26,6 +31,12 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_read(spark, sf_dir, "documents"))
 
 
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rates for all documents that bring the labelled domains to their target shares."""
+    labels = _read(spark, sf_dir, "labels").select("doc_id", mixing.domain_of_labels().alias("domain"))
+    return mixing.mix(_read(spark, sf_dir, "documents"), labels)
+
+
 def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data of every document, as spans."""
     return pii.scan(_read(spark, sf_dir, "documents"))
@@ -37,8 +48,10 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_ngram_jaccard": op1_ngram_jaccard,
     "op3_license_scan": op3_license_scan,
     "op4_packing": op4_packing,
+    "op6_mixing": op6_mixing,
     "op8_pii": op8_pii,
     "op9_quality_rules": op9_quality_rules,
 }
