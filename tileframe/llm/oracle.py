@@ -45,4 +45,53 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM failed
 """
 
-ORACLE = {"op9_quality_rules": OP9}
+OP10 = r"""
+WITH base AS (
+  SELECT page_id, url, md5(coalesce(html, '')) AS m1, md5(coalesce(html, '') || '#2') AS m2,
+         'day ' || (page_id // 10)::VARCHAR AS day FROM pages),
+records AS (
+  SELECT page_id * 2 AS record_id, url, page_id AS ts, 'response' AS kind, m1 AS etag, day AS modified,
+         'text/html' AS ctype, 'no-cache' AS cache, NULL AS dated, m1 AS digest FROM base
+  UNION ALL
+  SELECT page_id * 2 + 1, url, page_id + 1000000, 'response', m2, NULL, 'text/html', NULL, NULL, m2
+  FROM base WHERE page_id % 3 = 0
+  UNION ALL
+  SELECT page_id * 2 + 1, url, page_id + 1000000, 'revisit',
+         CASE WHEN page_id % 7 NOT IN (1, 2) THEN CASE WHEN page_id % 5 = 1 THEN 'other' ELSE m1 END END,
+         CASE WHEN page_id % 7 = 2 THEN day END,
+         CASE WHEN page_id % 7 NOT IN (1, 2) THEN 'text/plain' END,
+         CASE WHEN page_id % 7 NOT IN (1, 2) THEN 'max-age=60' END,
+         CASE WHEN page_id % 7 IN (1, 2) THEN 'now' END, NULL
+  FROM base WHERE page_id % 3 <> 0),
+cut AS (
+  SELECT *, regexp_replace(regexp_replace(trim(url), '(?i)^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?(?:www\.)?', ''), '#.*$', '') AS u
+  FROM records),
+named AS (
+  SELECT * EXCLUDE (url, u), regexp_replace(lower(regexp_extract(u, '^[^/?]*')), ':(?:80|443)$', '') ||
+    regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(
+      regexp_replace(u, '^[^/?]*', ''),
+      '([?&])(?:utm_[a-z]+|ref|fbclid|gclid|sessionid)=[^&]*', '\1', 'g'),
+      '&{2,}', '&', 'g'), '\?&', '?', 'g'), '[?&]+$', ''), '/(\?|$)', '\1', 'g') AS canonical
+  FROM cut),
+found AS (
+  SELECT n.*, (SELECT max_by(r.record_id, (r.ts, r.record_id)) FROM named r
+               WHERE r.kind = 'response' AND r.canonical = n.canonical AND r.ts < n.ts) AS prior_id FROM named n),
+judged AS (
+  SELECT f.*, r.record_id AS old_id, r.digest AS old_digest, r.modified AS old_modified, r.ctype AS old_ctype,
+         r.cache AS old_cache, r.etag AS old_etag,
+         CASE WHEN f.kind = 'response' THEN 'full' WHEN r.record_id IS NULL THEN 'missing'
+              WHEN f.etag IS NOT NULL THEN CASE WHEN f.etag = r.etag THEN 'resolved' ELSE 'changed' END
+              WHEN f.modified IS NOT NULL THEN CASE WHEN f.modified IS NOT DISTINCT FROM r.modified THEN 'resolved' ELSE 'changed' END
+              ELSE 'unchecked' END AS outcome
+  FROM found f LEFT JOIN named r ON r.record_id = f.prior_id)
+SELECT record_id, canonical, kind, outcome,
+       CASE outcome WHEN 'full' THEN record_id WHEN 'resolved' THEN old_id END AS payload_id,
+       CASE outcome WHEN 'full' THEN digest WHEN 'resolved' THEN old_digest END AS digest,
+       CASE WHEN outcome = 'resolved' THEN concat_ws(chr(10), 'cache-control: ' || coalesce(cache, old_cache),
+              'content-type: ' || old_ctype, 'date: ' || dated, 'etag: ' || coalesce(etag, old_etag), 'last-modified: ' || old_modified)
+            ELSE concat_ws(chr(10), 'cache-control: ' || cache, 'content-type: ' || ctype, 'date: ' || dated, 'etag: ' || etag,
+              'last-modified: ' || modified) END AS headers
+FROM judged
+"""
+
+ORACLE = {"op10_warc_revisits": OP10, "op9_quality_rules": OP9}

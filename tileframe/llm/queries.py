@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tileframe.llm import jaccard, licenses, mixing, packing, pii, quality
+from tileframe.llm import html_text, jaccard, licenses, mixing, packing, pii, quality, revisits
 from tileframe.llm.oracle import ORACLE
 
 __all__ = ["ORACLE", "QUERIES"]
@@ -21,6 +22,11 @@ def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.join_ngrams(_read(spark, sf_dir, "documents"))
 
 
+def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return html_text.extract(_read(spark, sf_dir, "pages"))
+
+
 def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Licence notices of every document."""
     return licenses.scan(_read(spark, sf_dir, "documents"))
@@ -47,11 +53,20 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(_read(spark, sf_dir, "documents"))
 
 
+def op10_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two visits of every page; its revisits point to the responses that hold their payloads."""
+    out = revisits.resolve_revisits(revisits.captures(_read(spark, sf_dir, "pages")))
+    pairs = F.transform(F.map_entries("headers"), lambda e: F.concat(e["key"], F.lit(": "), e["value"]))
+    return out.withColumn("headers", F.array_join(F.array_sort(pairs), "\n"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard": op1_ngram_jaccard,
+    "op2_html_extraction": op2_html_extraction,
     "op3_license_scan": op3_license_scan,
     "op4_packing": op4_packing,
     "op6_mixing": op6_mixing,
     "op8_pii": op8_pii,
     "op9_quality_rules": op9_quality_rules,
+    "op10_warc_revisits": op10_warc_revisits,
 }
