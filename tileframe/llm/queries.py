@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tileframe.llm import html_text, jaccard, licenses, mixing, packing, pii, quality, revisits
+from tileframe.llm import html_text, jaccard, licenses, lm_score, mixing, neighbours, packing, pii, quality, revisits
 from tileframe.llm.oracle import ORACLE
 
 __all__ = ["ORACLE", "QUERIES"]
@@ -37,12 +37,22 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_read(spark, sf_dir, "documents"))
 
 
+def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pseudo-likelihood of every document under a network trained on all of them."""
+    return lm_score.score(_read(spark, sf_dir, "documents"))
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rates for all documents that bring the labelled domains to their target shares."""
     labels = _read(spark, sf_dir, "labels").select("doc_id", mixing.domain_of_labels().alias("domain"))
     return mixing.mix(_read(spark, sf_dir, "documents"), labels)
 
 
+def op7_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest vectors of every twentieth vector."""
+    return neighbours.search(_read(spark, sf_dir, "embeddings"))
+
+
 def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data of every document, as spans."""
     return pii.scan(_read(spark, sf_dir, "documents"))
@@ -65,7 +75,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_html_extraction": op2_html_extraction,
     "op3_license_scan": op3_license_scan,
     "op4_packing": op4_packing,
+    "op5_lm_scoring": op5_lm_scoring,
     "op6_mixing": op6_mixing,
+    "op7_neighbours": op7_neighbours,
     "op8_pii": op8_pii,
     "op9_quality_rules": op9_quality_rules,
     "op10_warc_revisits": op10_warc_revisits,
