@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tileframe.sources.workspace import stored
+from tileframe.sources import workspace
 
 #: Runs of these six ASCII characters separate words; any other character belongs to one.
 SPACE = r"[\x20\x09-\x0D]+"
@@ -13,9 +13,25 @@ SPACE_CHARS = " \t\n\x0b\x0c\r"
 _MAX_BROADCAST_ROWS = 1_000_000
 _SALTS = 32
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 __all__ = ["SPACE", "SPACE_CHARS", "join_groups", "settled", "stored", "text_or_empty", "words_of"]
 
 
+def stored(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Write a table to the shared folder and read it back. The shuffle files of the writing job are not
+    needed after that, so Spark is asked to remove them at once where it can."""
+    conf = df.sparkSession.conf
+    before = conf.get(_CLEANUP, None)
+    if before is None or not conf.isModifiable(_CLEANUP):
+        return workspace.stored(df, name)
+    conf.set(_CLEANUP, "true")
+    try:
+        return workspace.stored(df, name)
+    finally:
+        conf.set(_CLEANUP, before)
+
+
 def text_or_empty(column: str) -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 

@@ -184,11 +184,7 @@ def _semi(rows: DataFrame, ids: DataFrame, on: str) -> DataFrame:
 
 
 def _size_fits(percent: int):
-    return (100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")) & (F.col("a") != F.col("b"))
-
-
-def _ordered_pairs(pairs: DataFrame) -> DataFrame:
-    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    return 100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -202,45 +198,59 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def candidate_rows(classes: DataFrame, percent: int) -> DataFrame | None:
-    """``key, id, n`` of all index rows whose key several classes share; ``classes`` has ``id, n, short``, where
-    ``short`` are the hashes cut to 32 bits. Cutting can only bring sets closer, so no link is lost by it."""
+    """``key, id, pivot`` of all index rows whose key several classes share; ``classes`` has ``id, n, short``, where
+    ``short`` are the hashes cut to 32 bits. Cutting can only bring sets closer, so no link is lost by it.
+
+    The index is shuffled once, two numbers a row; the pivot is the key's smallest class."""
     sizes = classes.groupBy("n").count().collect()
     if not sizes:
         return None
     bands = plan_bands([(r["n"], r["count"]) for r in sizes], percent)
     rows = classes.select("id", "n", "short").mapInArrow(_index_batches(bands, percent), "key long, id long")
-    shared = stored(rows.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("key"), "keys")
-    return stored(_semi(rows, shared, "key").join(classes.select("id", "n"), "id"), "candidates")
+    of_key = Window.partitionBy("key").orderBy("id")
+    first = F.first("id").over(of_key).alias("pivot")
+    # The first row of a key is needed too if another one follows.
+    found = rows.select("key", "id", first, F.lead("id").over(of_key).alias("next"))
+    return stored(found.where("id <> pivot OR next IS NOT NULL").select("key", "id", "pivot"), "candidates")
 
 
 def _still_open(rows: DataFrame, comp: DataFrame) -> DataFrame:
-    """Rows of keys that still hold classes of several components, with the component."""
-    named = rows.drop("component").join(comp, "id", "left")
-    named = stored(named.withColumn("component", F.coalesce("component", "id")), "named")
+    """``key, id, component`` of the keys that still hold classes of several components."""
+    small = F.broadcast(comp) if comp.count() <= _SMALL else comp
+    named = rows.select("key", "id").join(small, "id", "left")
+    named = named.select("key", "id", F.coalesce("component", "id").alias("component"))
     several = named.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y")
-    return stored(named.join(several.select("key"), "key", "left_semi"), "open")
+    return stored(_semi(named, stored(several.select("key"), "keys"), "key"), "open")
+
+
+def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links among the pairs, stored; only the sets that take part are moved."""
+    pairs = stored(pairs.distinct(), "pairs")
+    ids = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
+    return stored(verified(pairs, _semi(sets, stored(ids, "ids"), "id"), percent), "links")
 
 
 def link_components(candidates: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """``id, component`` of the classes with links. ``candidates`` from ``candidate_rows``, ``sets``: ``id, grams``."""
-    links, comp, rows = None, None, candidates
+    rows, comp, links = candidates, None, None
     for turn in range(ROUNDS):
-        order = F.col("id") if turn == 0 else F.xxhash64("id", F.lit(turn))
-        pivot = F.min(F.struct(order.alias("o"), F.col("id").alias("b"), F.col("n").alias("nb"))).alias("p")
-        pivots = rows.groupBy("key").agg(pivot).select("key", "p.b", "p.nb")
-        pairs = rows.select("key", F.col("id").alias("a"), F.col("n").alias("na")).join(pivots, "key")
-        pairs = stored(_ordered_pairs(pairs.where(_size_fits(percent))), "pairs")
-        found = stored(verified(pairs, sets, percent), "links")
+        if turn:
+            pivot = F.min_by("id", F.xxhash64("id", F.lit(turn))).alias("pivot")
+            rows = rows.join(rows.groupBy("key").agg(pivot), "key")
+        pairs = rows.where("id <> pivot").select(F.greatest("id", "pivot").alias("b"), F.least("id", "pivot").alias("a"))
+        found = _verify(pairs.select("a", "b"), sets, percent)
         links = found if links is None else links.union(found)
         comp = stored(components(links), "components")
-        rows = _still_open(rows, comp)
-    left = rows.select("key", F.col("id").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca"))
-    right = rows.select("key", F.col("id").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"))
-    across = (F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & _size_fits(percent)
-    pairs = stored(left.join(right, "key").where(across).select("a", "b").distinct(), "pairs")
+        rows = _still_open(candidates if not turn else rows, comp)
+    left = rows.select("key", F.col("id").alias("a"), F.col("component").alias("ca"))
+    right = rows.select("key", F.col("id").alias("b"), F.col("component").alias("cb"))
+    sizes = sets.select("id", F.size("grams").alias("n"))
+    pairs = left.join(right, "key").where("a < b AND ca <> cb").select("a", "b").distinct()
+    pairs = pairs.join(sizes.toDF("a", "na"), "a").join(sizes.toDF("b", "nb"), "b").where(_size_fits(percent))
+    pairs = stored(pairs.select("a", "b"), "pairs")
     if pairs.isEmpty():
         return comp
-    return stored(components(links.union(stored(verified(pairs, sets, percent), "links"))), "components")
+    return stored(components(links.union(_verify(pairs, sets, percent))), "components")
 
 
 def join_ngrams(
@@ -267,7 +277,8 @@ def join_ngrams(
     comp = None
     if candidates is not None:
         wanted = stored(candidates.select("id").distinct().join(heads, "id").select("id", "head", "d1", "d2"), "wanted")
-        sets = _whole_sets(docs, key, text, n, wanted)
+        again = thin.where("n > 0").groupBy("doc_id", "d1", "d2").count().where("count > 1")
+        sets = _whole_sets(docs, key, text, n, wanted, not again.isEmpty())
         comp = link_components(candidates, sets, percent)
     named = thin.join(heads.select(F.col("id").alias("class"), "d1", "d2"), ["d1", "d2"], "left")
     if comp is not None:
@@ -282,7 +293,9 @@ def join_ngrams(
     )
 
 
-def _whole_sets(docs: DataFrame, key: str, text: str, n: int, wanted: DataFrame) -> DataFrame:
+def _whole_sets(
+    docs: DataFrame, key: str, text: str, n: int, wanted: DataFrame, repeated: bool
+) -> DataFrame:
     """``id, grams`` of the wanted classes, hashed again from the texts of their first documents."""
     ids = stored(wanted.select(F.col("head").alias("_head")).distinct(), "heads")
     texts = docs.select(F.col(f"`{key}`").cast("long").alias("_head"), F.col(f"`{text}`").alias("_text"))
@@ -294,8 +307,10 @@ def _whole_sets(docs: DataFrame, key: str, text: str, n: int, wanted: DataFrame)
     right = wanted.select("id", F.col("head").alias("_h"), F.col("d1").alias("_1"), F.col("d2").alias("_2"))
     on = F.col("_id").eqNullSafe(F.col("_h")) & (F.col("d1") == F.col("_1")) & (F.col("d2") == F.col("_2"))
     joined = grams.withColumnRenamed("id", "_id").join(right, on).select("id", "grams")
-    # Repeated rows give the same set again; one of them is kept.
-    return stored(joined.groupBy("id").agg(F.first("grams").alias("grams")), "sets")
+    if repeated:
+        # Repeated rows give the same set again; one of them is kept.
+        joined = joined.groupBy("id").agg(F.first("grams").alias("grams"))
+    return stored(joined, "sets")
 
 
 def distinct_documents(
