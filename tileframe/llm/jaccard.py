@@ -69,6 +69,19 @@ class Band:
     deletions: int
     spare: int
 
+    @property
+    def left_out(self) -> int:
+        """Empty segments that a class may leave out of the index: twice as many as are to be expected."""
+        if self.deletions:
+            return self.spare
+        expected = self.segments * math.exp(-self.low / self.segments)
+        return min(self.spare, math.ceil(2 * expected) + 1)
+
+    @property
+    def need(self) -> int:
+        """Index keys that two linked classes share in this band, at the least."""
+        return 1 + self.spare - self.left_out
+
 
 def most_apart(high: int, percent: int) -> int:
     """Hashes in which two linked classes of at most ``high`` can differ."""
@@ -107,7 +120,13 @@ def allocate(low: int, high: int, classes: int, percent: int) -> Band:
             cost = rows + 4 * chance
             if best is None or cost < best[0]:
                 best = (cost, Band(low, high, m, deletions, spare))
-    return best[1]
+    band = best[1]
+    if not band.deletions:
+        # Half as many segments again: linked classes then share many keys, and a count of keys spares most
+        # comparisons of sets that are alike but not enough.
+        spare = max(band.spare, (apart + 1) // 2)
+        band = Band(low, high, apart + 1 + spare, 0, spare)
+    return band
 
 
 def plan_bands(sizes: list[tuple[int, int]], percent: int) -> list[Band]:
@@ -127,7 +146,7 @@ def _mixed(x: np.ndarray) -> np.ndarray:
 
 
 def signature_keys(short: np.ndarray, lengths: np.ndarray, sizes: np.ndarray, bands: list[Band], percent: int):
-    """Index rows of many sets, as arrays of (position of the set, key).
+    """Index rows of many sets, as (band, positions of the sets, keys).
 
     ``short`` are all cut hashes, set by set, ``lengths`` how many each set has, ``sizes`` the sizes of the whole sets."""
     grams = _mixed(short.astype(np.uint64) + np.uint64(1))
@@ -152,13 +171,13 @@ def signature_keys(short: np.ndarray, lengths: np.ndarray, sizes: np.ndarray, ba
         place = np.tile(np.arange(band.segments, dtype=np.uint64), int(member.sum()))
         salt = _mixed((np.uint64(number + 1) << np.uint64(32)) + place)
         empties = (count == 0).reshape(-1, band.segments).sum(axis=1)
-        keep = (count > 0) | np.repeat(empties > band.spare, band.segments)
+        keep = (count > 0) | np.repeat(empties > band.left_out, band.segments)
         if band.deletions:
             keep |= place < band.deletions
-        yield who[keep], _mixed(total[keep] + salt[keep])
+        yield number, who[keep], _mixed(total[keep] + salt[keep])
         if band.deletions:
             near = seg < band.deletions
-            yield owner[use][near], _mixed(total[cell[near]] - mine[near] + salt[cell[near]])
+            yield number, owner[use][near], _mixed(total[cell[near]] - mine[near] + salt[cell[near]])
 
 
 def _index_batches(bands: list[Band], percent: int):
@@ -170,9 +189,10 @@ def _index_batches(bands: list[Band], percent: int):
                 lists = part.column(2)
                 short = lists.flatten().to_numpy(zero_copy_only=False)
                 lengths = lists.value_lengths().to_numpy(zero_copy_only=False)
-                for who, keys in signature_keys(short, lengths, sizes, bands, percent):
+                for number, who, keys in signature_keys(short, lengths, sizes, bands, percent):
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(keys.view(np.int64)), pa.array(ids[who])], names=["key", "id"]
+                        [pa.array(keys.view(np.int64)), pa.array(ids[who]), pa.array(np.full(len(who), bands[number].need))],
+                        names=["key", "id", "need"],
                     )
 
     return run
@@ -198,7 +218,7 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def candidate_rows(classes: DataFrame, percent: int) -> DataFrame | None:
-    """``key, id, pivot`` of all index rows whose key several classes share; ``classes`` has ``id, n, short``, where
+    """``key, id, need, pivot`` of all index rows whose key several classes share; ``classes`` has ``id, n, short``, where
     ``short`` are the hashes cut to 32 bits. Cutting can only bring sets closer, so no link is lost by it.
 
     The index is shuffled once, two numbers a row; the pivot is the key's smallest class."""
@@ -206,26 +226,32 @@ def candidate_rows(classes: DataFrame, percent: int) -> DataFrame | None:
     if not sizes:
         return None
     bands = plan_bands([(r["n"], r["count"]) for r in sizes], percent)
-    rows = classes.select("id", "n", "short").mapInArrow(_index_batches(bands, percent), "key long, id long")
+    rows = classes.select("id", "n", "short").mapInArrow(_index_batches(bands, percent), "key long, id long, need long")
     of_key = Window.partitionBy("key").orderBy("id")
     first = F.first("id").over(of_key).alias("pivot")
     # The first row of a key is needed too if another one follows.
-    found = rows.select("key", "id", first, F.lead("id").over(of_key).alias("next"))
-    return stored(found.where("id <> pivot OR next IS NOT NULL").select("key", "id", "pivot"), "candidates")
+    found = rows.select("key", "id", "need", first, F.lead("id").over(of_key).alias("next"))
+    return stored(found.where("id <> pivot OR next IS NOT NULL").select("key", "id", "need", "pivot"), "candidates")
 
 
 def _still_open(rows: DataFrame, comp: DataFrame) -> DataFrame:
-    """``key, id, component`` of the keys that still hold classes of several components."""
+    """``key, id, need, component`` of the keys that still hold classes of several components."""
     small = F.broadcast(comp) if comp.count() <= _SMALL else comp
-    named = rows.select("key", "id").join(small, "id", "left")
-    named = named.select("key", "id", F.coalesce("component", "id").alias("component"))
+    named = rows.select("key", "id", "need").join(small, "id", "left")
+    named = named.select("key", "id", "need", F.coalesce("component", "id").alias("component"))
     several = named.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y")
     return stored(_semi(named, stored(several.select("key"), "keys"), "key"), "open")
 
 
+def _enough(pairs: DataFrame) -> DataFrame:
+    """Distinct pairs that share as many keys as a link needs in one of their bands (``need`` tells bands apart enough:
+    keys of bands with equal needs are counted together, which keeps a pair too many at worst)."""
+    return pairs.groupBy("a", "b", "need").count().where("count >= need").select("a", "b").distinct()
+
+
 def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links among the pairs, stored; only the sets that take part are moved."""
-    pairs = stored(pairs.distinct(), "pairs")
+    pairs = stored(pairs, "pairs")
     ids = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
     return stored(verified(pairs, _semi(sets, stored(ids, "ids"), "id"), percent), "links")
 
@@ -237,15 +263,15 @@ def link_components(candidates: DataFrame, sets: DataFrame, percent: int) -> Dat
         if turn:
             pivot = F.min_by("id", F.xxhash64("id", F.lit(turn))).alias("pivot")
             rows = rows.join(rows.groupBy("key").agg(pivot), "key")
-        pairs = rows.where("id <> pivot").select(F.greatest("id", "pivot").alias("b"), F.least("id", "pivot").alias("a"))
-        found = _verify(pairs.select("a", "b"), sets, percent)
+        pairs = rows.where("id <> pivot").select(F.least("id", "pivot").alias("a"), F.greatest("id", "pivot").alias("b"), "need")
+        found = _verify(_enough(pairs), sets, percent)
         links = found if links is None else links.union(found)
         comp = stored(components(links), "components")
         rows = _still_open(candidates if not turn else rows, comp)
-    left = rows.select("key", F.col("id").alias("a"), F.col("component").alias("ca"))
+    left = rows.select("key", "need", F.col("id").alias("a"), F.col("component").alias("ca"))
     right = rows.select("key", F.col("id").alias("b"), F.col("component").alias("cb"))
     sizes = sets.select("id", F.size("grams").alias("n"))
-    pairs = left.join(right, "key").where("a < b AND ca <> cb").select("a", "b").distinct()
+    pairs = _enough(left.join(right, "key").where("a < b AND ca <> cb").select("a", "b", "need"))
     pairs = pairs.join(sizes.toDF("a", "na"), "a").join(sizes.toDF("b", "nb"), "b").where(_size_fits(percent))
     pairs = stored(pairs.select("a", "b"), "pairs")
     if pairs.isEmpty():
