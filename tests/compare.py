@@ -5,7 +5,8 @@ from __future__ import annotations
 import duckdb
 import pandas as pd
 
-TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
+TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings",
+          "pages", "benchmark", "labels", "conversations")
 
 
 def connect(folder: str) -> duckdb.DuckDBPyConnection:

@@ -88,3 +88,19 @@ def test_histogram(spark):
     within = profile.histogram(df, "v", 7, low=0, high=50)
     assert sum(r.rows for r in within.collect()) == df.filter("v <= 50").count()
     assert [(r.g, r.bin, r.rows) for r in profile.histogram(df, "same", 4, group="g").orderBy("g").collect()] == [(0, 0, 250), (1, 0, 250)]
+
+
+def test_histogram_with_one_bound(spark):
+    from tileframe.operators import profile
+
+    df = spark.range(11).selectExpr("CAST(id AS DOUBLE) AS v")
+    assert sum(r["rows"] for r in profile.histogram(df, "v", low=5).collect()) == 6
+    assert sum(r["rows"] for r in profile.histogram(df, "v", high=4).collect()) == 5
+
+
+def test_repeated_overrides_do_not_multiply_rows(spark):
+    from tileframe.operators import tables
+
+    df = spark.createDataFrame([("a", 1.0), ("b", None)], "k string, v double")
+    twice = spark.createDataFrame([("b", 3.0), ("b", 5.0)], "k string, v double")
+    assert sorted(tables.override_values(df, twice, "k", "v").collect()) == [("a", 1.0), ("b", 5.0)]

@@ -109,7 +109,7 @@ def reallocate_by_buildings(
 
     ``denominator`` is what a tile's building count is divided by: ``buildings`` (all buildings in
     the district's tiles, which preserves the district total) or ``rows`` (the number of those
-    tiles, as in the original study). Tiles without buildings get no row.
+    tiles). Tiles without buildings get no row.
     """
     if denominator not in ("buildings", "rows"):
         raise ValueError("denominator must be 'buildings' or 'rows'")

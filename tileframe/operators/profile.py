@@ -95,6 +95,10 @@ def histogram(
             )
     else:
         rows = rows.withColumns({"_low": F.lit(float(low)), "_high": F.lit(float(high))})
+    if low is not None:
+        rows = rows.withColumn("_low", F.lit(float(low)))
+    if high is not None:
+        rows = rows.withColumn("_high", F.lit(float(high)))
     rows = rows.filter((F.col(value) >= F.col("_low")) & (F.col(value) <= F.col("_high")))
     width = (F.col("_high") - F.col("_low")) / bins
     nth = F.coalesce(F.floor(F.try_divide(F.col(value) - F.col("_low"), width)), F.lit(0)).cast("int")

@@ -35,10 +35,11 @@ def with_group_totals(df: DataFrame, keys: Sequence[str], totals: Sequence[Colum
 
 
 def override_values(df: DataFrame, overrides: DataFrame, key: str, value: str) -> DataFrame:
-    """Replace the value of the keys listed in a small (key, value) table; an override wins over NULL too."""
-    changed = broadcast_if_small(
-        overrides.select(F.col(key), F.col(value).cast(df.schema[value].dataType).alias("_new"), F.lit(True).alias("_set"))
-    )
+    """Replace the value of the keys listed in a small (key, value) table; an override wins over NULL too.
+
+    Of several overrides of one key the largest counts, so rows are never multiplied."""
+    new = F.max(F.col(value).cast(df.schema[value].dataType)).alias("_new")
+    changed = broadcast_if_small(overrides.groupBy(key).agg(new, F.lit(True).alias("_set")))
     return (
         df.join(changed, key, "left")
         .withColumn(value, F.when(F.col("_set"), F.col("_new")).otherwise(F.col(value)))

@@ -39,9 +39,10 @@ def stored(df: DataFrame, name: str = "stage") -> DataFrame:
 
 
 def is_small(df: DataFrame, max_rows: int = 200_000) -> bool:
-    """Count a table up to a bound. This is a job: use it on tables that are cheap to scan, such
-    as control totals, truth sets, overrides, or aggregates of a stored table."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    """Count a table against a bound. This is a job: use it on tables that are cheap to scan, such
+    as control totals, truth sets, overrides, or aggregates of a stored table. The count is made of
+    partial sums; a limit would gather rows in one task."""
+    return df.count() <= max_rows
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = 200_000) -> DataFrame:

@@ -39,6 +39,9 @@ class Inputs:
     # --- pings
 
     def pings(self) -> DataFrame:
+        return self._pings()
+
+    def _pings(self, *more: str) -> DataFrame:
         return self.table("events").selectExpr(
             "event_id",
             "user_id AS device_id",
@@ -46,14 +49,13 @@ class Inputs:
             "100D + ((event_id * 7919L + user_id * 104729L) % 100003L) / 100003D AS lon",
             """IF(event_id % 97 = 0, NULL,
                 13D + ((event_id * 15485863L + user_id * 32452843L) % 99991L) / 99991D) AS lat""",
+            *more,
         )
 
     def pings_ms(self) -> DataFrame:
         """The second feed: epoch milliseconds, a consent text, an internet provider."""
         epoch = "timestampdiff(MILLISECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', ts)"
-        return self.pings().join(
-            self.table("events").selectExpr("event_id", "event_type AS isp", "props AS consent"), "event_id"
-        ).selectExpr("event_id", "device_id", f"{epoch} AS ts_ms", "lon", "lat", "isp", "consent")
+        return self._pings("event_type AS isp", "props AS consent").selectExpr("event_id", "device_id", f"{epoch} AS ts_ms", "lon", "lat", "isp", "consent")
 
     # --- areas
 
@@ -136,9 +138,14 @@ class Inputs:
     # --- population and maps
 
     def pop_points(self, zoom: int = ZOOM) -> DataFrame:
-        orders = self._lattice(self.table("orders").filter("o_orderkey % 3 = 0"), "o_orderkey")
+        orders = self._lattice(self.table("orders"), "o_orderkey")
         return self._tiled(orders, zoom).selectExpr("tile", "o_totalprice / 1000D AS pop")
 
+    def surveyed_points(self, zoom: int = ZOOM) -> DataFrame:
+        """Population of the surveyed tiles; one quarter of all tiles, by the last digit of the key, has none, as
+        the queries on missing populations need."""
+        return self.pop_points(zoom).filter("substr(tile, -1) <> '3'")
+
     def map_tiles(self, tiles: DataFrame) -> DataFrame:
         """Names of each tile by the position of its middle."""
         middle = tile_centroid(F.col("tile"))

@@ -122,7 +122,9 @@ CTES: dict[str, str] = {
         p_size % 5 + 1 AS floors, p_partkey % 2 AS residential FROM parts""",
     "tile_metric": "SELECT tile, sum(p_size * floors * 10.0::DOUBLE) AS floor_area FROM buildings GROUP BY 1",
     "pop_points": f"""SELECT {tile('lat', 'lon', ZOOM)} AS tile, o_totalprice / 1000::DOUBLE AS pop FROM (
-        SELECT o_totalprice, {lattice('o_orderkey')} FROM orders WHERE o_orderkey % 3 = 0)""",
+        SELECT o_totalprice, {lattice('o_orderkey')} FROM orders)""",
+    "surveyed_points": "SELECT * FROM pop_points WHERE right(tile, 1) <> '3'",
+    "surveyed_pop": "SELECT tile, sum(pop) AS pop FROM surveyed_points GROUP BY 1",
     "tile_pop": "SELECT tile, sum(pop) AS pop FROM pop_points GROUP BY 1",
     "tile_places": _map("SELECT tile FROM buildings UNION SELECT tile FROM pop_points"),
     "tile_map": "SELECT tile, adm1, adm2, adm3 FROM " + nation_of("SELECT tile, lon, lat FROM tile_places"),
@@ -219,7 +221,7 @@ for _zoom, _tag in ((ZOOM, "14"), (16, "16")):
         FROM (SELECT p_size, {tile('lat', 'lon', _zoom)} AS tile FROM parts) GROUP BY 1"""
     CTES[f"pop_{_tag}"] = f"""SELECT tile, sum(pop::DECIMAL(20, 5))::DOUBLE AS pop FROM (
         SELECT {tile('lat', 'lon', _zoom)} AS tile, o_totalprice / 1000::DOUBLE AS pop FROM (
-            SELECT o_totalprice, {lattice('o_orderkey')} FROM orders WHERE o_orderkey % 3 = 0)) GROUP BY 1"""
+            SELECT o_totalprice, {lattice('o_orderkey')} FROM orders)) WHERE right(tile, 1) <> '3' GROUP BY 1"""
     CTES[f"gaps_{_tag}"] = f"""SELECT m.tile, m.floor_area, adm1, adm2, adm3, pop FROM metric_{_tag} m JOIN {nation_of(
         'SELECT tile, lon, lat FROM (' + _map(f'SELECT tile FROM metric_{_tag}') + ')')} n USING (tile)
         LEFT JOIN pop_{_tag} USING (tile)"""
@@ -249,8 +251,8 @@ ORACLE: dict[str, str] = {
     "join_inner_using": "SELECT tile, floor_area, round(pop, 6) AS pop FROM tile_metric JOIN tile_pop USING (tile)",
     "join_inner_expr": """SELECT o_orderkey, o_custkey, c_mktsegment, o_totalprice FROM orders
         JOIN customer ON o_custkey = c_custkey""",
-    "join_left_missing": "SELECT tile, floor_area, round(pop, 6) AS pop FROM tile_metric LEFT JOIN tile_pop USING (tile)",
-    "join_left_anti": "SELECT tile, floor_area FROM tile_metric WHERE tile NOT IN (SELECT tile FROM pop_points)",
+    "join_left_missing": "SELECT tile, floor_area, round(pop, 6) AS pop FROM tile_metric LEFT JOIN surveyed_pop USING (tile)",
+    "join_left_anti": "SELECT tile, floor_area FROM tile_metric WHERE tile NOT IN (SELECT tile FROM surveyed_points)",
     "join_left_semi": """SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderkey IN (
         SELECT l_orderkey FROM lineitem WHERE l_returnflag = 'R' AND l_quantity > 49)""",
     "join_band": f"""SELECT t.tile, t.adm1, t.adm2, t.adm3, t.floor_area, d.floor_area AS neighbour_floor_area,
@@ -292,14 +294,14 @@ ORACLE: dict[str, str] = {
             FROM tile_places)""",
     "tile_centroid": "SELECT tile, round(lon, 9) AS lon, round(lat, 9) AS lat FROM tile_places",
     "cell_rollup": f"""SELECT substr({tile('lat', 'lon', 16)}, 1, 12) AS parent, count(*) AS pings FROM pings
-        WHERE lat IS NOT NULL GROUP BY 1""",
+        GROUP BY 1""",
     "pivot_cell_category": "SELECT cell, "
     + ", ".join(
         f"count(*) FILTER (category = '{c}') AS \"{c}\""
         for c in ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
     )
-    + f""" FROM (SELECT {geohash('lat', 'lon', 6)} AS cell, category FROM places WHERE lat IS NOT NULL
-        UNION ALL SELECT {geohash('lat', 'lon', 5)} AS cell, category FROM places WHERE lat IS NOT NULL) GROUP BY 1""",
+    + f""" FROM (SELECT {geohash('lat', 'lon', 6)} AS cell, category, 6 AS r FROM places
+        UNION ALL SELECT {geohash('lat', 'lon', 5)} AS cell, category, 5 AS r FROM places) GROUP BY 1, r""",
     "ping_cell_features": f"""SELECT event_id, {geohash('lat', 'lon', 6)} AS gh6, {geohash('lat', 'lon', 5)} AS gh5,
         {tile('lat', 'lon', 16)} AS tile FROM pings""",
     "load_polygons": """SELECT adm3, 3::BIGINT AS edges, 0.01::DOUBLE AS area, round(avg(x), 9) AS x, round(avg(y), 9) AS y

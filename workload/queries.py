@@ -168,13 +168,13 @@ def join_inner_expr(i: Inputs) -> DataFrame:
 
 @query
 def join_left_missing(i: Inputs) -> DataFrame:
-    population = households.tile_population(i.pop_points())
+    population = households.tile_population(i.surveyed_points())
     return rounded(i.tile_metric().join(population, "tile", "left"), 6)
 
 
 @query
 def join_left_anti(i: Inputs) -> DataFrame:
-    return i.tile_metric().join(i.pop_points(), "tile", "left_anti").select("tile", "floor_area")
+    return i.tile_metric().join(i.surveyed_points(), "tile", "left_anti").select("tile", "floor_area")
 
 
 @query
@@ -185,7 +185,7 @@ def join_left_semi(i: Inputs) -> DataFrame:
 
 
 def _tiles_with_gaps(i: Inputs, zoom: int) -> DataFrame:
-    population = i.pop_points(zoom).groupBy("tile").agg(
+    population = i.surveyed_points(zoom).groupBy("tile").agg(
         F.sum(F.col("pop").cast("decimal(20,5)")).cast("double").alias("pop")
     )
     metric = i.tile_metric(zoom)
@@ -288,7 +288,7 @@ def tile_centroid(i: Inputs) -> DataFrame:
 @query
 def cell_rollup(i: Inputs) -> DataFrame:
     tile = cells.tile_key(F.col("lat"), F.col("lon"), 16)
-    counts = i.pings().filter("lat IS NOT NULL").groupBy(tile.alias("tile")).agg(F.count(F.lit(1)).alias("pings"))
+    counts = i.pings().groupBy(tile.alias("tile")).agg(F.count(F.lit(1)).alias("pings"))
     return features.roll_up_cells(counts, "tile", 12, "parent")
 
 
@@ -296,7 +296,7 @@ def cell_rollup(i: Inputs) -> DataFrame:
 def pivot_cell_category(i: Inputs) -> DataFrame:
     """Both resolutions in one table; the coarse matrix is the sum of the fine one."""
     lat, lon = F.col("lat"), F.col("lon")
-    places = i.places().filter("lat IS NOT NULL").withColumn("gh6", cells.geohash(lat, lon, 6))
+    places = i.places().withColumn("gh6", cells.geohash(lat, lon, 6))
     fine = features.category_counts(places, "gh6", "category")
     coarse = features.roll_up_cells(fine, "gh6", 5, "gh5")
     return fine.withColumnRenamed("gh6", "cell").unionByName(coarse.withColumnRenamed("gh5", "cell"))
