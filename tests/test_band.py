@@ -106,3 +106,16 @@ def test_band_averages_without_donors(spark):
     assert band.band_averages(tiles.select("tile", "floor_area", "adm1"), tiles, [("adm1",)], "floor_area", "pop").filter(
         F.col("_avg_0").isNotNull()
     ).count() == 0
+
+
+@pytest.mark.parametrize("unit", [1e-11, 1.0, 1e19])
+def test_measures_of_any_size(spark, unit):
+    rows = [("a", "A", "c", "e", 10.0, 3 * unit), ("b", "A", "c", "e", 11.0, 5 * unit), ("t", "A", "c", "e", 10.5, None)]
+    out = band.impute_cascade(spark.createDataFrame(rows, SCHEMA)).where("tile = 't'").first()
+    assert out.pop == pytest.approx(4 * unit, rel=1e-12)
+
+
+def test_totals_without_room_are_refused(spark):
+    rows = [("a", "A", "c", "e", 10.0, 1e37), ("t", "A", "c", "e", 10.5, None)]
+    with pytest.raises(ValueError, match="digits"):
+        band.impute_cascade(spark.createDataFrame(rows, SCHEMA))

@@ -113,3 +113,9 @@ def test_category_matrix_and_roll_up(spark):
     assert sorted(map(tuple, coarse.collect())) == [("aa", 0, 2, 2), ("bb", 1, 0, 0)]
     fixed = features.category_counts(df, "cell", "kind", ["x", "z"])
     assert sorted(map(tuple, fixed.collect())) == [("aa1", 2, 0), ("aa2", 0, 0), ("bb1", 0, 0)]
+
+
+def test_category_rows_have_no_limit_of_columns(spark):
+    places = spark.range(30_000).selectExpr("'c' AS cell", "IF(id % 3 = 0, NULL, cast(id AS string)) AS category")
+    out = features.category_rows(places, "cell", "category")
+    assert out.count() == 20_001 and out.where("category = 'null'").first()["rows"] == 10_000

@@ -47,3 +47,12 @@ def test_bounds(spark):
     rows = sampling.ratio_bounds(df).collect()
     assert [(r.upper, r.lower) for r in rows] == [(3.87, 2.13), (3.33, 1.59)]
     assert sampling.ratio_bounds(df, spread=2).first().upper == 3.58
+
+
+def test_slots_are_spread_with_adaptive_defaults(spark):
+    """Adaptive execution must not merge the pieces into one task."""
+    other = spark.newSession()
+    other.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    few = other.createDataFrame([(f"g{i}", 1.0, 2.0, 500_000) for i in range(4)], "adm1 string, lower double, upper double, n long")
+    out = sampling.uniform_samples(few, "adm1").groupBy(F.spark_partition_id().alias("p")).count().collect()
+    assert len(out) > 8 and sum(r["count"] for r in out) == 2_000_000

@@ -242,3 +242,39 @@ def test_empty_inputs(spark, shapes, points):
     none = shapes[1].limit(0)
     assert spatial_join.join_points(points[1], none, ["name"]).count() == 0
     assert spatial_join.join_points(points[1].limit(0), shapes[1], ["name"]).count() == 0
+
+
+@pytest.mark.parametrize("options", [{}, {"bits": 8}, {"bits": -3}, {"broadcast_bytes": 0}])
+def test_coordinates_in_metres(spark, options):
+    """Small polygons far from the origin; the grid follows from where they lie."""
+    far = [(600_000 + x, 1_500_000 + y) for x, y in SQUARE]
+    shapes = spark.createDataFrame([("far", "f", [ring(far)])], POLYGON_SCHEMA)
+    points = spark.createDataFrame([(1, 600_001.0, 1_500_001.0), (2, 0.0, 0.0), (3, 1e12, 0.0)], "id int, lon double, lat double")
+    assert [r.id for r in spatial_join.join_points(points, shapes, ["name"], **options).collect()] == [1]
+
+
+def test_grid_without_room_is_refused(spark):
+    shapes = spark.createDataFrame([("far", "f", [ring([(600_000 + x, 1_500_000 + y) for x, y in SQUARE])])], POLYGON_SCHEMA)
+    with pytest.raises(ValueError, match="does not hold"):
+        cover.cover_polygons(shapes, ["name"], bits=12)
+
+
+def test_wide_area_has_a_bounded_cover(spark):
+    wide = [(0, 0), (500_000, 0), (500_000, 500_000), (0, 500_000)]
+    shapes = spark.createDataFrame([("wide", "w", [ring(wide)])], POLYGON_SCHEMA)
+    found = cover.cover_polygons(shapes, ["name"])
+    assert found.bits < 0 and found.rows.count() < 60_000
+
+
+def test_box_beyond_the_grid_meets_its_polygon(spark):
+    shapes = spark.createDataFrame([("square", "s", [ring(SQUARE)])], POLYGON_SCHEMA)
+    boxes = spark.createDataFrame([(1, -1e12, -1e12, 1e12, 1e12), (2, 1e11, 1e11, 1e12, 1e12)], "id int, w double, s double, e double, n double")
+    bounds = {"west": F.col("w"), "south": F.col("s"), "east": F.col("e"), "north": F.col("n")}
+    out = spatial_join.join_boxes(boxes, ["id"], bounds, shapes, ["name"], area="area").collect()
+    assert [(r.id, r.name, r.area) for r in out] == [(1, "square", 16.0)]
+
+
+def test_no_broadcast_of_columns_without_a_known_size(spark, shapes):
+    tagged = shapes[1].withColumn("tags", F.array_repeat(F.lit("x"), 1000))
+    found = cover.cover_polygons(tagged, ["name", "tags"])
+    assert not found.broadcast and not found.split

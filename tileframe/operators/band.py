@@ -11,8 +11,22 @@ from pyspark.sql import functions as F
 from tileframe.operators.ordered import running_sums
 from tileframe.sources.workspace import stored
 
-# Sums are exact decimals: differences of running totals then lose no digits.
-_EXACT = "decimal(28,10)"
+_DIGITS = 38
+
+
+def _exact_type(donors: DataFrame, measure: str) -> str:
+    """Decimals for sums, so that differences of running totals lose no digits. One aggregate finds how many
+    digits the largest possible total needs; all others are decimal places. Raises where a total does not fit."""
+    size = F.abs(F.col(measure).cast("double"))
+    row = donors.agg(F.max(size).alias("top"), F.count(size).alias("n")).first()
+    if not row["top"]:
+        return f"decimal({_DIGITS},10)"
+    if not math.isfinite(row["top"]):
+        raise ValueError(f"{measure} holds numbers that are not finite")
+    whole = max(1, math.floor(math.log10(row["top"]) + math.log10(row["n"])) + 3)
+    if whole > _DIGITS:
+        raise ValueError(f"totals of {measure} need more than {_DIGITS} digits")
+    return f"decimal({_DIGITS},{_DIGITS - whole})"
 
 
 def band_join(
@@ -96,19 +110,20 @@ def band_averages(
         return spread.select("_row.*", *kept).filter("_grp IS NOT NULL")
 
     v = F.col(value)
+    exact = _exact_type(donors, measure)
     own = [F.col(c).alias(f"_t_{c}") for c in targets.columns]
     none = [F.lit(None).cast(targets.schema[c].dataType).alias(f"_t_{c}") for c in targets.columns]
     # Donors of equal value are one row before anything is sorted.
     given = (
-        at_levels(donors, [(v, 1)], F.col(measure).cast(_EXACT).alias("_m"))
+        at_levels(donors, [(v, 1)], F.col(measure).cast(exact).alias("_m"))
         .groupBy("_lvl", "_grp", "_v", "_kind")
-        .agg(F.sum("_m").cast("decimal(38,10)").alias("_m"), F.count("_m").alias("_c"))
+        .agg(F.sum("_m").cast(exact).alias("_m"), F.count("_m").alias("_c"))
         .select("_lvl", "_grp", "_v", "_kind", "_m", "_c", *none)
     )
     # The lower end sorts before donors of the same value, the upper end after them.
     asked = at_levels(
         targets, [(v * F.lit(low), 0), (v * F.lit(high), 2)],
-        F.lit(0).cast("decimal(38,10)").alias("_m"), F.lit(0).cast("long").alias("_c"), *own,
+        F.lit(0).cast(exact).alias("_m"), F.lit(0).cast("long").alias("_c"), *own,
     )
     stacked = given.unionByName(asked)
 

@@ -21,10 +21,12 @@ from tileframe.sources.workspace import stored
 
 CELL, EDGES = "_cell", "_edges"
 BOX = ("_w", "_s", "_e", "_n")
-MAX_BITS = 20
+MIN_BITS, MAX_BITS = -60, 20
+_REACH = 2.0**30  # cell indexes stay below this
 _MARGIN = "0.000001"  # cells this close to an edge (in cell sides) count as touched
 _CELL_BYTES, _EDGE_BYTES = 128, 48
-_CELLS_PER_TASK = 5_000
+_CELLS_PER_TASK, _CELLS_PER_LARGE_TASK, _FEW_TASKS = 5_000, 200_000, 200
+_MEASURED = ("string", "boolean", "tinyint", "smallint", "int", "bigint", "float", "double", "date", "timestamp", "timestamp_ntz")
 
 
 @dataclass(frozen=True)
@@ -59,11 +61,17 @@ def cell_id(ix: Column, iy: Column) -> Column:
 
 
 def indexable(x: Column, y: Column, bits: int) -> Column:
-    """False for missing, NaN and absurd coordinates, whose index would not fit."""
-    limit = F.lit(float(2**30) / 2**bits)
+    """False for missing and NaN coordinates, and for those that lie beyond all polygons of a cover with this grid."""
+    limit = F.lit(_REACH / 2.0**bits)
     return (F.abs(x) < limit) & (F.abs(y) < limit)
 
 
+def clamped(v: Column, bits: int) -> Column:
+    """A coordinate of a box, moved to the border of what the grid can index; no polygon lies beyond."""
+    limit = _REACH / 2.0**bits
+    return F.greatest(F.lit(-limit), F.least(F.lit(limit), v))
+
+
 def cell_index(v: Column, bits: int) -> Column:
     return F.floor(v * F.lit(float(2**bits))).cast("long")
 
@@ -87,6 +95,20 @@ def _with_box(polygons: DataFrame, rings: str, columns: Sequence[str]) -> DataFr
     )
 
 
+def _has_measured_types(df: DataFrame, columns: Sequence[str]) -> bool:
+    """Whether the row size of these columns is known from their types and the lengths of texts."""
+    return all(kind in _MEASURED or kind.startswith("decimal") for c, kind in df.dtypes if c in columns)
+
+
+def _reach(boxes: DataFrame) -> Column:
+    """Largest coordinate of the polygons, without its sign."""
+    return F.max(F.greatest(*[F.abs(c) for c in BOX]))
+
+
+def _fits(reach: float, bits: int) -> bool:
+    return reach * 2.0**bits < _REACH
+
+
 def _text_size(df: DataFrame, columns: Sequence[str]) -> str:
     return " + ".join(["0", *(f"coalesce(length(`{c}`), 0)" for c, kind in df.dtypes if c in columns and kind == "string")])
 
@@ -121,24 +143,32 @@ def choose_grid(
         F.expr("sum((_e - _w) * (_n - _s)) AS wh"),
         F.expr("sum((_e - _w) + (_n - _s)) AS w_plus_h"),
         F.expr(f"max({_text_size(boxes, columns)}) AS text"),
+        _reach(boxes).alias("reach"),
     ).first()
     n = row["n"]
     if not n:
         return Grid(0, 0, 0, 0, 0)
 
     def cells(bits: int) -> int:
-        return int(row["wh"] * 4**bits + 2 * row["w_plus_h"] * 2**bits + 4 * n)
+        return int(row["wh"] * 4.0**bits + 2 * row["w_plus_h"] * 2.0**bits + 4 * n)
+
+    allowed = [
+        b for b in range(MIN_BITS, MAX_BITS + 1) if _fits(row["reach"], b) and not (coarsest and 2.0**-b < coarsest)
+    ]
+    if not allowed:
+        raise ValueError(f"no grid holds coordinates up to {row['reach']} and boxes up to {coarsest}")
 
     each = cells_per_polygon or min(64, max(9, 2 * row["edges"] // n))
-    budget = max(each * n, least_cells)
-    fits = [b for b in range(MAX_BITS + 1) if cells(b) <= budget and not (coarsest and 2.0**-b < coarsest)]
-    bits = max(fits, default=0)
+    # Four cells a polygon is what the coarsest grids need at most.
+    budget = max(each * n, 5 * n, least_cells)
+    bits = max((b for b in allowed if cells(b) <= budget), default=allowed[0])
     return Grid(bits, n, row["edges"], cells(bits), row["text"])
 
 
-def _cover_rows(boxes: DataFrame, bits: int, columns: Sequence[str]) -> DataFrame:
-    """One row per polygon and cell; narrow transformations only, no shuffle."""
-    side = f"{2**bits}D"
+def _cover_rows(boxes: DataFrame, bits: int, columns: Sequence[str], tasks: int = 1) -> DataFrame:
+    """One row per polygon and cell. With several ``tasks`` the strips, each with its own edges only, are dealt
+    out to so many; otherwise nothing is shuffled."""
+    side = f"{2.0**bits}D"
     strips = boxes.select(
         *columns, *BOX, EDGES, F.expr(f"explode(sequence(floor(_s * {side}), floor(_n * {side}))) AS _iy")
     )
@@ -151,6 +181,8 @@ def _cover_rows(boxes: DataFrame, bits: int, columns: Sequence[str]) -> DataFram
     in_strip = f"""transform(filter({EDGES}, e -> e.y1 < {top} AND e.y2 >= {bottom}), e -> named_struct(
         {fields}, 'xa', least({enter}, {leave}), 'xb', greatest({enter}, {leave})))"""
     strips = strips.select(*columns, *BOX, "_iy", F.expr(in_strip).alias(EDGES))
+    if tasks > 1:
+        strips = strips.repartition(tasks)
     west = f"floor(array_min({EDGES}.xa) * {side} - {_MARGIN}D)"
     east = f"floor(array_max({EDGES}.xb) * {side} + {_MARGIN}D)"
     touched = f"exists({EDGES}, e -> e.xa * {side} <= ix + 1 + {_MARGIN}D AND e.xb * {side} >= ix - {_MARGIN}D)"
@@ -197,22 +229,25 @@ def cover_polygons(
     * Few polygons of many edges, as administrative areas are, can have a small list of cells all the
       same. Then the cells inside a polygon are broadcast, and only points in cells with an edge are
       shuffled.
+    * Columns whose size no type tells (arrays, structs, maps, binary) rule out a broadcast.
     * Many polygons, as a country's buildings are, join by shuffle on the cell; AQE splits hot cells.
     """
     columns = tuple(columns)
     boxes = _with_box(polygons, rings, columns)
-    limit = _session_broadcast_limit(polygons, broadcast_bytes)
-    fits_edges, fits_cells = True, False
+    limit = _session_broadcast_limit(polygons, broadcast_bytes) if _has_measured_types(boxes, columns) else 0
+    fits_edges, fits_cells, tasks = True, False, 1
     if bits is None:
         grid = choose_grid(boxes, columns, cells_per_polygon, least_cells, coarsest)
         bits = grid.bits
         # A small file is one task, yet its cover can be a lot of work.
-        tasks = min(polygons.sparkSession.sparkContext.defaultParallelism, grid.cells // _CELLS_PER_TASK)
-        if tasks > 1:
-            boxes = boxes.repartition(tasks)
+        tasks = min(grid.cells // _CELLS_PER_TASK, max(_FEW_TASKS, grid.cells // _CELLS_PER_LARGE_TASK))
         fits_edges = grid.polygons * _CELL_BYTES + grid.edges * _EDGE_BYTES <= limit
         fits_cells = grid.cells * (_CELL_BYTES + (grid.text or 0)) <= limit
-    rows = _cover_rows(boxes, bits, columns)
+    else:
+        reach = boxes.agg(_reach(boxes)).first()[0]
+        if reach is not None and not _fits(reach, bits):
+            raise ValueError(f"a grid of {bits} bits does not hold coordinates up to {reach}")
+    rows = _cover_rows(boxes, bits, columns, tasks)
     if limit <= 0 or not (fits_edges or fits_cells):
         return Cover(rows, bits, columns, broadcast=False)
     size = Observation()

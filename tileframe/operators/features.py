@@ -30,12 +30,19 @@ def category_values(df: DataFrame, category: str, most: int = 10_000) -> list[st
     return sorted(r["c"] for r in rows)
 
 
+def category_rows(df: DataFrame, cell: str, category: str) -> DataFrame:
+    """The counts in long form, for any number of categories: one row per cell and category with ``rows``."""
+    named = F.coalesce(F.col(category), F.lit(NULL_CATEGORY)).alias(category)
+    return df.groupBy(cell, named).agg(F.count(F.lit(1)).alias("rows"))
+
+
 def category_counts(
     df: DataFrame, cell: str, category: str, values: Sequence[str] | None = None
 ) -> DataFrame:
     """One row per cell, one column per category with the number of rows, 0 where there is none.
 
-    Without ``values`` the categories are looked up once; give them to keep several tables alike.
+    Without ``values`` the categories are looked up once; give them to keep several tables alike. Where
+    there are too many for columns, use ``category_rows``.
     """
     values = category_values(df, category) if values is None else list(values)
     named = df.select(cell, F.coalesce(F.col(category), F.lit(NULL_CATEGORY)).alias("_category"))

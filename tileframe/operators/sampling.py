@@ -23,15 +23,19 @@ def ratio_bounds(
 
 
 def sample_slots(groups: DataFrame, count: str) -> DataFrame:
-    """One row per (group, slot 1..count). A large group becomes many pieces on many tasks."""
+    """One row per (group, slot 1..count). A large group becomes many pieces on many tasks.
+
+    The pieces are tiny rows, which adaptive execution would merge into one task, so the number of tasks
+    is given; it follows from the number of slots, one aggregate over the groups."""
     n = F.col(count)
     pieces = groups.filter(n > 0).select(
         "*", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((n - 1) / F.lit(CHUNK)))).alias("_piece")
     )
     first = F.col("_piece") * CHUNK + 1
     last = F.least(first + CHUNK - 1, n.cast("long"))
+    slots = groups.filter(n > 0).agg(F.sum(n.cast("long"))).first()[0] or 0
     return (
-        pieces.repartition("_piece", *groups.columns)
+        pieces.repartition(max(1, -(-slots // CHUNK)), "_piece", *groups.columns)
         .select("*", F.explode(F.sequence(first, last)).alias("slot"))
         .drop("_piece")
     )

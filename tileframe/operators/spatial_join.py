@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tileframe.functions.geometry import box_overlap_area, holds_point, touches_box
-from tileframe.operators.cover import BOX, CELL, EDGES, Cover, cell_id, cell_index, cover_polygons, indexable
+from tileframe.operators.cover import BOX, CELL, EDGES, Cover, cell_id, cell_index, clamped, cover_polygons, indexable
 
 PREDICATES = ("contains", "within", "intersects")
 
@@ -96,13 +96,18 @@ def join_boxes(
     else:
         options = {"coarsest": largest_side(boxes, bounds), **cover_options}
         cover = cover_polygons(polygons, columns, rings=rings, **options)
-    bits, side = cover.bits, f"{2**cover.bits}D"
+    bits, side = cover.bits, f"{2.0**cover.bits}D"
     framed = boxes.select(*box_key, *[bounds[b].alias(f"_{b}") for b in ("west", "south", "east", "north")])
     w, s, e, n = (F.col(f"_{b}") for b in ("west", "south", "east", "north"))
+    finite = F.abs(w) + F.abs(s) + F.abs(e) + F.abs(n) < F.lit(float("inf"))
+
+    def cells(low: Column, high: Column) -> Column:
+        return F.explode(F.sequence(cell_index(clamped(low, bits), bits), cell_index(clamped(high, bits), bits)))
+
     pieces = (
-        framed.filter(indexable(w, s, bits) & indexable(e, n, bits))
-        .select("*", F.explode(F.sequence(cell_index(w, bits), cell_index(e, bits))).alias("_ix"))
-        .select("*", F.explode(F.sequence(cell_index(s, bits), cell_index(n, bits))).alias("_iy"))
+        framed.filter(finite)
+        .select("*", cells(w, e).alias("_ix"))
+        .select("*", cells(s, n).alias("_iy"))
         .withColumn(CELL, cell_id(F.col("_ix"), F.col("_iy")))
     )
     joined = pieces.join(cover.joinable(), CELL)
