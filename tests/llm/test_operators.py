@@ -283,6 +283,30 @@ def test_lm_score(spark, edges, none):
     assert lm_score.score(none).count() == 0
 
 
+def test_lm_score_gives_every_word_its_own_probability(spark):
+    """Each word once as a text of its own, so all with the same context: probabilities sum to one, and words of a group
+    differ by their counts."""
+    rest = {f"rare{i}": 1 + i % 2 for i in range(3000)}
+    words = [f"top{i}" for i in range(lm_score.VOCABULARY)] + list(rest)
+    again = [w for w, n in rest.items() if n == 2]
+    tops = [" ".join(f"top{i}" for i in range(j, lm_score.VOCABULARY, 64)) for j in range(64)]
+    rows = [(i, w) for i, w in enumerate(words)] + [(10_000 + i, t) for i, t in enumerate(tops + tops + [" ".join(again)])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+    got = {words[r.doc_id]: r.log_likelihood for r in lm_score.score(docs).collect() if r.doc_id < 10_000}
+    assert abs(sum(np.exp(v) for v in got.values()) - 1) < 1e-3
+    groups = collections.defaultdict(list)
+    for w in rest:
+        groups[zlib.crc32(w.encode()) % lm_score.HASHED].append(w)
+    for members in groups.values():
+        first = members[0]
+        for w in members:
+            assert abs(got[w] - got[first] - np.log(rest[w] / rest[first])) < 1e-4
+    known, _ = lm_score.vocabulary(spark.range(10_000).selectExpr("concat('w', id) w", "9L count"))
+    assert len(known.words) == lm_score.VOCABULARY
+    known, _ = lm_score.vocabulary(spark.range(10_000).selectExpr("concat('w', id) w", "900L count"))
+    assert len(known.words) == 10_000
+
+
 def test_revisits(spark):
     kind = "record_id long, url string, ts long, kind string, headers map<string,string>, digest string, outcome int"
     rows = [

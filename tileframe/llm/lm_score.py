@@ -1,13 +1,18 @@
 """Document scores by masked pseudo-likelihood.
 
 Every word is predicted from the two words before and the two after it, never from itself, by a small network: one
-embedding table for each of the four places, their sum through tanh, and a softmax in two steps (class, then word within
-the class). A document's score is the sum of the conditional log-probabilities of its words.
+embedding table for each of the four places, their sum through tanh, and a softmax in three steps: class, then word or
+hashed group of words within the class, then word within the group. A document's score is the sum of the conditional
+log-probabilities of its words, and the probabilities of all words of the corpus sum to one in every context.
 
-The vocabulary are the most frequent words of all documents; other words fall into hashed groups. Training is data
-parallel: each task starts from the same seeded network and learns from its own part of every document's windows with
-numpy; the networks are then averaged, weighted by what they have seen, in groups of bounded size until one is left. What is
-gathered (word counts, networks) grows with the corpus, and the driver only receives the vocabulary and one network.
+All words are counted in a stored table. The network has an output for each of the most frequent words: ``VOCABULARY``, or as
+many as are counted at least ``sqrt(tokens) / ROOT_SHARE`` times if these are more, so that it grows with the root of the
+corpus. Other words meet the network as one of ``HASHED`` groups, and have their share of the group's count as
+probability within the group; the sums of its logarithms come from a join with the count table, so no word is cut off.
+
+Texts are numbered once, and the numbers stored. Training is data parallel: each task starts from the same seeded network
+and learns from its own part of every document's windows with numpy; the networks are then averaged, weighted by what they
+have seen, in groups of bounded size until one is left. The driver only receives the frequent words and one network.
 
 ``STRIDE``: each document gives every fourth of its windows to training; all words take part as context, and all are scored.
 
@@ -18,9 +23,12 @@ are scored whole, in slices; an empty table gives an empty table.
 
 from __future__ import annotations
 
+import math
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -31,39 +39,40 @@ from pyspark.sql import functions as F
 
 from tileframe.llm.common import stored, text_or_empty, words_of
 
-VOCABULARY, HASHED, CLASS_SIZE = 4096, 256, 64
+VOCABULARY, HASHED, CLASS_SIZE, ROOT_SHARE = 4096, 256, 64, 8
 WIDTH, OFFSETS = 16, (-2, -1, 1, 2)
 STRIDE, BATCH, RATE = 4, 4096, 0.1
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _CHUNK, _TOGETHER, _SEED = 16_384, 64, 5
 
-_OUTPUTS = VOCABULARY + HASHED
-_CLASSES = _OUTPUTS // CLASS_SIZE
-_PAD = _OUTPUTS
-#: Name, shape and spread of the parameters, in the order in which they are laid out.
-_SHAPES = (
-    ("embed", (len(OFFSETS), _OUTPUTS + 1, WIDTH), 0.1),
-    ("class_w", (WIDTH, _CLASSES), 0.1),
-    ("class_b", (_CLASSES,), 0.0),
-    ("word_w", (_CLASSES, WIDTH, CLASS_SIZE), 0.1),
-    ("word_b", (_CLASSES, CLASS_SIZE), 0.0),
-)
+
+def _shapes(outputs: int) -> tuple:
+    """Name, shape and spread of the parameters, in the order in which they are laid out. The last row of ``embed`` is the pad."""
+    classes = outputs // CLASS_SIZE
+    return (
+        ("embed", (len(OFFSETS), outputs + 1, WIDTH), 0.1),
+        ("class_w", (WIDTH, classes), 0.1),
+        ("class_b", (classes,), 0.0),
+        ("word_w", (classes, WIDTH, CLASS_SIZE), 0.1),
+        ("word_b", (classes, CLASS_SIZE), 0.0),
+    )
 
 
 class Network:
     """The window network; ``flat`` holds all parameters."""
 
-    def __init__(self, flat: np.ndarray):
-        self.flat, self.parts, at = flat, {}, 0
-        for name, shape, _ in _SHAPES:
+    def __init__(self, flat: np.ndarray, outputs: int = VOCABULARY + HASHED):
+        self.flat, self.outputs, self.parts, at = flat, outputs, {}, 0
+        for name, shape, _ in _shapes(outputs):
             size = int(np.prod(shape))
             self.parts[name] = flat[at : at + size].reshape(shape)
             at += size
 
     @staticmethod
-    def fresh() -> Network:
-        rng = np.random.default_rng(_SEED)
-        return Network(np.concatenate([(s * rng.standard_normal(int(np.prod(n)))).astype(np.float32) for _, n, s in _SHAPES]))
+    def fresh(outputs: int = VOCABULARY + HASHED) -> Network:
+        rng, shapes = np.random.default_rng(_SEED), _shapes(outputs)
+        flat = np.concatenate([(s * rng.standard_normal(int(np.prod(n)))).astype(np.float32) for _, n, s in shapes])
+        return Network(flat, outputs)
 
     def hidden(self, context: np.ndarray) -> np.ndarray:
         return np.tanh(sum(self.parts["embed"][j][context[:, j]] for j in range(len(OFFSETS))))
@@ -118,47 +127,102 @@ def _by_class(group: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
     yield from zip(found.tolist(), np.split(order, first[1:]), strict=True)
 
 
-def vocabulary(docs: DataFrame, text: str = "text") -> list[str]:
-    """The most frequent words of all documents, ties by the word; fewer if there are fewer."""
-    words = docs.select(F.explode(words_of(text_or_empty(text))).alias("w")).groupBy("w").count()
-    return [r["w"] for r in words.orderBy(F.desc("count"), "w").limit(VOCABULARY).collect()]
+@dataclass
+class Vocabulary:
+    """The frequent words by number; groups of all others by their hash, each with the sum of its words' counts."""
+
+    words: list[str]
+    groups: list[int]
+    outputs: int
+
+
+def count_words(docs: DataFrame, text: str = "text") -> DataFrame:
+    """``w, count`` of every word, stored."""
+    return stored(docs.select(F.explode(words_of(text_or_empty(text))).alias("w")).groupBy("w").count(), "words")
+
+
+def vocabulary(counts: DataFrame) -> tuple[Vocabulary, DataFrame]:
+    """The frequent words, ties by the word, and the counts of all others."""
+    total = counts.agg(F.coalesce(F.sum("count"), F.lit(0))).first()[0]
+    often = counts.where(F.col("count") >= max(2, math.ceil(math.sqrt(total) / ROOT_SHARE))).count()
+    size = max(VOCABULARY, -(-often // CLASS_SIZE) * CLASS_SIZE)
+    top = counts.orderBy(F.desc("count"), "w").limit(size).collect()
+    rest = counts.where("false")
+    if len(top) == size:
+        n, w = F.lit(top[-1]["count"]), F.lit(top[-1]["w"])
+        rest = counts.where((F.col("count") < n) | ((F.col("count") == n) & (F.col("w") > w)))
+    groups = [0] * HASHED
+    group = F.pmod(F.crc32(F.col("w").cast("binary")), F.lit(HASHED))
+    for r in rest.groupBy(group.alias("g")).agg(F.sum("count").alias("n")).collect():
+        groups[r["g"]] = r["n"]
+    return Vocabulary([r["w"] for r in top], groups, size + HASHED), rest
 
 
 class Numbering(dict):
     """Word to number; words outside the vocabulary get a hashed group."""
 
+    def __init__(self, known: Vocabulary):
+        super().__init__((w, i) for i, w in enumerate(known.words))
+        self.first = known.outputs - HASHED
+
     def __missing__(self, word: str) -> int:
-        return VOCABULARY + zlib.crc32(word.encode()) % HASHED
+        return self.first + zlib.crc32(word.encode()) % HASHED
+
+
+def _numbered(known: Vocabulary):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number, row = Numbering(known), TaskContext.get().partitionId() << 33
+        for batch in batches:
+            for start in range(0, batch.num_rows, 256):
+                part = batch.slice(start, 256)
+                ids, rest = [], []
+                for text in part.column(1).to_pylist():
+                    words = _WORD.findall(text)
+                    ids.append(np.fromiter(map(number.__getitem__, words), np.int32, len(words)))
+                    rare = Counter(map(words.__getitem__, np.flatnonzero(ids[-1] >= number.first).tolist()))
+                    rest.append([{"w": w, "n": n} for w, n in rare.items()])
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(range(row, row + part.num_rows), pa.int64()), part.column(0), pa.array(ids, pa.list_(pa.int32())),
+                        pa.array(rest, pa.list_(pa.struct([("w", pa.string()), ("n", pa.int64())]))),
+                    ],
+                    names=["row", "doc_id", "ids", "rest"],
+                )
+                row += part.num_rows
+
+    return run
 
 
-def windows(texts: list[str], number: Numbering) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def numbered(docs: DataFrame, known: Vocabulary, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """Per row, stored: a number of its own, ``doc_id``, the numbers of its words, and its words outside the vocabulary."""
+    rows = docs.select(F.col(f"`{key}`").cast("long").alias("doc_id"), text_or_empty(text).alias("text"))
+    schema = "row long, doc_id long, ids array<int>, rest array<struct<w: string, n: bigint>>"
+    return stored(rows.mapInArrow(_numbered(known), schema), "numbered")
+
+
+def windows(texts: pa.ListArray, pad: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Numbers of all words with two pads around each text, the places of the words, and the text of each."""
-    ids, sizes = [], []
-    for text in texts:
-        words = _WORD.findall(text)
-        ids += [_PAD, _PAD, *map(number.__getitem__, words), _PAD, _PAD]
-        sizes.append(len(words))
-    sizes_of = np.array(sizes, dtype=np.int64)
-    starts = np.cumsum(sizes_of + 4) - sizes_of - 2
-    owner = np.repeat(np.arange(len(texts)), sizes_of)
-    inside = np.arange(len(owner)) - np.repeat(np.cumsum(sizes_of) - sizes_of, sizes_of)
-    return np.array(ids, dtype=np.int64), starts[owner] + inside, owner
+    sizes = np.diff(texts.offsets.to_numpy()).astype(np.int64)
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    places = np.arange(len(owner)) + 4 * owner + 2
+    ids = np.full(len(owner) + 4 * len(sizes), pad, dtype=np.int64)
+    ids[places] = texts.flatten().to_numpy()
+    return ids, places, owner
 
 
 def _context(ids: np.ndarray, at: np.ndarray) -> np.ndarray:
     return np.stack([ids[at + o] for o in OFFSETS], axis=1)
 
 
-def _train(words: list[str]):
+def _train(outputs: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number = Numbering({w: i for i, w in enumerate(words)})
-        net = Network.fresh()
-        squares = Network(np.zeros_like(net.flat))
+        net = Network.fresh(outputs)
+        squares = Network(np.zeros_like(net.flat), outputs)
         seen, shard = 0, TaskContext.get().partitionId()
         rng = np.random.default_rng(_SEED)
         for batch in batches:
             for start in range(0, batch.num_rows, 256):
-                ids, places, _ = windows(batch.column(0).slice(start, 256).to_pylist(), number)
+                ids, places, _ = windows(batch.column(0).slice(start, 256), outputs)
                 places = rng.permutation(places[:: STRIDE])
                 for at in range(0, len(places), BATCH):
                     some = places[at : at + BATCH]
@@ -185,10 +249,10 @@ def _average(nets: pd.DataFrame) -> pd.DataFrame:
     )
 
 
-def train(docs: DataFrame, words: list[str], text: str = "text") -> np.ndarray | None:
+def train(rows: DataFrame, outputs: int) -> np.ndarray | None:
     """The averaged network of all tasks as one array, or None if there is no word."""
     schema = "shard long, chunk long, seen long, part binary"
-    nets = stored(docs.select(text_or_empty(text).alias("text")).mapInArrow(_train(words), schema), "networks")
+    nets = stored(rows.select("ids").mapInArrow(_train(outputs), schema), "networks")
     shards = nets.agg(F.max("shard")).first()[0]
     if shards is None:
         return None
@@ -198,40 +262,54 @@ def train(docs: DataFrame, words: list[str], text: str = "text") -> np.ndarray |
     return np.concatenate([np.frombuffer(r["part"], dtype=np.float32) for r in nets.orderBy("chunk").collect()])
 
 
-def score_texts(texts: list[str], net: Network, number: Numbering) -> tuple[np.ndarray, np.ndarray]:
-    """Words and summed log-probability of each text."""
-    ids, places, owner = windows(texts, number)
+def score_texts(texts: pa.ListArray, net: Network, shares: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Words and summed log-probability of each text; ``shares`` is added by number of a word."""
+    ids, places, owner = windows(texts, net.outputs)
     total = np.zeros(len(texts))
     for at in range(0, len(places), BATCH):
         some = places[at : at + BATCH]
-        total += np.bincount(owner[at : at + BATCH], net.log_probability(_context(ids, some), ids[some]), len(texts))
+        found = net.log_probability(_context(ids, some), ids[some]) + shares[ids[some]]
+        total += np.bincount(owner[at : at + BATCH], found, len(texts))
     return np.bincount(owner, minlength=len(texts)), total
 
 
-def _score(words: list[str], flat: np.ndarray | None):
+def _score(known: Vocabulary, flat: np.ndarray | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number, net = Numbering({w: i for i, w in enumerate(words)}), None if flat is None else Network(flat.copy())
+        net = None if flat is None else Network(flat.copy(), known.outputs)
+        # A word of a group has count(word) / count(group); the upper part comes from the count table.
+        shares = np.zeros(known.outputs)
+        shares[-HASHED:] = -np.log(np.maximum(known.groups, 1))
         for batch in batches:
             for start in range(0, batch.num_rows, 64):
                 part = batch.slice(start, 64)
                 if net is None:
                     n, total = np.zeros(part.num_rows, dtype=np.int64), np.zeros(part.num_rows)
                 else:
-                    n, total = score_texts(part.column(1).to_pylist(), net, number)
-                mean = [t / k if k else None for t, k in zip(total.tolist(), n.tolist(), strict=True)]
+                    n, total = score_texts(part.column(2), net, shares)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(n), pa.array(total), pa.array(mean, pa.float64())],
-                    names=["doc_id", "n_tokens", "log_likelihood", "mean_log_likelihood"],
+                    [part.column(0), part.column(1), pa.array(n), pa.array(total)], names=["row", "doc_id", "n_tokens", "total"]
                 )
 
     return run
 
 
+def rest_sums(rows: DataFrame, rest: DataFrame) -> DataFrame:
+    """``row, add``: the summed logarithms of the counts of a row's words outside the vocabulary. A word counted once adds
+    nothing; none is hot, as the hot ones are in the vocabulary."""
+    words = rows.select("row", F.inline("rest")).join(rest.where("count > 1"), "w")
+    return words.groupBy("row").agg(F.sum(F.col("n") * F.log(F.col("count").cast("double"))).alias("add"))
+
+
 def score(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Per row: ``doc_id, n_tokens, log_likelihood, mean_log_likelihood``."""
-    words = vocabulary(docs, text)
-    flat = train(docs, words, text)
-    rows = docs.select(F.col(f"`{key}`").cast("long").alias("doc_id"), text_or_empty(text).alias("text"))
-    return rows.mapInArrow(
-        _score(words, flat), "doc_id long, n_tokens long, log_likelihood double, mean_log_likelihood double"
+    known, rest = vocabulary(count_words(docs, text))
+    rows = numbered(docs, known, key, text)
+    flat = train(rows, known.outputs)
+    scores = rows.select("row", "doc_id", "ids").mapInArrow(
+        _score(known, flat), "row long, doc_id long, n_tokens long, total double"
+    )
+    scores = scores.join(rest_sums(rows, rest), "row", "left")
+    whole = (F.col("total") + F.coalesce("add", F.lit(0.0))).alias("log_likelihood")
+    return scores.select("doc_id", "n_tokens", whole).withColumn(
+        "mean_log_likelihood", F.when(F.col("n_tokens") > 0, F.col("log_likelihood") / F.col("n_tokens"))
     )
