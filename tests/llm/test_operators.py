@@ -307,6 +307,13 @@ def test_lm_score_gives_every_word_its_own_probability(spark):
     assert len(known.words) == 10_000
 
 
+def test_lm_score_trains_on_every_word(spark):
+    """A text of period four: a fixed stride of four would show the network only one of its words as target."""
+    rows = [(i, " ".join(["north", "east", "south", "west"] * 50)) for i in range(600)]
+    got = lm_score.score(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)).collect()
+    assert min(r.mean_log_likelihood for r in got) > -0.5
+
+
 def test_revisits(spark):
     kind = "record_id long, url string, ts long, kind string, headers map<string,string>, digest string, outcome int"
     rows = [

@@ -14,7 +14,7 @@ Texts are numbered once, and the numbers stored. Training is data parallel: each
 and learns from its own part of every document's windows with numpy; the networks are then averaged, weighted by what they
 have seen, in groups of bounded size until one is left. The driver only receives the frequent words and one network.
 
-``STRIDE``: each document gives every fourth of its windows to training; all words take part as context, and all are scored.
+Every word of every document is a training target once, and every word is scored.
 
 Defined results: words are runs of characters other than ASCII white space; a null or empty text has no words, score 0 and
 no mean; null keys and repeated rows are scored like others; only the named columns are read; texts of any length
@@ -41,7 +41,7 @@ from tileframe.llm.common import stored, text_or_empty, words_of
 
 VOCABULARY, HASHED, CLASS_SIZE, ROOT_SHARE = 4096, 256, 64, 8
 WIDTH, OFFSETS = 16, (-2, -1, 1, 2)
-STRIDE, BATCH, RATE = 4, 4096, 0.1
+BATCH, RATE = 4096, 0.1
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _CHUNK, _TOGETHER, _SEED = 16_384, 64, 5
 
@@ -90,30 +90,33 @@ class Network:
     def learn(self, context: np.ndarray, target: np.ndarray, squares: Network) -> None:
         """One step of Adagrad on a batch; ``squares`` collects the squared gradients."""
         n = len(target)
+        order = np.argsort(target, kind="stable")
+        context, target = context[order], target[order]
         h = self.hidden(context)
         group, place = target // CLASS_SIZE, target % CLASS_SIZE
-        d = np.exp(_log_softmax(h @ self.parts["class_w"] + self.parts["class_b"]))
+        d = _softmax(h @ self.parts["class_w"] + self.parts["class_b"])
         d[np.arange(n), group] -= 1
         dh = d @ self.parts["class_w"].T
         self._step("class_w", ..., h.T @ d / n, squares)
         self._step("class_b", ..., d.sum(0) / n, squares)
-        for c, rows in _by_class(group):
-            logits = h[rows] @ self.parts["word_w"][c] + self.parts["word_b"][c]
-            dw = np.exp(_log_softmax(logits))
-            dw[np.arange(len(rows)), place[rows]] -= 1
-            dh[rows] += dw @ self.parts["word_w"][c].T
-            self._step("word_w", c, h[rows].T @ dw / n, squares)
+        found, first = np.unique(group, return_index=True)
+        for c, start, end in zip(found.tolist(), first.tolist(), [*first[1:].tolist(), n], strict=True):
+            some = h[start:end]
+            dw = _softmax(some @ self.parts["word_w"][c] + self.parts["word_b"][c])
+            dw[np.arange(end - start), place[start:end]] -= 1
+            dh[start:end] += dw @ self.parts["word_w"][c].T
+            self._step("word_w", c, some.T @ dw / n, squares)
             self._step("word_b", c, dw.sum(0) / n, squares)
         dh = (dh * (1 - h * h) / n).astype(np.float32)
         for j in range(len(OFFSETS)):
-            seen, where = np.unique(context[:, j], return_inverse=True)
-            total = np.zeros((len(seen), WIDTH), dtype=np.float32)
-            np.add.at(total, where, dh)
-            self._step("embed", (j, seen), total, squares)
+            order = np.argsort(context[:, j], kind="stable")
+            seen, first = np.unique(context[order, j], return_index=True)
+            self._step("embed", (j, seen), np.add.reduceat(dh[order], first, axis=0), squares)
 
     def _step(self, name: str, at, gradient: np.ndarray, squares: Network) -> None:
-        squares.parts[name][at] += gradient * gradient
-        self.parts[name][at] -= RATE * gradient / (np.sqrt(squares.parts[name][at]) + 1e-6)
+        past = squares.parts[name][at] + gradient * gradient
+        squares.parts[name][at] = past
+        self.parts[name][at] -= RATE * gradient / (np.sqrt(past) + 1e-6)
 
 
 def _log_softmax(x: np.ndarray) -> np.ndarray:
@@ -121,6 +124,11 @@ def _log_softmax(x: np.ndarray) -> np.ndarray:
     return x - np.log(np.exp(x).sum(axis=1, keepdims=True))
 
 
+def _softmax(x: np.ndarray) -> np.ndarray:
+    x = np.exp(x - x.max(axis=1, keepdims=True))
+    return x / x.sum(axis=1, keepdims=True)
+
+
 def _by_class(group: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
     order = np.argsort(group, kind="stable")
     found, first = np.unique(group[order], return_index=True)
@@ -223,7 +231,7 @@ def _train(outputs: int):
         for batch in batches:
             for start in range(0, batch.num_rows, 256):
                 ids, places, _ = windows(batch.column(0).slice(start, 256), outputs)
-                places = rng.permutation(places[:: STRIDE])
+                places = rng.permutation(places)
                 for at in range(0, len(places), BATCH):
                     some = places[at : at + BATCH]
                     net.learn(_context(ids, some), ids[some], squares)
