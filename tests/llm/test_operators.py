@@ -241,6 +241,32 @@ def test_mixing(spark, edges, none):
     assert mixing.mixed(edges, table.where("false")).columns == edges.columns
 
 
+def mixed_shares(spark, docs, labels, targets):
+    """Tokens of each domain as shares of the budget, added up plainly."""
+    got = mixing.mix(docs, labels, targets).toPandas()
+    lead = next(iter(targets))
+    budget = (got.n_words * got[f"p_{lead}"]).sum() / targets[lead]
+    return {d: (got.n_words * got[f"p_{d}"] * got.rate).sum() / budget for d in targets}
+
+
+def test_mixing_meets_the_targets_on_soft_domains(spark):
+    """Domains that share most of their words, as in the given labels: 40 steps of descent leave the rarest one far off."""
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet").select("doc_id", mixing.domain_of_labels().alias("domain"))
+    got = mixed_shares(spark, docs, labels, mixing.TARGETS)
+    for d, share in mixing.TARGETS.items():
+        assert abs(got[d] - share) <= 1.001 * mixing.TOLERANCE, got
+
+
+def test_mixing_reports_targets_out_of_reach(spark):
+    """All texts are alike, so no rates can tell the domains apart."""
+    docs = spark.createDataFrame([(i, "same words here") for i in range(20)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, "good" if i % 2 else "low") for i in range(20)], "doc_id long, domain string")
+    with pytest.warns(UserWarning, match="no rates meet the targets"):
+        got = mixed_shares(spark, docs, labels, {"good": 0.9, "low": 0.1})
+    assert abs(got["good"] - got["low"]) < 1e-6
+
+
 def test_neighbours(spark):
     rng = np.random.default_rng(6)
     centres = rng.standard_normal((12, 16))
