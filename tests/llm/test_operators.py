@@ -110,6 +110,27 @@ def test_main_text():
     assert html_text.second_pass(["bad", "open", "open", "good"]) == ["bad", "bad", "good", "good"]
 
 
+def test_main_text_decides_blocks_inside_articles():
+    prose = "the cat is in the house and it was not on the mat with the dog that he had from the man at the door"
+    links = "<ul><li><a href=1>Ten offers you must see</a><li><a href=2>Nine more</a></ul>"
+    page = f"<article><h1>Title</h1><p>{prose}</p><div><a href=3>Buy cheap shoes now</a> today</div>{links}<h4>See also</h4>{links}<p>End.</article>"
+    assert html_text.main_text(page) == f"Title {prose} End."
+    assert html_text.main_text(f"<article><p>See <a href=1>it</a> in the long list.</p><p>{prose}</p></article>") == f"See it in the long list. {prose}"
+
+
+def test_main_text_without_articles():
+    menu = "<nav><ul><li><a href=1>Home</a><li><a href=2>News</a></ul></nav>"
+    short = ["The cat sat on the mat.", "It was a good day for all of them, and they went out to the sea with a dog.", "Then rain fell."]
+    body = "".join(f"<p>{x}</p>" for x in short)
+    # Dropped containers do not pull short paragraphs with them, nor does a list of links if nothing else is decided.
+    assert html_text.main_text(f"{menu}<div>{body}</div><footer>foot</footer>") == " ".join(short)
+    assert html_text.main_text(f"<div><a href=1>Home</a></div><p>{short[0]}</p><p>{short[2]}</p>") == f"{short[0]} {short[2]}"
+    # Long prose in a language without known stop words.
+    finnish = "Kissa istui matolla koko aamun ja katseli ikkunasta ulos. Sataa vettä, sanoi mies hiljaa. " * 4
+    page = f"{menu}<div><a href=1>Etusivu</a></div><p>{finnish}</p><div><a href=2>Seuraava sivu</a></div>"
+    assert html_text.main_text(page) == finnish.strip()
+
+
 def test_html_edges(spark):
     pages = spark.createDataFrame([(1, "u", None, 1), (2, None, "", 1), (None, "v", "<p>x", 1)], "page_id long, url string, html string, text int")
     assert sorted(map(tuple, html_text.extract(pages).collect()), key=str) == [(1, "u", "", 0), (2, None, "", 0), (None, "v", "x", 1)]

@@ -1,9 +1,11 @@
 """Main text of web pages by two passes over their blocks.
 
-A page is cut at block-level tags. In the first pass each block is decided by where it stands (navigation, forms and the
-like are out, the inside of an article is in), by its share of linked characters, by its length and by its share of
-stop words; what is too short to tell stays open. In the second pass an open block takes the label of its nearest decided
-neighbours: that of both sides if they agree, otherwise the nearer one's, or the earlier one's if both are as near.
+A page is cut at block-level tags. Navigation, forms and the like are out before anything is decided. In the first pass each
+block, inside an article or not, is decided by its share of linked characters, by its length and by its share of stop words;
+long prose without links needs no stop words, whatever its language; what cannot be told stays open. In the second pass an
+open block takes the label of its nearest decided neighbours: that of both sides if they agree, otherwise the nearer one's, or
+the earlier one's if both are as near. An open block inside an article is content unless it stands directly between two blocks
+that are not; on a page without any block decided as content all open ones are content.
 
 Character references are decoded, white space inside a block becomes one space, and blocks are joined by one space. Broken
 markup is read as far as it goes: unclosed elements end with their container, an unclosed script or comment takes the rest.
@@ -57,6 +59,7 @@ _PIECE = re.compile(
 _NAMED = re.compile(r"""\b(class|id|role|style|aria-hidden)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.IGNORECASE)
 _HIDDEN = re.compile(r"(?:^|\s)hidden(?:$|[\s=/])", re.IGNORECASE)
 _BLANKS = re.compile(r"\S+")
+_SENTENCE = re.compile(r"[.!?…。！？।؟۔]")
 
 MOST_LINKED, SHORT, LONG = 0.33, 70, 200
 FEW_STOPS, MANY_STOPS = 0.15, 0.30
@@ -170,21 +173,24 @@ def blocks_of(page: str) -> list[Block]:
 
 
 def first_pass(block: Block) -> str:
-    if block.place is not None:
-        return block.place
-    words = block.text.split()
-    if block.linked > MOST_LINKED * len(block.text):
+    if block.place == BAD or block.linked > MOST_LINKED * len(block.text):
         return BAD
     if len(block.text) < SHORT:
-        return BAD if block.linked else OPEN
+        return BAD if block.linked and block.place is None else OPEN
+    words = block.text.split()
     stops = sum(w.strip(".,;:!?\"'()").lower() in STOP_WORDS for w in words) / len(words)
-    if stops >= MANY_STOPS:
-        return GOOD if len(block.text) >= LONG else OPEN
-    return BAD if stops < FEW_STOPS else OPEN
-
-
-def second_pass(labels: list[str]) -> list[str]:
-    """Open blocks take their nearest decided neighbours' label; a page with none decided is all content."""
+    if stops >= MANY_STOPS or (stops >= FEW_STOPS and not block.linked):
+        return GOOD
+    if not block.linked:
+        return GOOD if len(block.text) >= LONG and _SENTENCE.search(block.text) else OPEN
+    return BAD if stops < FEW_STOPS and block.place is None else OPEN
+
+
+def second_pass(labels: list[str], places: list[str | None] | None = None) -> list[str]:
+    """Open blocks take their nearest decided neighbours' label, with their place as prior; where none is decided as
+    content, all open ones are."""
+    places = places or [None] * len(labels)
+    alone = GOOD not in labels
     before: list[tuple[int, str] | None] = []
     last = None
     for i, label in enumerate(labels):
@@ -195,6 +201,10 @@ def second_pass(labels: list[str]) -> list[str]:
         if labels[i] != OPEN:
             after = (i, labels[i])
             continue
+        if alone or places[i] == GOOD:
+            enclosed = not alone and labels[max(i - 1, 0)] == BAD and labels[min(i + 1, len(labels) - 1)] == BAD
+            out[i] = BAD if enclosed else GOOD
+            continue
         left = before[i]
         near = min((x for x in (left, after) if x), key=lambda x: abs(x[0] - i), default=(0, GOOD))
         out[i] = near[1]
@@ -202,8 +212,8 @@ def second_pass(labels: list[str]) -> list[str]:
 
 
 def main_text(page: str) -> str:
-    blocks = blocks_of(page)
-    labels = second_pass([first_pass(b) for b in blocks])
+    blocks = [b for b in blocks_of(page) if b.place != BAD]
+    labels = second_pass([first_pass(b) for b in blocks], [b.place for b in blocks])
     return " ".join(b.text for b, label in zip(blocks, labels, strict=True) if label == GOOD)
 
 
