@@ -47,7 +47,7 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
     ("packing", packing_sequences),
 ]
 
-#: Token ids and fitted rates are beyond SQL; tests compare the stages with plain versions.
+#: Token ids and fitted rates are beyond SQL; no test runs the pipeline as a whole yet.
 ORACLE_SQL = None
 
 
