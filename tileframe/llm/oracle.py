@@ -94,4 +94,41 @@ SELECT record_id, canonical, kind, outcome,
 FROM judged
 """
 
-ORACLE = {"op10_warc_revisits": OP10, "op9_quality_rules": OP9}
+OP11 = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE label IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+n AS (SELECT vec_id, label, e, sqrt(list_dot_product(e, e)) AS r FROM v WHERE list_dot_product(e, e) > 0),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM n a JOIN n b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_dot_product(a.e, b.e) / (a.r * b.r) >= 0.98),
+reach AS (SELECT vec_id AS a, vec_id AS b FROM embeddings UNION SELECT r.a, l.b FROM reach r JOIN links l ON l.a = r.b),
+least AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a),
+counted AS (SELECT a, count(*) AS n_links FROM links GROUP BY a)
+SELECT e.vec_id, coalesce(c.n_links, 0)::BIGINT AS n_links, l.component_id, e.vec_id = l.component_id AS kept
+FROM embeddings e JOIN least l ON l.a = e.vec_id LEFT JOIN counted c ON c.a = e.vec_id
+"""
+
+OP12 = r"""
+WITH d AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM documents),
+q AS (
+  SELECT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+asked AS (SELECT item_id, term, count(*)::BIGINT AS times FROM q GROUP BY ALL),
+held AS (SELECT doc_id, term, count(*)::BIGINT AS tf FROM d WHERE term IN (SELECT term FROM q) GROUP BY ALL),
+size AS (SELECT doc_id, count(*)::BIGINT AS n FROM d GROUP BY doc_id),
+corpus AS (SELECT count(*)::BIGINT AS docs, sum(n)::BIGINT AS words FROM size),
+weight AS (SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w FROM held, corpus GROUP BY term, docs),
+impact AS (
+  SELECT doc_id, term, (1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * docs) // words)) AS i
+  FROM held JOIN size USING (doc_id), corpus),
+scored AS (
+  SELECT item_id, doc_id, sum(times * w * i)::BIGINT AS score FROM asked JOIN weight USING (term) JOIN impact USING (term)
+  GROUP BY ALL HAVING sum(times * w * i) > 0)
+SELECT item_id, (row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id))::INTEGER AS rank, doc_id, score
+FROM scored QUALIFY row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) <= 10
+"""
+
+ORACLE = {"op10_warc_revisits": OP10, "op11_near_vectors": OP11, "op12_lexical_search": OP12, "op9_quality_rules": OP9}

@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tileframe.llm import html_text, jaccard, licenses, lm_score, mixing, neighbours, packing, pii, quality, revisits
+from tileframe.llm import (
+    alignment, html_text, jaccard, lexical, licenses, lm_score, mixing, near_vectors, neighbours, packing, pii, quality, revisits,
+)
 from tileframe.llm.oracle import ORACLE
 
 __all__ = ["ORACLE", "QUERIES"]
@@ -70,6 +72,21 @@ def op10_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("headers", F.array_join(F.array_sort(pairs), "\n"))
 
 
+def op11_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of vectors of one label with a cosine of 0.98 or more."""
+    return near_vectors.near_duplicates(_read(spark, sf_dir, "embeddings"))
+
+
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents of every benchmark item."""
+    return lexical.search(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups and links between the tokens of two public tokenizers, for every document."""
+    return alignment.align(_read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard": op1_ngram_jaccard,
     "op2_html_extraction": op2_html_extraction,
@@ -81,4 +98,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_pii": op8_pii,
     "op9_quality_rules": op9_quality_rules,
     "op10_warc_revisits": op10_warc_revisits,
+    "op11_near_vectors": op11_near_vectors,
+    "op12_lexical_search": op12_lexical_search,
+    "op13_token_alignment": op13_token_alignment,
 }
