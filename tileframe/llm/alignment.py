@@ -44,13 +44,15 @@ PIECE, RANGE, FOLD = 65_536, 32_768, 8
 #: Distinct pairs of ids whose counts are broadcast (16 bytes each).
 MAX_PAIRS = 2_000_000
 #: Bytes of tokens that are worked on at once in a task, and distinct pairs gathered before they are handed on.
-_BATCH, _GATHER = 4_000_000, 1_000_000
+_BATCH, _GATHER = 1_000_000, 1_000_000
 _KEY = 65_536
 _CUT = re.compile("(?<=[^\\s▁]) (?=[^\\s▁])")
 
 _ENCODED = "row long, doc_id long, piece int, start long, text string, a binary, b binary"
 _PART = "row long, kind int, idx long, start long, sync boolean, a binary, b binary, sa binary, sb binary, sstart long"
 CLOSED, OPEN, BAD = 0, 1, 2
+#: Bytes of every id of A and of B: small arrays that tasks carry instead of the tokenizers.
+Widths = tuple[np.ndarray, np.ndarray]
 
 
 @dataclass(frozen=True)
@@ -63,8 +65,8 @@ class Pair:
     bytes_b: list[bytes]
 
     @functools.cached_property
-    def widths(self) -> tuple[np.ndarray, np.ndarray]:
-        return tuple(np.array([len(x) for x in t], dtype=np.int64) for t in (self.bytes_a, self.bytes_b))
+    def widths(self) -> Widths:
+        return tuple(np.array([len(x) for x in t], dtype=np.int32) for t in (self.bytes_a, self.bytes_b))
 
     def tokens(self, text: str | None) -> tuple[np.ndarray, np.ndarray] | None:
         """Ids of both for a text, or None where one of them does not spell it."""
@@ -126,7 +128,7 @@ def pieces_of(text: str, size: int = PIECE) -> list[str]:
 
 
 def ends_of(ids: np.ndarray, widths: np.ndarray) -> np.ndarray:
-    return np.cumsum(widths[ids])
+    return np.cumsum(widths[ids], dtype=np.int64)
 
 
 @dataclass(frozen=True)
@@ -291,7 +293,7 @@ class Marks:
     last_b: np.ndarray
 
 
-def marks(a: np.ndarray, b: np.ndarray, widths: tuple[np.ndarray, np.ndarray]) -> Marks:
+def marks(a: np.ndarray, b: np.ndarray, widths: Widths) -> Marks:
     ends_a, ends_b = ends_of(a, widths[0]), ends_of(b, widths[1])
     size = int(ends_a[-1]) + 1 if len(ends_a) else 1
     is_a, is_b = np.zeros(size, dtype=bool), np.zeros(size, dtype=bool)
@@ -340,11 +342,11 @@ def _stretches(batch: pa.RecordBatch, at: int) -> Iterator[tuple[slice, np.ndarr
         first += n
 
 
-def _pair_batches(make: Callable[[], Pair]):
+def _pair_batches(widths: Widths):
     """``pair, n`` of the links of many stretches, summed before they leave the task, in tables of bounded size."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        widths, held = make().widths, pd.Series(dtype=np.int64)
+        held = pd.Series(dtype=np.int64)
         for batch in batches:
             for _, a, b, _, _ in _stretches(batch, 0):
                 m = marks(a, b, widths)
@@ -363,9 +365,9 @@ def _pairs(held: pd.Series) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(columns, names=["pair", "n"])
 
 
-def pair_counts(stretches: DataFrame, make: Callable[[], Pair]) -> DataFrame:
+def pair_counts(stretches: DataFrame, widths: Widths) -> DataFrame:
     """``pair, n, best``: links of each pair of ids, and whether no pair of the same B id has more."""
-    counts = stretches.select("a", "b").mapInArrow(_pair_batches(make), "pair long, n long")
+    counts = stretches.select("a", "b").mapInArrow(_pair_batches(widths), "pair long, n long")
     counts = stored(counts.groupBy("pair").agg(F.sum("n").alias("n")), "pairs")
     b = F.pmod("pair", F.lit(_KEY)).alias("b")
     # At most as many rows as B has ids.
@@ -373,11 +375,10 @@ def pair_counts(stretches: DataFrame, make: Callable[[], Pair]) -> DataFrame:
     return counts.withColumn("b", b).join(F.broadcast(most), "b").select("pair", "n", (F.col("n") == F.col("most")).alias("best"))
 
 
-def _stat_batches(make: Callable[[], Pair], table, digest: bool):
+def _stat_batches(widths: Widths, table, digest: bool):
     """Counts of each row; ``table`` is the broadcast counts of the pairs, or None where they are joined later."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        widths = make().widths
         if table is not None:
             keys, counts, best = table.value
             index = pd.Index(keys)
@@ -411,11 +412,10 @@ def _stat_batches(make: Callable[[], Pair], table, digest: bool):
     return run
 
 
-def _link_batches(make: Callable[[], Pair]):
+def _link_batches(widths: Widths):
     """``row, pair, times`` of every stretch: for counts of pairs that are too many to broadcast."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        widths = make().widths
         for batch in batches:
             ids = np.asarray(batch.column(0).to_pylist(), dtype=np.int64)
             for rows, a, b, n_a, _ in _stretches(batch, 2):
@@ -429,11 +429,11 @@ def _link_batches(make: Callable[[], Pair]):
     return run
 
 
-def _hash_batches(make: Callable[[], Pair]):
+def _hash_batches(widths: Widths):
     """Digests of documents whose stretches come in order, as a stream: only the hash is carried on."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        widths, now, state = make().widths, None, None
+        now = state = None
 
         def line() -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array([now], pa.int64()), pa.array([state.hexdigest()])], names=["row", "groups_sha256"])
@@ -458,9 +458,9 @@ _STATS = "row long, doc_id long, n_a long, n_b long, n_groups long, n_links long
 _SUMS = ["n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum"]
 
 
-def _salted_sums(stretches: DataFrame, pairs: DataFrame, make: Callable[[], Pair], salts: int = 32) -> DataFrame:
+def _salted_sums(stretches: DataFrame, pairs: DataFrame, widths: Widths, salts: int = 32) -> DataFrame:
     """``row, best, total`` by a join on (pair, salt): a pair that a third of all documents hold goes to many tasks."""
-    links = stretches.mapInArrow(_link_batches(make), "row long, pair long, times long")
+    links = stretches.mapInArrow(_link_batches(widths), "row long, pair long, times long")
     links = links.withColumn("salt", F.pmod(F.xxhash64("row"), F.lit(salts)))
     many = pairs.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
     return links.join(many, ["pair", "salt"]).groupBy("row").agg(
@@ -473,29 +473,29 @@ def align(
     piece: int = PIECE, width: int = RANGE, max_pairs: int = MAX_PAIRS,
 ) -> DataFrame:
     """Per document: ``doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256``."""
-    spark = docs.sparkSession
+    spark, widths = docs.sparkSession, tokenizers().widths
     rows = docs.select(F.col(f"`{key}`").cast("long").alias("doc_id"), F.col(f"`{text}`").cast("string").alias("text"))
     encoded = stored(rows.mapInArrow(_encode_batches(tokenizers, piece), _ENCODED), "encoded")
     short = encoded.where("piece IS NULL").select("row", "doc_id", "a", "b")
     pieces = encoded.where("piece IS NOT NULL").drop("a", "b")
     stretches = stored(long_stretches(pieces, tokenizers, width), "stretches")
     no_id = F.lit(None).cast("long").alias("doc_id")
-    pairs = stored(pair_counts(short.select("a", "b").union(stretches.select("a", "b")), tokenizers), "counts")
+    pairs = stored(pair_counts(short.select("a", "b").union(stretches.select("a", "b")), widths), "counts")
     table = None
     if pairs.count() <= max_pairs:
         known = pairs.toPandas()
         columns = known["pair"].to_numpy(np.int64), known["n"].to_numpy(np.int64), known["best"].to_numpy(bool)
         table = spark.sparkContext.broadcast(columns)
-    one = short.mapInArrow(_stat_batches(tokenizers, table, True), f"{_STATS}, groups_sha256 string")
-    many = stretches.select("row", no_id, "a", "b").mapInArrow(_stat_batches(tokenizers, table, False), _STATS)
+    one = short.mapInArrow(_stat_batches(widths, table, True), f"{_STATS}, groups_sha256 string")
+    many = stretches.select("row", no_id, "a", "b").mapInArrow(_stat_batches(widths, table, False), _STATS)
     many = many.groupBy("row").agg(*[F.sum(c).alias(c) for c in _SUMS])
     ordered = stretches.repartition("row").sortWithinPartitions("row", "start").select("row", "a", "b")
-    many = many.join(ordered.mapInArrow(_hash_batches(tokenizers), "row long, groups_sha256 string"), "row")
+    many = many.join(ordered.mapInArrow(_hash_batches(widths), "row long, groups_sha256 string"), "row")
     named = pieces.where("piece = 0").select("row", "doc_id").join(many, "row", "left")
     out = one.unionByName(named)
     if table is None:
         both = short.union(stretches.select("row", no_id, "a", "b"))
-        out = out.drop("n_best", "count_sum").join(_salted_sums(both, pairs, tokenizers), "row", "left")
+        out = out.drop("n_best", "count_sum").join(_salted_sums(both, pairs, widths), "row", "left")
         out = out.withColumnRenamed("best", "n_best").withColumnRenamed("total", "count_sum")
     zero = [F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in _SUMS]
     return out.select("doc_id", *zero, F.coalesce("groups_sha256", F.lit("")).alias("groups_sha256"))
