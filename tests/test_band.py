@@ -119,3 +119,29 @@ def test_totals_without_room_are_refused(spark):
     rows = [("a", "A", "c", "e", 10.0, 1e37), ("t", "A", "c", "e", 10.5, None)]
     with pytest.raises(ValueError, match="digits"):
         band.impute_cascade(spark.createDataFrame(rows, SCHEMA))
+
+
+def test_band_join_of_repeated_rows_and_missing_names(spark):
+    rows = [("t", "A", 100.0, None), ("t", "A", 100.0, None), ("u", None, 100.0, None), ("v", "A", None, None), ("w", "A", -1.0, None),
+            ("x", "A", 0.0, None), ("d", "A", 100.0, 1.0), ("d", "A", 100.0, 1.0), ("e", "A", 0.0, 2.0), ("f", None, 100.0, 3.0)]
+    tiles = spark.createDataFrame(rows, "tile string, adm1 string, floor_area double, pop double")
+    got = band.band_join(tiles.filter("pop IS NULL").drop("pop"), tiles.filter("pop IS NOT NULL"), ["adm1"], "floor_area", "pop")
+    assert sorted((r.tile, r.neighbour_pop) for r in got.collect() if r.neighbour_pop) == [("t", 1.0)] * 4 + [("x", 2.0)]
+    assert sorted(r.tile for r in got.collect() if r.neighbour_pop is None) == ["u", "v", "w"]
+
+
+def test_band_join_of_one_hot_group(spark, monkeypatch):
+    """All rows in one group, two thirds of them with one value: blocks stay bounded, and no pair is lost."""
+    monkeypatch.setattr(band, "BLOCK", 64)
+    tiles = spark.range(1500).selectExpr(
+        "concat('t', id) AS tile", "'A' AS adm1", "IF(id % 3 = 0, 100D + id, 500D) AS floor_area", "IF(id % 2 = 0, NULL, CAST(id AS DOUBLE)) AS pop"
+    )
+    targets, donors = tiles.filter("pop IS NULL").drop("pop"), tiles.filter("pop IS NOT NULL")
+    blocks = band.band_blocks(targets, donors, ["adm1"], "floor_area", "pop")
+    asked = blocks.targets.groupBy("_block", "_portion").count().agg(F.max("count")).first()[0]
+    offered = blocks.donors.groupBy("_d_block", "_d_portion").count().agg(F.max("count")).first()[0]
+    assert asked <= 2 * 64 and offered <= 64
+    area = [100.0 + i if i % 3 == 0 else 500.0 for i in range(1500)]
+    want = sum(area[t] * 0.8 <= area[d] <= area[t] * 1.2 for t in range(0, 1500, 2) for d in range(1, 1500, 2))
+    joined = band.band_join(targets, donors, ["adm1"], "floor_area", "pop")
+    assert joined.filter("neighbour_pop IS NOT NULL").count() == want

@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 
 from tileframe.functions import keys
 from tileframe.operators import households, qc, tables
+from tileframe.plans import households as household_jobs
 from tileframe.plans.households import estimate_households
 
 
@@ -140,3 +141,65 @@ def test_quality_checks(spark, tiles):
     assert {(r.tile, r.excess_pct) for r in excess.collect()} == {("a", 100.0)}
     assert [r.building_id for r in qc.worst_buildings(buildings, excess, rows=1).collect()] == [1]
     assert [r.tile for r in qc.worst_floor_excess(excess).collect()] == ["a"]
+
+
+def test_totals_of_a_hot_group_without_broadcasts_or_adaptive_plans(spark):
+    """A third of all rows in one group: no task of the join reads more than twice what the middle one does."""
+    before = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = spark.range(60_000).selectExpr("concat('t', id) AS tile", "IF(id % 3 = 0, 'hot', concat('g', id % 5000)) AS adm1", "id AS pop")
+        rows = rows.unionByName(spark.sql("SELECT 'x' AS tile, CAST(NULL AS STRING) AS adm1, 1L AS pop"))
+        out = tables.with_group_totals(rows, ["adm1"], [F.sum("pop").alias("s"), F.count(F.lit(1)).alias("n")])
+        tasks = sorted(r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect())
+        assert len(tasks) == 8 and tasks[-1] <= 2 * tasks[4]
+        sums = {r.adm1: (r.s, r.n, r.rows) for r in out.groupBy("adm1", "s", "n").agg(F.count(F.lit(1)).alias("rows")).collect()}
+        want = rows.where("adm1 IS NOT NULL").groupBy("adm1").agg(F.sum("pop").alias("s"), F.count(F.lit(1)).alias("n")).collect()
+        assert sums == {r.adm1: (r.s, r.n, r.n) for r in want}
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def test_routed_districts_agree_with_the_separate_steps(spark):
+    tiles = spark.range(300).selectExpr(
+        "concat('t', id) AS tile", "'p' AS adm1", "concat('d', IF(id % 3 = 0, 0, id % 7)) AS adm2", "CAST(id % 11 AS DOUBLE) AS adjusted_pop",
+        "2D + id % 3 AS pop_to_hh",
+    )
+    tiles = tiles.unionByName(spark.sql("SELECT 'z' AS tile, 'p' AS adm1, 'empty' AS adm2, 0D AS adjusted_pop, 2D AS pop_to_hh"))
+    truth = spark.createDataFrame([("p", f"d{i}", 10.0**i) for i in range(6)] + [("p", "empty", 5.0), ("q", "d0", 1.0)], "adm1 string, adm2 string, population double")
+    buildings = spark.range(500).selectExpr("concat('t', id * id % 290) AS tile")
+    multipliers = households.district_multipliers(tiles, truth)
+    usual, extreme = households.split_extremes(multipliers.filter("multiplier IS NOT NULL"), 2.0)
+    for kind in ("buildings", "rows"):
+        routed = households.route_districts(tiles, truth, buildings, 2.0, denominator=kind)
+        columns = ["tile", "adm2", "truth_adjusted_pop", "hh"]
+        got = {r.tile: (r.method, r.truth_adjusted_pop, r.hh) for r in routed.collect()}
+        want = {r.tile: ("multiplier", r.truth_adjusted_pop, r.hh) for r in households.apply_multipliers(tiles, usual).select(columns).collect()}
+        spread = households.reallocate_by_buildings(tiles, extreme, buildings, denominator=kind).select(columns)
+        want |= {r.tile: ("buildings", r.truth_adjusted_pop, r.hh) for r in spread.collect()}
+        assert got.keys() == want.keys() and {m for m, *_ in want.values()} == {"multiplier", "buildings"}
+        assert all(got[t][0] == want[t][0] and got[t][1:] == pytest.approx(want[t][1:]) for t in want)
+    kept = households.route_districts(tiles, truth, buildings).groupBy("adm2").agg(F.sum("truth_adjusted_pop").alias("s"))
+    assert {r.adm2: r.s for r in kept.collect()} == pytest.approx({f"d{i}": 10.0**i for i in range(6)})
+
+
+def test_district_job_lists_where_households_come_from(spark):
+    tiles = spark.createDataFrame([("a", "P q", "d1", "s", 10.0, 2.0), ("b", "P q", "d2", "s", 1.0, 2.0)], "tile string, adm1 string, adm2 string, adm3 string, adjusted_pop double, pop_to_hh double")
+    truth = spark.createDataFrame([("P q", "d1", 11.0), ("P q", "d2", 100.0)], "adm1 string, adm2 string, population double")
+    buildings = spark.createDataFrame([("b",), ("b",), ("a",)], "tile string")
+    other = spark.createDataFrame([("a", "p-Q", "D1", "s", 1.2), ("c", "P q", "d1", "s", 3.0), ("n", "P q", "d1", "s", 0.0)], "tile string, adm1 string, adm2 string, adm3 string, hh double")
+    overrides = spark.createDataFrame([("c", 8.5)], "tile string, hh double")
+    out = household_jobs.district_job(tiles, truth, buildings, other, overrides=overrides)
+    assert {r.tile: (r.adm1, r.hh, r.method) for r in out.collect()} == {
+        "a": ("p_q", 7, "multiplier,other"), "b": ("p_q", 50, "buildings"), "c": ("p_q", 9, "other"),
+    }
+
+
+def test_recheck_after_correction(spark):
+    estimates = spark.createDataFrame([("a", "p", "d", 30.0, 90.0), ("b", "p", "e", 30.0, 90.0), ("c", "p", "e", 1.0, 3.0)], "tile string, adm1 string, adm2 string, hh double, adjusted_pop double")
+    control = spark.createDataFrame([("P", 100.0)], "name string, households double")
+    corrected, check = household_jobs.corrected_households(estimates, control)
+    assert sorted(r.hh_corrected for r in corrected.collect()) == [2.0, 49.0, 49.0]
+    assert [(r.est_hh, r.control_hh, r.pct_diff) for r in check.collect()] == [(100.0, 100.0, 0.0)]

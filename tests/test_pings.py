@@ -1,4 +1,5 @@
 import pytest
+from conftest import plan_of
 
 from tileframe.functions.geometry import RINGS_TYPE
 from tileframe.operators import features
@@ -57,3 +58,26 @@ def test_providers_and_labels(spark):
     catalog = spark.createDataFrame([(1, ["a", "b"]), (2, ["c"])], "place_id int, labels array<string>")
     got = features.attach_labels(places, catalog, text="text")
     assert [(r.place_id, r.labels, r.text) for r in got.collect()] == [(1, ["a", "b"], "a, b")]
+
+
+def test_busy_day_in_batches(spark, tmp_path):
+    """The busiest day only, equal batches over all its pings, no sort of the day in one task, other folders stay."""
+    feet = spark.createDataFrame([(7, box(0.4, 0.4, 1.0, 0.6))], f"building_id int, rings {RINGS_TYPE}")
+    pings = spark.range(200).selectExpr(
+        "id AS event_id", "1704067200000 + IF(id % 4 = 0, 86400000, 0) + (id * 7919 % 200) * 1000 AS ts_ms",
+        "IF(id % 10 = 1, NULL, 0.5D) AS lon", "0.5D AS lat", "'c' AS consent",
+    )
+    visits = jobs.busy_day_visits(pings, feet, batches=4, zone="UTC")
+    rows = visits.collect()
+    day = sorted((1704067200000 + (i * 7919 % 200) * 1000, i) for i in range(200) if i % 4)
+    parts = [p for p, size in ((1, 38), (2, 38), (3, 37), (4, 37)) for _ in range(size)]
+    want = {i: p for p, (_, i) in zip(parts, day, strict=True)}
+    assert {r.event_id: r.part for r in rows} == {i: p for i, p in want.items() if i % 10 != 1}
+    assert {str(r.event_date) for r in rows} == {"2024-01-01"} and "consent" not in visits.columns
+    assert "SinglePartition" not in plan_of(visits)
+    path = str(tmp_path / "out")
+    for _ in range(2):  # a second run replaces the same folders
+        jobs.write_busy_day(visits.select("event_id", "event_date", "part"), path)
+    back = spark.read.parquet(path)
+    assert {(r.event_id, str(r.date), r.part) for r in back.collect()} == {(r.event_id, "2024-01-01", r.part) for r in rows}
+    assert back.count() == len(rows)

@@ -4,13 +4,16 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tileframe.operators.ordered import running_sums
-from tileframe.sources.workspace import stored
+from tileframe.sources.workspace import broadcast_if_small, stored
 
+#: Donors of a block of the band join, and targets of a portion that meets it.
+BLOCK = 1024
 _DIGITS = 38
 
 
@@ -41,34 +44,87 @@ def band_join(
     """Left join of each target to the donors of its group whose value is in [low, high] x its own.
 
     Returns the target columns, ``neighbour_<value>`` and ``neighbour_<measure>``; a target without
-    neighbours keeps one row with NULLs. Values are put on a logarithmic scale whose step is the
-    width of the band; a donor is offered at the two or three steps where its targets can be, so the
-    step is one more equality and only rows of nearby size meet. The result holds every matching
-    pair; where only averages are wanted use ``band_averages``, which forms none.
+    neighbours keeps one row with NULLs, also where its value or a name of its group is NULL. Repeated rows are
+    targets, or donors, of their own. The result holds every matching pair; where only averages are wanted use
+    ``band_averages``, which forms none.
+
+    Donors are numbered in one order of (group, value), and the two ends of each target's band are placed in the same
+    order: the neighbours of a target are then the donors of one stretch of numbers. The order is cut into blocks of
+    ``BLOCK`` donors, and a target is offered to the blocks that its stretch meets. A block that many targets meet
+    is dealt out in portions of ``BLOCK`` targets, each with its own copy of the block's donors. So a task reads bounded
+    blocks, whatever share of the rows one group or one value has, and the rows that are moved are in proportion to
+    the rows of the two tables and the pairs of the result.
     """
-    step = math.log(high / low)
-
-    def level(v: Column) -> Column:
-        """Monotone step number; zero has one of its own, below all others."""
-        return F.when(v > 0, F.floor(F.ln(v) / F.lit(step))).otherwise(F.lit(-(2**40))).cast("long")
-
-    v = F.col(value)
-    # A hair wider than the band, so that rounding loses no pair; the exact test follows.
-    steps = F.sequence(level(v / F.lit(high * (1 + 1e-9))), level(v / F.lit(low * (1 - 1e-9))))
-    offered = donors.select(
-        *[F.col(g).alias(f"_d_{g}") for g in groups],
-        v.alias(f"neighbour_{value}"),
-        F.col(measure).alias(f"neighbour_{measure}"),
-        F.explode(steps).alias("_d_level"),
+    blocks = band_blocks(targets, donors, groups, value, measure, low, high)
+    on = (F.col("_block") == F.col("_d_block")) & (F.col("_portion") == F.col("_d_portion"))
+    on = on & (F.col("_at") >= F.col("_from")) & (F.col("_at") <= F.col("_to"))
+    found = [f"neighbour_{value}", f"neighbour_{measure}"]
+    pairs = blocks.targets.join(blocks.donors, on).select(*[F.col(f"_t.{c}").alias(c) for c in targets.columns], *found)
+    alone = blocks.alone.select(
+        *[F.col(f"_t.{c}").alias(c) for c in targets.columns],
+        F.lit(None).cast(donors.schema[value].dataType).alias(found[0]),
+        F.lit(None).cast(donors.schema[measure].dataType).alias(found[1]),
+    )
+    return pairs.unionByName(alone)
+
+
+@dataclass(frozen=True)
+class Blocks:
+    """Targets and donors of a band join, by block and portion, and the targets that meet no donor."""
+
+    targets: DataFrame
+    donors: DataFrame
+    alone: DataFrame
+
+
+def band_blocks(
+    targets: DataFrame, donors: DataFrame, groups: Sequence[str], value: str, measure: str, low: float = 0.8, high: float = 1.2
+) -> Blocks:
+    """The two sides of ``band_join``: ``_t, _id, _from, _to, _block, _portion`` and ``_at, _d_block, _d_portion`` with the donor's values."""
+    names = [F.col(g).cast("string") for g in groups]
+    # Length-prefixed, so that different lists of names never look alike; NULL if any name is.
+    group = F.concat(F.lit(""), *[part for n in names for part in (F.length(n).cast("string"), F.lit(":"), n)])
+    v = F.col(value).cast("double")
+    whole = F.struct(*[F.col(f"`{c}`") for c in targets.columns])
+    own = stored(targets.select(F.monotonically_increasing_id().alias("_id"), whole.alias("_t"), group.alias("_grp"), v.alias("_v")), "targets")
+    placed = own.filter("_grp IS NOT NULL AND _v IS NOT NULL")
+    none_t = F.lit(None).cast(own.schema["_t"].dataType).alias("_t")
+    values = [F.col(value).alias(f"neighbour_{value}"), F.col(measure).alias(f"neighbour_{measure}")]
+    given = donors.select(
+        group.alias("_grp"), v.alias("_v"), F.lit(1).alias("_kind"), F.xxhash64(*[F.col(f"`{c}`") for c in donors.columns]).alias("_id"),
+        F.lit(1).cast("long").alias("_one"), none_t, *values,
+    ).filter("_grp IS NOT NULL AND _v IS NOT NULL")
+    no_values = [F.lit(None).cast(given.schema[c].dataType).alias(c) for c in given.columns[-2:]]
+    zero = F.lit(0).cast("long").alias("_one")
+    # The lower end sorts before donors of the same value, the upper end after them.
+    lower = placed.select("_grp", (F.col("_v") * F.lit(low)).alias("_v"), F.lit(0).alias("_kind"), "_id", zero, "_t", *no_values)
+    upper = placed.select("_grp", (F.col("_v") * F.lit(high)).alias("_v"), F.lit(2).alias("_kind"), "_id", zero, none_t, *no_values)
+    line = running_sums(given.unionByName(lower).unionByName(upper), [], ["_grp", "_v", "_kind", "_id"], {"_at": "_one"})
+    line = stored(line.select("_kind", "_id", "_t", *given.columns[-2:], "_at"), "line")
+    ends = line.filter("_kind <> 1").groupBy("_id").agg(
+        F.any_value("_t", ignoreNulls=True).alias("_t"),
+        (F.max(F.when(F.col("_kind") == 0, F.col("_at"))) + 1).alias("_from"),
+        F.max(F.when(F.col("_kind") == 2, F.col("_at"))).alias("_to"),
     )
-    leveled = targets.withColumn("_level", F.when(v.isNotNull(), level(v)))
-    neighbour = F.col(f"neighbour_{value}")
-    on = (F.col("_level") == F.col("_d_level")) & (neighbour >= v * F.lit(low)) & (neighbour <= v * F.lit(high))
-    for g in groups:
-        on = on & (F.col(g) == F.col(f"_d_{g}"))
-    return leveled.join(offered, on, "left").select(
-        *targets.columns, f"neighbour_{value}", f"neighbour_{measure}"
+    ends = stored(ends, "ends")
+
+    def block(at: Column) -> Column:
+        return F.floor((at - 1) / F.lit(BLOCK)).cast("long")
+
+    met = ends.filter("_from <= _to")
+    offered = met.select("*", F.explode(F.sequence(block(F.col("_from")), block(F.col("_to")))).alias("_block"))
+    # At most one row for every BLOCK donors.
+    load = stored(offered.groupBy("_block").agg(F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)).cast("int").alias("_portions")), "load")
+    small = broadcast_if_small(load)
+    portion = F.pmod(F.xxhash64("_id"), F.col("_portions")).cast("int").alias("_portion")
+    left = offered.join(small, "_block").select("_t", "_id", "_from", "_to", "_block", portion)
+    right = line.filter("_kind = 1").select(block(F.col("_at")).alias("_block"), "_at", *given.columns[-2:]).join(small, "_block")
+    right = right.select(
+        F.col("_block").alias("_d_block"), "_at", *given.columns[-2:],
+        F.explode(F.sequence(F.lit(0), F.col("_portions") - 1)).alias("_d_portion"),
     )
+    alone = ends.filter("_from > _to").select("_t").unionByName(own.filter("_grp IS NULL OR _v IS NULL").select("_t"))
+    return Blocks(left, right, alone)
 
 
 def band_averages(

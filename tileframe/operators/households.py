@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tileframe.functions.keys import ratio, snake_name, squash_name
-from tileframe.operators.tables import override_values, union_all, with_group_totals
-from tileframe.sources.workspace import is_small
+from tileframe.operators.tables import override_values, salted_join, union_all, with_group_totals
+from tileframe.sources.workspace import is_small, stored
 
 DISTRICT = ("adm1", "adm2")
 
@@ -124,18 +124,60 @@ def reallocate_by_buildings(
     return shared.withColumn("hh", ratio(F.col("truth_adjusted_pop"), F.col(per_household)))
 
 
+def route_districts(
+    tiles: DataFrame, truth: DataFrame, buildings: DataFrame, limit: float = 2.0, keys: Sequence[str] = DISTRICT,
+    tile: str = "tile", pop: str = "adjusted_pop", per_household: str = "pop_to_hh", truth_pop: str = "population",
+    denominator: str = "buildings",
+) -> DataFrame:
+    """Bring every tile to the truth population of its district, by the way that suits the district.
+
+    Districts whose multiplier (truth over estimate) is at most ``limit`` scale their tiles by it; in the others the
+    estimate says too little, and the truth population is spread by the tiles' share of the buildings, as in
+    ``reallocate_by_buildings``. One pass: the tiles get their number of buildings, one aggregate gives
+    each district its estimate, its buildings and so its way, and one join takes that back to the tiles, where a district
+    with most of the tiles is dealt to many tasks.
+
+    Adds ``multiplier``, ``method`` (``multiplier`` or ``buildings``), ``truth_adjusted_pop`` and ``hh``. Districts without a
+    truth population, without a multiplier (an estimate of zero), and tiles without buildings in a district that is spread
+    get no row, as in the two operators alone.
+    """
+    if denominator not in ("buildings", "rows"):
+        raise ValueError("denominator must be 'buildings' or 'rows'")
+    per_tile = buildings.groupBy(tile).agg(F.count(F.lit(1)).alias("_buildings"))
+    counted = stored(tiles.join(per_tile, tile, "left"), "counted")
+    total = F.sum("_buildings") if denominator == "buildings" else F.count("_buildings")
+    facts = counted.groupBy(*keys).agg(
+        F.sum(pop).alias("_estimated"), total.alias("_total"), F.count(F.lit(1)).alias("_rows")
+    )
+    known = truth.select(*keys, F.col(truth_pop).alias("_truth"))
+    facts = facts.join(known, list(keys)).withColumn("multiplier", ratio(F.col("_truth"), F.col("_estimated")))
+    facts = facts.filter(F.col("multiplier").isNotNull())
+    facts = facts.withColumn("method", F.when(F.col("multiplier") > limit, "buildings").otherwise("multiplier"))
+    routed = salted_join(counted, stored(facts.drop("_estimated"), "districts"), keys, "_rows")
+    by_buildings = F.col("method") == "buildings"
+    spread = ratio(F.col("_truth") * F.col("_buildings"), F.col("_total"))
+    scaled = routed.filter(~by_buildings | F.col("_buildings").isNotNull()).withColumn(
+        "truth_adjusted_pop", F.when(by_buildings, spread).otherwise(F.col("multiplier") * F.col(pop))
+    )
+    out = scaled.withColumn("hh", ratio(F.col("truth_adjusted_pop"), F.col(per_household)))
+    return out.drop("_buildings", "_total", "_truth")
+
+
 def combine_sources(
     *sources: DataFrame, overrides: DataFrame | None = None, tile: str = "tile",
-    names: Sequence[str] = ("adm1", "adm2", "adm3"), households: str = "hh",
+    names: Sequence[str] = ("adm1", "adm2", "adm3"), households: str = "hh", origin: str | None = None,
 ) -> DataFrame:
     """One household grid from several producers, with the columns (tile, names, households).
 
     Names are put in snake case, duplicates are added up, overrides replace the value of their
-    tile, and what is above zero is rounded up to whole households.
+    tile, and what is above zero is rounded up to whole households. ``origin`` names a column of
+    all sources that says where a row comes from; the result then lists the origins of each tile, sorted.
     """
-    parts = [s.select(tile, *names, F.col(households).cast("double").alias(households)) for s in sources]
+    more = [origin] if origin else []
+    parts = [s.select(tile, *names, F.col(households).cast("double").alias(households), *more) for s in sources]
     clean = union_all(*parts).withColumns({n: snake_name(F.col(n)) for n in names})
-    summed = clean.groupBy(tile, *names).agg(F.sum(households).alias(households))
+    listed = [F.array_join(F.sort_array(F.collect_set(c)), ",").alias(c) for c in more]
+    summed = clean.groupBy(tile, *names).agg(F.sum(households).alias(households), *listed)
     if overrides is not None:
         summed = override_values(summed, overrides, tile, households)
     return summed.filter(F.col(households) > 0).withColumn(households, F.ceil(households).cast("int"))

@@ -8,7 +8,10 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tileframe.sources.workspace import broadcast_if_small
+from tileframe.sources.workspace import broadcast_if_small, stored
+
+#: Groups with more than this share of what one task should hold are dealt to several tasks.
+_HOT = 32
 
 
 def same_columns(*frames: DataFrame) -> None:
@@ -27,11 +30,36 @@ def union_all(*frames: DataFrame) -> DataFrame:
 def with_group_totals(df: DataFrame, keys: Sequence[str], totals: Sequence[Column]) -> DataFrame:
     """Add totals of each row's group.
 
-    Same rows as a window without an order, but the totals are combined before the shuffle, and a
-    group that holds a third of all rows is never gathered in one task: the join back to the rows
-    is a plain equi-join that AQE may broadcast or split. Rows with a NULL key are dropped.
+    Same rows as a window without an order, but in two stages: partial totals are combined before the
+    shuffle, and the totals (one stored row per group) are joined back by ``salted_join``, so a group that holds a
+    third of all rows is never gathered in one task. Rows with a NULL key are dropped.
+    """
+    known = F.lit(True)
+    for k in keys:
+        known = known & F.col(k).isNotNull()
+    summed = df.filter(known).groupBy(*keys).agg(*totals, F.count(F.lit(1)).alias("_rows"))
+    return salted_join(df, stored(summed, "totals"), keys, "_rows")
+
+
+def salted_join(rows: DataFrame, facts: DataFrame, keys: Sequence[str], size: str) -> DataFrame:
+    """Inner join of rows to the facts of their group, even where one group holds most of the rows.
+
+    ``facts`` has one row per group, is cheap to read, and tells in ``size`` how many rows its group has. A
+    group is hot if it has more than 1/32 of what one task would hold if all tasks held the same; there can be no more
+    than 32 such groups for each shuffle partition, so their list may be broadcast. Rows of a hot group get a
+    salt from a hash of the whole row, as many salts as the group has such portions, and its facts are repeated for each salt;
+    all other groups have the one salt 0. This needs neither adaptive execution nor a broadcast of the facts.
     """
-    return df.join(df.groupBy(*keys).agg(*totals), list(keys))
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    portion = max(1, (facts.agg(F.sum(size)).first()[0] or 0) // (_HOT * tasks))
+    names = [f"_k{i}" for i in range(len(keys))]
+    dealt = facts.withColumn("_salts", F.ceil(F.col(size) / F.lit(portion)).cast("int"))
+    hot = dealt.filter(F.col("_salts") > 1).select(*[F.col(k).alias(n) for k, n in zip(keys, names)], F.col("_salts").alias("_many"))
+    same = reduce(Column.__and__, [F.col(k) == F.col(n) for k, n in zip(keys, names)])
+    spread = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in rows.columns]), F.col("_many"))
+    salted = rows.join(F.broadcast(hot), same, "left").withColumn("_salt", F.coalesce(spread, F.lit(0)).cast("int")).drop(*names, "_many")
+    repeated = dealt.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.col("_salts") - 1))).drop("_salts", size)
+    return salted.join(repeated, [*keys, "_salt"]).drop("_salt")
 
 
 def override_values(df: DataFrame, overrides: DataFrame, key: str, value: str) -> DataFrame:

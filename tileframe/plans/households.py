@@ -1,4 +1,4 @@
-"""The household grid from tile populations: scale, sample, match, estimate, correct."""
+"""The household grid from tile populations: scale, sample, match, estimate, correct; and by truth sets of districts."""
 
 from __future__ import annotations
 
@@ -6,7 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tileframe.functions.keys import squash_name
-from tileframe.operators.households import control_ratio, household_estimate, scale_to_control
+from tileframe.operators.households import (
+    combine_sources, control_ratio, household_correction, household_estimate, route_districts, scale_to_control,
+)
+from tileframe.operators.qc import control_difference
 from tileframe.operators.rank import rank_match
 from tileframe.operators.sampling import gaussian_samples, ratio_bounds, uniform_samples
 from tileframe.sources.workspace import stored
@@ -43,3 +46,28 @@ def estimate_households(
     samples = province_samples(measured, control, spread, kind)
     matched = rank_match(measured, samples, "adm1", "floor_area", ["tile"]).withColumnRenamed("sample", "pop_to_hh")
     return matched.withColumn("hh", household_estimate(F.col("adjusted_pop"), F.col("pop_to_hh"), rounded))
+
+
+def district_job(
+    tiles: DataFrame, truth: DataFrame, buildings: DataFrame, *others: DataFrame, limit: float = 2.0,
+    overrides: DataFrame | None = None, denominator: str = "buildings",
+) -> DataFrame:
+    """The final grid of whole households: (tile, adm1, adm2, adm3, hh, method).
+
+    Tiles with a truth set for their district are brought to it, by multiplier or by buildings; the grids of
+    ``others`` (tile, names, hh) are added as ``other``, names are made alike, duplicates added up, and overrides put in.
+    ``method`` lists where the households of a tile come from.
+    """
+    routed = route_districts(tiles, truth, buildings, limit, denominator=denominator)
+    parts = [routed.select("tile", "adm1", "adm2", "adm3", "hh", "method")]
+    parts += [o.select("tile", "adm1", "adm2", "adm3", "hh", F.lit("other").alias("method")) for o in others]
+    return combine_sources(*parts, overrides=overrides, origin="method")
+
+
+def corrected_households(estimates: DataFrame, control: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Estimates corrected to the control counts, and the check of the corrected ones: (adm1, est_hh, control_hh, pct_diff).
+
+    What is left of the difference is the rounding of each tile."""
+    corrected = stored(household_correction(estimates, control), "corrected")
+    again = corrected.drop("hh").withColumnRenamed("hh_corrected", "hh")
+    return corrected, control_difference(again, control)

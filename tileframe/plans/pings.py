@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tileframe.functions.keys import event_day, from_epoch_ms
 from tileframe.operators.cover import Cover
+from tileframe.operators.ordered import global_ntile
 from tileframe.operators.spatial_join import join_points
 from tileframe.sources.writers import write_partitioned
 
@@ -81,6 +82,39 @@ def busiest_day(pings: DataFrame, day: str = DAY) -> DataFrame:
     return counts.orderBy(F.desc("rows"), day).limit(1)
 
 
+def busy_day_visits(
+    pings: DataFrame,
+    footprints: DataFrame | Cover,
+    columns: Sequence[str] = ("building_id",),
+    key: Sequence[str] = ("event_id",),
+    batches: int = 12,
+    batch: str = "part",
+    ts_ms: str = "ts_ms",
+    lon: str = "lon",
+    lat: str = "lat",
+    zone: str | None = None,
+    drop: Sequence[str] = ("consent",),
+    **options,
+) -> DataFrame:
+    """The building visits of the day with most pings, in batches of equally many pings in order of time.
+
+    The pings of the day are numbered over sorted runs, so the day is never sorted in one task, and
+    all batches are joined in one job. ``key`` breaks ties of time and should make the order unique. Pings
+    without a place count in the batches, though they visit nothing. Adds ``event_time``, the day and ``batch``.
+    """
+    slim = pings.drop(*drop).withColumn("event_time", from_epoch_ms(F.col(ts_ms)))
+    dated = slim.withColumn(DAY, event_day(slim, "event_time", zone))
+    # One row, so the other pings leave before anything is sorted.
+    day = F.broadcast(busiest_day(dated).select(DAY))
+    numbered = global_ntile(dated.join(day, DAY, "left_semi"), ["event_time", *key], batches, batch)
+    return join_points(numbered, footprints, columns, predicate="within", x=lon, y=lat, **options)
+
+
+def write_busy_day(visits: DataFrame, path: str, batch: str = "part", day: str = DAY) -> None:
+    """Write batched visits as ``date=.../part=...`` folders in one job; other days and parts on disk stay."""
+    write_partitioned(visits.withColumnRenamed(day, "date"), path, ["date", batch])
+
+
 def write_days(df: DataFrame, path: str, by: Sequence[str] = (DAY,)) -> None:
     """Write all days (and provinces) in one job, a folder each; other days on disk stay."""
     write_partitioned(df, path, by)

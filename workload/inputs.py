@@ -179,13 +179,13 @@ class Inputs:
         )
 
     def control_district(self) -> DataFrame:
-        """Truth populations; that of one nation is ten times too large."""
+        """Truth populations; those of every third nation are far above their estimates at every size of the tables."""
         supplier = self.table("supplier")
         return (
             supplier.join(F.broadcast(self.nations()), supplier.s_nationkey == F.col("n_nationkey"))
             .groupBy("adm1", "adm2", "n_nationkey")
             .agg(F.sum(F.abs(F.col("s_acctbal").cast("decimal(15,2)"))).cast("double").alias("s"))
-            .selectExpr("adm1", "adm2", "s * IF(n_nationkey = 7, 10D, 1D) / 5D AS population")
+            .selectExpr("adm1", "adm2", "s * IF(n_nationkey % 3 = 0, 5000D, 1D) / 5D AS population")
         )
 
     def estimates(self) -> DataFrame:

@@ -137,7 +137,7 @@ CTES: dict[str, str] = {
         SELECT adm1 AS name, population, round(population / 3.1::DOUBLE, 0) AS households FROM (
             SELECT adm1, sum(abs(c_acctbal::DECIMAL(15, 2)))::DOUBLE AS population
             FROM customer JOIN nat ON c_nationkey = n_nationkey GROUP BY 1))""",
-    "control_district": """SELECT adm1, adm2, s * CASE WHEN n_nationkey = 7 THEN 10 ELSE 1 END / 5::DOUBLE AS population
+    "control_district": """SELECT adm1, adm2, s * CASE WHEN n_nationkey % 3 = 0 THEN 5000 ELSE 1 END / 5::DOUBLE AS population
         FROM (SELECT adm1, adm2, n_nationkey, sum(abs(s_acctbal::DECIMAL(15, 2)))::DOUBLE AS s
               FROM supplier JOIN nat ON s_nationkey = n_nationkey GROUP BY 1, 2, 3)""",
     "estimates": f"""SELECT *, round(adjusted_pop / pop_to_hh, 0) AS hh FROM (
@@ -146,6 +146,10 @@ CTES: dict[str, str] = {
     "multipliers": """SELECT adm1, adm2, estimated_pop, population AS truth_pop, population / nullif(estimated_pop, 0) AS multiplier
         FROM (SELECT adm1, adm2, sum(adjusted_pop) AS estimated_pop FROM estimates GROUP BY 1, 2)
         JOIN control_district USING (adm1, adm2)""",
+    "district_routed": """SELECT e.*, multiplier, CASE WHEN multiplier > 0.8 THEN 'buildings' ELSE 'multiplier' END AS method,
+        CASE WHEN multiplier > 0.8 THEN truth_pop * n / sum(n) OVER (PARTITION BY adm1, adm2) ELSE multiplier * adjusted_pop END AS p
+        FROM estimates e JOIN multipliers USING (adm1, adm2)
+        LEFT JOIN (SELECT tile, count(*) AS n FROM buildings GROUP BY 1) USING (tile) WHERE multiplier IS NOT NULL""",
     "places": f"""SELECT c_custkey AS place_id, c_name AS name, c_mktsegment AS category, lon,
         CASE WHEN c_custkey % 50 = 0 THEN NULL ELSE lat END AS lat
         FROM (SELECT c_custkey, c_name, c_mktsegment, {lattice('c_custkey')} FROM customer)""",
@@ -365,6 +369,16 @@ ORACLE: dict[str, str] = {
             SELECT *, row_number() OVER (PARTITION BY adm1 ORDER BY floor_area DESC, tile) AS k FROM measured)
         JOIN (SELECT adm1, sample, row_number() OVER (PARTITION BY adm1 ORDER BY sample, slot) AS k FROM measured_draws)
         USING (adm1, k)""",
+    "household_uniform": f"""SELECT tile, adm1, round(adjusted_pop, 5) AS adjusted_pop, floor_area, round(sample, 5) AS pop_to_hh,
+        round(adjusted_pop / sample, 5) AS hh FROM (
+            SELECT *, row_number() OVER (PARTITION BY adm1 ORDER BY floor_area DESC, tile) AS k FROM measured)
+        JOIN (SELECT adm1, sample, row_number() OVER (PARTITION BY adm1 ORDER BY sample, slot) AS k FROM (
+            SELECT adm1, slot, lower + (upper - lower) * ({_HASH.format(seed="('42:' || adm1 || ':' || slot)", at=1)}) AS sample
+            FROM (SELECT *, unnest(range(1, n + 1)) AS slot FROM (
+                SELECT g.adm1, n, round(pop_to_hh + 2 * 0.29::DOUBLE, 2) AS upper, round(pop_to_hh - 2 * 0.29::DOUBLE, 2) AS lower
+                FROM (SELECT adm1, count(*) AS n FROM measured GROUP BY 1) g
+                JOIN (SELECT {_squash('name')} AS adm1, pop_to_hh FROM control_province) USING (adm1)))))
+        USING (adm1, k)""",
     "household_correction": f"""SELECT tile, adm1, hh, province_hh, control_hh, hh_corrected,
         round(adjusted_pop / nullif(hh_corrected, 0), 6) AS pop_to_hh_corrected FROM (
         SELECT *, round(hh * control_hh / nullif(province_hh, 0), 0) AS hh_corrected FROM (
@@ -408,6 +422,28 @@ ORACLE: dict[str, str] = {
             regexp_replace(round(west, 9)::VARCHAR, '\.0$', '') AS w, regexp_replace(round(south, 9)::VARCHAR, '\.0$', '') AS s,
             regexp_replace(round(east, 9)::VARCHAR, '\.0$', '') AS e, regexp_replace(round(north, 9)::VARCHAR, '\.0$', '') AS n
             FROM tile_places) USING (tile) WHERE adm1 IN ('ASIA', 'EUROPE')""",
+    "busy_day_batches": """SELECT event_id, "date", part, building_id FROM (
+        SELECT event_id, strftime(local_ts, '%Y-%m-%d') AS "date", ntile(12) OVER (ORDER BY ts, event_id) AS part FROM pings
+        WHERE strftime(local_ts, '%Y-%m-%d') = (SELECT strftime(local_ts, '%Y-%m-%d') AS d FROM pings
+            GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1)) JOIN foot_hits USING (event_id) WHERE strict""",
+    "district_route": """SELECT tile, adm1, adm2, adm3, round(multiplier, 6) AS multiplier, method, round(p, 6) AS truth_adjusted_pop,
+        round(p / pop_to_hh, 6) AS hh FROM district_routed WHERE p IS NOT NULL""",
+    "district_job": f"""WITH c AS (SELECT * FROM {nation_of(
+        f"SELECT c_custkey, c_acctbal, lon, lat, {tile('lat', 'lon', ZOOM)} AS tile FROM (SELECT c_custkey, c_acctbal, {lattice('c_custkey')} FROM customer)")})
+        SELECT tile, adm1, adm2, adm3, ceil(hh)::BIGINT AS hh, method FROM (
+            SELECT s.tile, s.adm1, s.adm2, s.adm3, coalesce(m.floor_area / 10, s.hh) AS hh, method FROM (
+                SELECT tile, lower(regexp_replace(adm1, '[^a-zA-Z0-9]+', '_', 'g')) AS adm1, lower(adm2) AS adm2, lower(adm3) AS adm3,
+                    sum(hh) AS hh, string_agg(DISTINCT method, ',' ORDER BY method) AS method FROM (
+                    SELECT tile, adm1, adm2, adm3, p / pop_to_hh AS hh, method FROM district_routed WHERE p IS NOT NULL UNION ALL
+                    SELECT tile, adm1, adm2, adm3, c_acctbal / 200::DOUBLE, 'other' FROM c WHERE c_custkey % 3 <> 1)
+                GROUP BY 1, 2, 3, 4) s
+            LEFT JOIN (SELECT * FROM tile_metric WHERE floor_area >= 6000) m ON s.tile = m.tile) WHERE hh > 0""",
+    "correction_recheck": f"""SELECT adm1, sum(hh_corrected) AS est_hh, max(control_hh) AS control_hh,
+        round((sum(hh_corrected) - max(control_hh)) * 100 / nullif(max(control_hh), 0), 6) AS pct_diff FROM (
+        SELECT *, round(hh * control_hh / nullif(province_hh, 0), 0) AS hh_corrected FROM (
+            SELECT e.adm1, hh, households AS control_hh, sum(hh) OVER (PARTITION BY e.adm1) AS province_hh
+            FROM (SELECT * REPLACE ({_squash('adm1')} AS adm1) FROM estimates) e
+            JOIN control_province c ON e.adm1 = {_squash('c.name')})) GROUP BY 1""",
     "qc_control_diff": """SELECT e.adm1, est_hh, households AS control_hh, round((est_hh - households) * 100 / nullif(households, 0), 6) AS pct_diff
         FROM (SELECT lower(replace(adm1, ' ', '')) AS adm1, sum(hh) AS est_hh FROM estimates GROUP BY 1) e
         JOIN control_province c ON e.adm1 = lower(replace(c.name, ' ', ''))""",
@@ -417,6 +453,9 @@ ORACLE: dict[str, str] = {
         SELECT tile, (hh - total) * 100 / total AS excess FROM estimates
         JOIN (SELECT tile, sum(floors)::DOUBLE AS total FROM buildings GROUP BY 1) USING (tile)) x ON b.tile = x.tile
         WHERE excess > 0 ORDER BY excess DESC, b.tile, building_id LIMIT 300""",
+    "qc_worst_tiles": """SELECT tile, total AS total_floors, hh, round((hh - total) * 100 / total, 6) AS excess_pct FROM estimates
+        JOIN (SELECT tile, sum(floors)::BIGINT AS total FROM buildings GROUP BY 1) USING (tile)
+        WHERE (hh - total) * 100 / total > 0 ORDER BY (hh - total) * 100 / total DESC, tile LIMIT 300""",
     "qc_more_households": """SELECT tile, buildings, hh FROM estimates
         JOIN (SELECT tile, count(*) AS buildings FROM buildings GROUP BY 1) USING (tile) WHERE buildings <= hh""",
 }

@@ -390,6 +390,15 @@ def ping_building_visits(i: Inputs) -> DataFrame:
     return rounded(visits.select("event_id", "event_date", "building_id"))
 
 
+@query
+def busy_day_batches(i: Inputs) -> DataFrame:
+    """Written as folders of day and part, and read back."""
+    visits = ping_jobs.busy_day_visits(i.pings_ms(), i.footprints(), zone=ZONE)
+    path = workspace.shared_path(i.spark, "busy-day")
+    ping_jobs.write_busy_day(visits.select("event_id", "building_id", "event_date", "part"), path)
+    return rounded(i.spark.read.schema("event_id long, building_id long, `date` date, part long").parquet(path))
+
+
 @query
 def ping_place_visits(i: Inputs) -> DataFrame:
     tagged = ping_jobs.tag_pings(i.pings(), i.areas(), AREA, zone=ZONE)
@@ -488,6 +497,16 @@ def household_estimate(i: Inputs) -> DataFrame:
     return rounded(_household_estimates(i), 5)
 
 
+@query
+def household_uniform(i: Inputs) -> DataFrame:
+    """Uniform draws within two deviations, households not rounded."""
+    population = i.pop_points().groupBy("tile").agg(F.sum(F.col("pop").cast("decimal(20,5)")).cast("double").alias("pop"))
+    out = household_jobs.estimate_households(
+        population, i.tile_map(), i.tile_metric(), i.control_province(), spread=2.0, kind="uniform", rounded=False
+    )
+    return rounded(out.select("tile", "adm1", "adjusted_pop", "floor_area", "pop_to_hh", "hh"), 5)
+
+
 @query
 def household_correction(i: Inputs) -> DataFrame:
     control = i.control_province()
@@ -529,6 +548,28 @@ def reallocate_by_buildings(i: Inputs) -> DataFrame:
     return rounded(out, 6)
 
 
+@query
+def district_route(i: Inputs) -> DataFrame:
+    """Usual and extreme districts in one pass."""
+    routed = households.route_districts(i.estimates().drop("hh"), i.control_district(), i.buildings(), 0.8)
+    return rounded(routed.select("tile", *AREA, "multiplier", "method", "truth_adjusted_pop", "hh"), 6)
+
+
+@query
+def district_job(i: Inputs) -> DataFrame:
+    """The routed districts united with another producer, and overrides."""
+    other = i.producers()[1]
+    overrides = i.tile_metric().filter("floor_area >= 6000").selectExpr("tile", "floor_area / 10D AS hh")
+    tiles = i.estimates().drop("hh")
+    return rounded(household_jobs.district_job(tiles, i.control_district(), i.buildings(), other, limit=0.8, overrides=overrides))
+
+
+@query
+def correction_recheck(i: Inputs) -> DataFrame:
+    estimates = i.estimates().withColumn("adm1", keys.squash_name(F.col("adm1")))
+    return rounded(household_jobs.corrected_households(estimates, i.control_province())[1], 6)
+
+
 @query
 def combine_sources(i: Inputs) -> DataFrame:
     overrides = i.producers()[0].groupBy("tile").agg(F.expr("CAST(count(1) * 1000 AS DOUBLE) AS hh")).filter("hh >= 4000")
@@ -598,6 +639,12 @@ def qc_floor_excess_top(i: Inputs) -> DataFrame:
     return rounded(qc.worst_buildings(i.buildings().drop("p_size"), excess).drop("residential"), 6)
 
 
+@query
+def qc_worst_tiles(i: Inputs) -> DataFrame:
+    """The 300 tiles with the largest excess of households over floors."""
+    return rounded(qc.worst_floor_excess(qc.floor_excess(i.buildings(), i.estimates())), 6)
+
+
 @query
 def qc_more_households(i: Inputs) -> DataFrame:
     counted = i.estimates().join(features.building_profile(i.buildings()).select("tile", "buildings"), "tile")
