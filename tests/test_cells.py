@@ -119,3 +119,21 @@ def test_category_rows_have_no_limit_of_columns(spark):
     places = spark.range(30_000).selectExpr("'c' AS cell", "IF(id % 3 = 0, NULL, cast(id AS string)) AS category")
     out = features.category_rows(places, "cell", "category")
     assert out.count() == 20_001 and out.where("category = 'null'").first()["rows"] == 10_000
+
+
+def test_sparse_matrix_of_many_categories(spark):
+    """More categories than any table has columns, missing ones among them; a cell with most of the rows."""
+    df = spark.range(30_000).selectExpr("IF(id % 5 = 0, concat('c', id % 70), 'hot') AS here", "IF(id % 7 = 0, NULL, concat('k', id % 12001)) AS kind")
+    dictionary = features.category_dictionary(df, "kind")
+    names = {r["index"]: r.kind for r in dictionary.collect()}
+    assert len(names) > 10_000 and sorted(names.values()) == [names[i] for i in range(len(names))]
+    rows = features.category_matrix(df, [F.col("here"), F.lit("all")], "kind", dictionary).collect()
+    got = {(r.cell, names[i]): n for r in rows for i, n in zip(r.indices, r.counts)}
+    assert all(r.indices == sorted(r.indices) for r in rows)
+    want = {}
+    for i in range(30_000):
+        kind = "null" if i % 7 == 0 else f"k{i % 12001}"
+        for cell in (f"c{i % 70}" if i % 5 == 0 else "hot", "all"):
+            want[cell, kind] = want.get((cell, kind), 0) + 1
+    assert got == want
+    assert features.category_matrix(df.where("false"), [F.col("here")], "kind", dictionary).count() == 0

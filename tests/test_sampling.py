@@ -1,6 +1,9 @@
+from statistics import NormalDist
+
 import pytest
 from pyspark.sql import functions as F
 
+from tileframe.functions import draws
 from tileframe.operators import sampling
 
 
@@ -56,3 +59,20 @@ def test_slots_are_spread_with_adaptive_defaults(spark):
     few = other.createDataFrame([(f"g{i}", 1.0, 2.0, 500_000) for i in range(4)], "adm1 string, lower double, upper double, n long")
     out = sampling.uniform_samples(few, "adm1").groupBy(F.spark_partition_id().alias("p")).count().collect()
     assert len(out) > 8 and sum(r["count"] for r in out) == 2_000_000
+
+
+def test_normal_quantile_is_the_inverse(spark):
+    chances = [1e-10, 0.00135, 0.01, 0.0749, 0.0751, 0.3, 0.5, 0.77, 0.9251, 0.999, 1 - 1e-9]
+    df = spark.createDataFrame([(p,) for p in chances], "p double").select("p", draws.normal_quantile(F.col("p")).alias("x"))
+    assert all(r.x == pytest.approx(NormalDist().inv_cdf(r.p), rel=1e-12, abs=1e-15) for r in df.collect())
+    assert NormalDist().cdf(-3) == pytest.approx(draws.BELOW_THREE, rel=1e-13)
+
+
+def test_cut_off_normal_has_the_right_shares(spark):
+    """Shares of 200,000 draws below some places agree with the distribution cut off at three deviations."""
+    out = spark.range(200_000).select(draws.normal_within_three(F.col("id").cast("string")).alias("x"))
+    normal = NormalDist()
+    whole = normal.cdf(3) - normal.cdf(-3)
+    for at in (-2.9, -2, -1, 0, 0.5, 1.7, 2.95):
+        assert out.filter(F.col("x") < at).count() / 200_000 == pytest.approx((normal.cdf(at) - normal.cdf(-3)) / whole, abs=0.004)
+    assert out.filter("abs(x) > 3").count() == 0

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tileframe.functions.cells import geohash, parent_cell, tile_key
+from tileframe.operators.ordered import row_numbers
+from tileframe.sources.workspace import broadcast_if_small
 
 NULL_CATEGORY = "null"
 
@@ -36,13 +38,39 @@ def category_rows(df: DataFrame, cell: str, category: str) -> DataFrame:
     return df.groupBy(cell, named).agg(F.count(F.lit(1)).alias("rows"))
 
 
+def category_dictionary(df: DataFrame, category: str, index: str = "index") -> DataFrame:
+    """The categories in order with their number from 0, for any number of them; missing ones count as ``null``."""
+    named = df.select(F.coalesce(F.col(category), F.lit(NULL_CATEGORY)).alias(category)).distinct()
+    return row_numbers(named, [], [category], index).withColumn(index, F.col(index) - 1)
+
+
+def category_matrix(
+    df: DataFrame, cells: Sequence[Column], category: str, dictionary: DataFrame, cell: str = "cell", index: str = "index"
+) -> DataFrame:
+    """One sparse row per cell: (cell, indices, counts), where ``indices`` are the categories of the cell in order.
+
+    ``cells`` are the keys of a row, such as its cells at several resolutions: it counts once in each. Rows are counted by cell and
+    category before anything else moves, so a cell or a category with most of the rows is one line per task. What comes together
+    in one row are the different categories of a cell, never its rows.
+    """
+    named = F.coalesce(F.col(category), F.lit(NULL_CATEGORY)).alias(category)
+    keyed = df.select(named, F.explode(F.array(*cells)).alias(cell))
+    counted = keyed.groupBy(cell, category).agg(F.count(F.lit(1)).alias("_n"))
+    numbered = counted.join(broadcast_if_small(dictionary), category)
+    listed = F.sort_array(F.collect_list(F.struct(F.col(index), F.col("_n"))))
+    packed = numbered.groupBy(cell).agg(listed.alias("_l"))
+    return packed.select(
+        cell, F.transform("_l", lambda e: e[index]).alias("indices"), F.transform("_l", lambda e: e["_n"]).alias("counts")
+    )
+
+
 def category_counts(
     df: DataFrame, cell: str, category: str, values: Sequence[str] | None = None
 ) -> DataFrame:
     """One row per cell, one column per category with the number of rows, 0 where there is none.
 
     Without ``values`` the categories are looked up once; give them to keep several tables alike. Where
-    there are too many for columns, use ``category_rows``.
+    there are too many for columns, use ``category_matrix`` or ``category_rows``.
     """
     values = category_values(df, category) if values is None else list(values)
     named = df.select(cell, F.coalesce(F.col(category), F.lit(NULL_CATEGORY)).alias("_category"))

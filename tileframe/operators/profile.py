@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tileframe.operators.ordered import running_sums
+from tileframe.operators.tables import salted_join
+from tileframe.sources.workspace import stored
 
 _QUARTILES = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
 
@@ -86,9 +88,10 @@ def histogram(
     keys = [group] if group else []
     if low is None or high is None:
         # One row in all, or one per group.
-        limits = rows.groupBy(*keys).agg(F.min(value).alias("_low"), F.max(value).alias("_high"))
+        limits = rows.groupBy(*keys).agg(F.min(value).alias("_low"), F.max(value).alias("_high"), F.count(F.lit(1)).alias("_rows"))
         if group:
-            rows = rows.join(limits, group)
+            # A group with most of the rows is dealt to many tasks.
+            rows = salted_join(rows, stored(limits.filter(F.col(group).isNotNull()), "limits"), keys, "_rows")
         else:
             rows = rows.select(
                 "*", limits.select("_low").scalar().alias("_low"), limits.select("_high").scalar().alias("_high")

@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tileframe.functions.draws import standard_normal, uniform
+from tileframe.functions.draws import normal_within_three, uniform
 
 # Slots that one task generates at a time; larger groups are cut into several pieces.
 CHUNK = 1 << 16
-_TRIES = 8
 
 
 def ratio_bounds(
@@ -46,19 +45,14 @@ def gaussian_samples(
 ) -> DataFrame:
     """``count`` normal draws per group within [lower, upper]: (group, slot, value).
 
-    The mean is the middle of the bounds and the bounds lie three deviations away. A draw outside
-    is replaced by the next try of the same slot; after eight misses (odds of about 3e-21) the
-    middle is taken. The seed of a draw is its group, slot and try.
+    The mean is the middle of the bounds and the bounds lie three deviations away. Draws come from the inverse of the
+    normal distribution cut off there, so each slot takes one draw and none is rejected. The seed of a draw is its
+    group and slot.
     """
     middle = (F.col(lower) + F.col(upper)) / 2
     deviation = (F.col(upper) - F.col(lower)) / 6
-
-    def attempt(k: int) -> Column:
-        seed = F.concat_ws(":", F.col(group), F.col("slot").cast("string"), F.lit(str(k)))
-        v = middle + deviation * standard_normal(seed)
-        return F.when((v >= F.col(lower)) & (v <= F.col(upper)), v)
-
-    draw = F.coalesce(*[attempt(k) for k in range(_TRIES)], middle)
+    seed = F.concat_ws(":", F.col(group), F.col("slot").cast("string"))
+    draw = F.greatest(F.col(lower), F.least(F.col(upper), middle + deviation * normal_within_three(seed)))
     return sample_slots(groups.select(group, count, lower, upper), count).select(group, "slot", draw.alias(value))
 
 

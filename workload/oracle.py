@@ -153,22 +153,41 @@ CTES: dict[str, str] = {
     "places": f"""SELECT c_custkey AS place_id, c_name AS name, c_mktsegment AS category, lon,
         CASE WHEN c_custkey % 50 = 0 THEN NULL ELSE lat END AS lat
         FROM (SELECT c_custkey, c_name, c_mktsegment, {lattice('c_custkey')} FROM customer)""",
+    "goods": f"""SELECT 'k' || l_orderkey AS k, {lattice('(l_orderkey * 8 + l_linenumber)')} FROM lineitem""",
     "sample_groups": f"""SELECT g.adm1, n, round(pop_to_hh + 3 * 0.29::DOUBLE, 2) AS upper, round(pop_to_hh - 3 * 0.29::DOUBLE, 2) AS lower
         FROM (SELECT {_squash('adm1')} AS adm1, count(*) AS n FROM tile_map GROUP BY 1) g
         JOIN (SELECT {_squash('name')} AS adm1, pop_to_hh FROM control_province) USING (adm1)""",
 }
 
 
-def _draws(groups: str, tries: int = 8) -> str:
-    """Bounded normal draws for (adm1, n, lower, upper)."""
-    picks = []
-    for k in range(tries):
-        seed = f"(adm1 || ':' || slot || ':{k}')"
-        u1, u2 = _HASH.format(seed=seed, at=1), _HASH.format(seed=seed, at=9)
-        v = f"((lower + upper) / 2 + (upper - lower) / 6 * (sqrt(-2 * ln({u1})) * cos(2 * pi() * ({u2}))))"
-        picks.append(f"CASE WHEN {v} BETWEEN lower AND upper THEN {v} END")
-    return f"""SELECT adm1, slot, coalesce({', '.join(picks)}, (lower + upper) / 2) AS sample
-        FROM (SELECT *, unnest(range(1, n + 1)) AS slot FROM {groups})"""
+def _powers(x: str, factors: list[str]) -> str:
+    """A polynomial, lowest power first."""
+    value = f"{factors[-1]}::DOUBLE"
+    for factor in factors[-2::-1]:
+        value = f"({value} * {x} + {factor}::DOUBLE)"
+    return value
+
+
+# Fixed values of the published approximation AS 241, lowest power first.
+_NUMERATOR = ["3.3871328727963666080e0", "1.3314166789178437745e2", "1.9715909503065514427e3", "1.3731693765509461125e4",
+              "4.5921953931549871457e4", "6.7265770927008700853e4", "3.3430575583588128105e4", "2.5090809287301226727e3"]
+_DENOMINATOR = ["1", "4.2313330701600911252e1", "6.8718700749205790830e2", "5.3941960214247511077e3",
+                "2.1213794301586595867e4", "3.9307895800092710610e4", "2.8729085735721942674e4", "5.2264952788528545610e3"]
+_FAR_NUMERATOR = ["1.42343711074968357734e0", "4.63033784615654529590e0", "5.76949722146069140550e0", "3.64784832476320460504e0",
+                  "1.27045825245236838258e0", "2.41780725177450611770e-1", "2.27238449892691845833e-2", "7.74545014278341407640e-4"]
+_FAR_DENOMINATOR = ["1", "2.05319162663775882187e0", "1.67638483018380384940e0", "6.89767334985100004550e-1",
+                    "1.48103976427480074590e-1", "1.51986665636164571966e-2", "5.47593808499534494600e-4", "1.05075007164441684324e-9"]
+
+
+def _draws(groups: str) -> str:
+    """Normal draws cut off at the bounds, for (adm1, n, lower, upper), by the inverse of the distribution."""
+    chance = f"(0.0013498980316300933::DOUBLE + (1 - 2 * 0.0013498980316300933::DOUBLE) * {_HASH.format(seed="(adm1 || ':' || slot)", at=1)})"
+    near = f"(p - 0.5) * {_powers('r', _NUMERATOR)} / {_powers('r', _DENOMINATOR)}"
+    far = f"sign(p - 0.5) * {_powers('t', _FAR_NUMERATOR)} / {_powers('t', _FAR_DENOMINATOR)}"
+    return f"""SELECT adm1, slot, greatest(lower, least(upper, (lower + upper) / 2
+            + (upper - lower) / 6 * CASE WHEN abs(p - 0.5) <= 0.425 THEN {near} ELSE {far} END)) AS sample
+        FROM (SELECT *, 0.180625::DOUBLE - (p - 0.5) * (p - 0.5) AS r, sqrt(-ln(least(p, 1 - p))) - 1.6::DOUBLE AS t
+              FROM (SELECT *, {chance} AS p FROM (SELECT *, unnest(range(1, n + 1)) AS slot FROM {groups})))"""
 
 
 CTES["samples"] = _draws("sample_groups")
@@ -306,6 +325,15 @@ ORACLE: dict[str, str] = {
     )
     + f""" FROM (SELECT {geohash('lat', 'lon', 6)} AS cell, category, 6 AS r FROM places
         UNION ALL SELECT {geohash('lat', 'lon', 5)} AS cell, category, 5 AS r FROM places) GROUP BY 1, r""",
+    "cell_category_matrix": "SELECT cell, string_agg(i || ':' || n, ' ' ORDER BY i) AS counts FROM ("
+    + f"""SELECT cell, i, count(*) AS n FROM (
+            SELECT {geohash('lat', 'lon', 5)} AS cell, k FROM goods UNION ALL SELECT {geohash('lat', 'lon', 4)}, k FROM goods)
+        JOIN (SELECT k, row_number() OVER (ORDER BY k) - 1 AS i FROM (SELECT DISTINCT k FROM goods)) USING (k) GROUP BY 1, 2) GROUP BY 1""",
+    "sink_overwrite": "SELECT event_id, isp FROM pings",
+    "sink_refuses_existing": "SELECT event_id, isp, 'refused' AS second FROM pings",
+    "src_catalog_tables": "SELECT 'customer' AS name, count(*) AS rows FROM customer UNION ALL SELECT 'nation', count(*) FROM nation",
+    "union_same_columns": "SELECT event_id, isp, 'first' AS feed FROM pings UNION ALL SELECT event_id, isp, 'second' AS feed FROM pings",
+    "probe_existence": """SELECT n_nationkey, n_nationkey IN (SELECT s_nationkey FROM supplier WHERE s_acctbal > 9000) AS found FROM nation""",
     "ping_cell_features": f"""SELECT event_id, {geohash('lat', 'lon', 6)} AS gh6, {geohash('lat', 'lon', 5)} AS gh5,
         {tile('lat', 'lon', 16)} AS tile FROM pings""",
     "load_polygons": """SELECT adm3, 3::BIGINT AS edges, 0.01::DOUBLE AS area, round(avg(x), 9) AS x, round(avg(y), 9) AS y

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -80,6 +81,62 @@ def sink_partitioned_roundtrip(i: Inputs) -> DataFrame:
     return rounded(back, 9)
 
 
+@query
+def sink_overwrite(i: Inputs) -> DataFrame:
+    """A written table is replaced as a whole."""
+    path = workspace.shared_path(i.spark, "overwritten")
+    pings = i.pings_ms().select("event_id", "isp")
+    writers.write_parquet(i.pings().selectExpr("event_id", "'old' AS isp"), path)
+    writers.write_parquet(pings, path, overwrite=True)
+    return i.spark.read.schema("event_id long, isp string").parquet(path)
+
+
+@query
+def sink_refuses_existing(i: Inputs) -> DataFrame:
+    """The default sink leaves a table that is there as it is, and says so."""
+    path = workspace.shared_path(i.spark, "kept")
+    pings = i.pings_ms().select("event_id", "isp")
+    writers.write_parquet(pings, path)
+    try:
+        writers.write_parquet(pings.selectExpr("-event_id AS event_id", "isp"), path)
+        outcome = "written"
+    except AnalysisException:
+        outcome = "refused"
+    return i.spark.read.schema("event_id long, isp string").parquet(path).withColumn("second", F.lit(outcome))
+
+
+@query
+def src_catalog_tables(i: Inputs) -> DataFrame:
+    """Tables found by listing a catalog, each with its rows."""
+    database = workspace.shared_path(i.spark, "listed").rsplit("/", 1)[1].replace("-", "_")
+    i.spark.sql(f"CREATE DATABASE {database}")
+    for name in ("customer", "nation"):
+        i.table(name).write.saveAsTable(f"{database}.{name}")
+    found = [name for _, name in readers.list_catalog_tables(i.spark, database)]
+    return tables.union_all(
+        *[i.spark.table(f"{database}.{n}").agg(F.count(F.lit(1)).alias("rows")).select(F.lit(n).alias("name"), "rows") for n in found]
+    )
+
+
+@query
+def union_same_columns(i: Inputs) -> DataFrame:
+    """Two feeds are united after a check of their columns."""
+    first, second = (i.pings_ms().select("event_id", "isp", F.lit(f).alias("feed")) for f in ("first", "second"))
+    tables.same_columns(first, second)
+    return tables.union_all(first, second)
+
+
+@query
+def probe_existence(i: Inputs) -> DataFrame:
+    """Which nations have any rich supplier: one row for each is enough."""
+    rich = i.table("supplier").filter("s_acctbal > 9000").select(F.col("s_nationkey").alias("n_nationkey")).distinct()
+    nations = i.table("nation").select(F.col("n_nationkey").cast("long").alias("n_nationkey"))
+    known = rich.select("n_nationkey", F.lit(True).alias("found"))
+    if known.isEmpty():
+        return nations.withColumn("found", F.lit(False))
+    return nations.join(F.broadcast(known), "n_nationkey", "left").select("n_nationkey", F.coalesce("found", F.lit(False)).alias("found"))
+
+
 @query
 def sink_partition_counts(i: Inputs) -> DataFrame:
     pings = i.pings()
@@ -302,6 +359,17 @@ def pivot_cell_category(i: Inputs) -> DataFrame:
     return fine.withColumnRenamed("gh6", "cell").unionByName(coarse.withColumnRenamed("gh5", "cell"))
 
 
+@query
+def cell_category_matrix(i: Inputs) -> DataFrame:
+    """Sparse rows of two resolutions over as many categories as there are orders."""
+    goods = Inputs._lattice(i.table("lineitem"), "(l_orderkey * 8 + l_linenumber)").withColumn("kind", F.expr("concat('k', l_orderkey)"))
+    cells_ = [cells.geohash(F.col("lat"), F.col("lon"), p) for p in (5, 4)]
+    dictionary = workspace.stored(features.category_dictionary(goods, "kind"), "dictionary")
+    matrix = features.category_matrix(goods, cells_, "kind", dictionary)
+    pairs = F.zip_with("indices", "counts", lambda a, b: F.concat(a.cast("string"), F.lit(":"), b.cast("string")))
+    return matrix.select("cell", F.array_join(pairs, " ").alias("counts"))
+
+
 @query
 def ping_cell_features(i: Inputs) -> DataFrame:
     text = i.pings().withColumns({"lat": F.col("lat").cast("string"), "lon": F.col("lon").cast("string")})
