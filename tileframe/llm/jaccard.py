@@ -10,13 +10,17 @@ meet. The number of segments, those with one-deletion neighbourhoods and the spa
 by expected cost from the sizes in the corpus (``allocate``). Empty segments say nothing; a class leaves them out of the
 index as long as they are no more than its band's spare ones, which by the same count cannot lose a link.
 
-A class is indexed in its own band and in the next ones where it can be the smaller side. Classes that share a key are
-candidates; they are verified exactly on the whole sets.
-
-Links are wanted for components, so a hot key never yields all its pairs. In rounds each class is compared with one
-pivot per key, components are formed, and a key whose classes are all in one component is done. What remains after
-the rounds (keys that still join several components) is compared pairwise across components only, and no
-pair that is in doubt is left out.
+A class is indexed in its own band and in the next ones where it can be the smaller side. The index is shuffled once, and the
+number of classes of each key is counted there. A key of more than ``HOT`` classes is hot: a class leaves its hot segments out
+(credit 0) as long as they are no more than the spare credits of its band that its empty segments do not use, so what is left
+still adds up to more than ``H``, and by the same principle it shares one of the *other* keys with every class it links with. Classes that
+are hot in more places than that, such as members of a group of near copies, keep them. Classes that share a key are candidates;
+they are verified exactly on the whole sets.
+
+Links are wanted for components, so a hot key never yields all its pairs. In rounds each class is compared with one class
+only, the pivot with which it shares most keys, components are formed, and a key whose classes are all in one component is
+done. What remains after the rounds (keys that still join several components) is compared pairwise across components
+only, for sizes that can link, and no pair that is in doubt is left out.
 
 Defined results: words are lower-cased in A-Z only; a text of fewer words than ``n`` is one n-gram; a null or empty
 text has the empty set and links with nothing; rows with the same id are one document; a null id has no component; other
@@ -40,7 +44,9 @@ from tileframe.llm.components import components
 
 N_WORDS, PERCENT = 4, 85
 #: Bands grow by this factor; pivot rounds before components are compared pairwise.
-GROWTH, ROUNDS = 1.18, 2
+GROWTH, ROUNDS = 1.18, 3
+#: Classes of a key beyond which it is left out where the credits allow.
+HOT = 24
 _SMALL = 2_000_000
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -82,6 +88,11 @@ class Band:
         """Index keys that two linked classes share in this band, at the least."""
         return 1 + self.spare - self.left_out
 
+    @property
+    def slack(self) -> int:
+        """Segments that a class may leave out besides its empty ones."""
+        return 0 if self.deletions else self.need - 1
+
 
 def most_apart(high: int, percent: int) -> int:
     """Hashes in which two linked classes of at most ``high`` can differ."""
@@ -180,7 +191,9 @@ def signature_keys(short: np.ndarray, lengths: np.ndarray, sizes: np.ndarray, ba
             yield number, owner[use][near], _mixed(total[cell[near]] - mine[near] + salt[cell[near]])
 
 
-def _index_batches(bands: list[Band], percent: int):
+def _index_batches(bands: list[Band], percent: int, bits: int):
+    """``key, id, facts`` of every index row; ``facts`` is the size of the class times 256 plus the number of the band."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 1000):
@@ -190,14 +203,21 @@ def _index_batches(bands: list[Band], percent: int):
                 short = lists.flatten().to_numpy(zero_copy_only=False)
                 lengths = lists.value_lengths().to_numpy(zero_copy_only=False)
                 for number, who, keys in signature_keys(short, lengths, sizes, bands, percent):
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(keys.view(np.int64)), pa.array(ids[who]), pa.array(np.full(len(who), bands[number].need))],
-                        names=["key", "id", "need"],
-                    )
+                    keys = (keys >> np.uint64(64 - bits)).astype(np.int64)
+                    facts = sizes[who].astype(np.int64) * 256 + number
+                    yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(ids[who]), pa.array(facts)], names=["key", "id", "facts"])
 
     return run
 
 
+def key_bits(bands: list[Band], counts: list[int]) -> int:
+    """Bits of a key, in whole bytes: 256 times as many values as there are index rows, so that chance brings few together.
+
+    Keys that fall together by chance cost a comparison and change nothing."""
+    rows = sum(n * (b.segments + b.deletions * b.high) * 3 for b, n in zip(bands, counts, strict=True))
+    return min(56, max(32, -(-(max(1, rows).bit_length() + 8) // 8) * 8))
+
+
 def _semi(rows: DataFrame, ids: DataFrame, on: str) -> DataFrame:
     """The rows whose key is listed; the list (stored, unique) is broadcast if it has at most two million lines."""
     return rows.join(F.broadcast(ids) if ids.count() <= _SMALL else ids, on, "left_semi")
@@ -218,35 +238,56 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def candidate_rows(classes: DataFrame, percent: int) -> DataFrame | None:
-    """``key, id, need, pivot`` of all index rows whose key several classes share; ``classes`` has ``id, n, short``, where
-    ``short`` are the hashes cut to 32 bits. Cutting can only bring sets closer, so no link is lost by it.
+    """``key, id, n, need`` of all index rows whose key several classes share, without hot segments that can be left out.
 
-    The index is shuffled once, two numbers a row; the pivot is the key's smallest class."""
+    ``classes`` has ``id, n, short``, where ``short`` are the hashes cut to 32 bits. Cutting can only bring sets closer, so no
+    link is lost by it. ``need`` is how many keys a class shares with each of its links, at the least."""
     sizes = classes.groupBy("n").count().collect()
     if not sizes:
         return None
     bands = plan_bands([(r["n"], r["count"]) for r in sizes], percent)
-    rows = classes.select("id", "n", "short").mapInArrow(_index_batches(bands, percent), "key long, id long, need long")
-    of_key = Window.partitionBy("key").orderBy("id")
-    first = F.first("id").over(of_key).alias("pivot")
-    # The first row of a key is needed too if another one follows.
-    found = rows.select("key", "id", "need", first, F.lead("id").over(of_key).alias("next"))
-    return stored(found.where("id <> pivot OR next IS NOT NULL").select("key", "id", "need", "pivot"), "candidates")
+    counts = [sum(r["count"] for r in sizes if b.low <= r["n"] <= b.high) for b in bands]
+    rows = classes.select("id", "n", "short").mapInArrow(
+        _index_batches(bands, percent, key_bits(bands, counts)), "key long, id long, facts long"
+    )
+    found = rows.withColumn("size", F.count(F.lit(1)).over(Window.partitionBy("key"))).where("size > 1")
+    found = stored(
+        found.select("key", "id", "facts", (F.col("size") > HOT).alias("hot")), "candidates"
+    )
+    band = (F.col("facts") % 256).cast("int")
+    slack = F.element_at(F.array(*[F.lit(b.slack) for b in bands]), band + 1)
+    need = F.element_at(F.array(*[F.lit(b.need) for b in bands]), band + 1)
+    # One row per class and band with hot segments.
+    hot = found.where("hot").groupBy("id", "facts").agg(F.count(F.lit(1)).alias("left_out"))
+    hot = stored(hot.where(F.col("left_out") <= slack), "left-out")
+    small = F.broadcast(hot) if hot.count() <= _SMALL else hot
+    kept = found.join(small, ["id", "facts"], "left").where("NOT hot OR left_out IS NULL")
+    kept = kept.select(
+        "key", "id", F.floor(F.col("facts") / 256).cast("int").alias("n"),
+        (need - F.coalesce("left_out", F.lit(0))).cast("int").alias("need"),
+    )
+    return stored(kept, "kept")
 
 
 def _still_open(rows: DataFrame, comp: DataFrame) -> DataFrame:
-    """``key, id, need, component`` of the keys that still hold classes of several components."""
+    """``key, id, n, need, component`` of the keys that still hold classes of several components."""
     small = F.broadcast(comp) if comp.count() <= _SMALL else comp
-    named = rows.select("key", "id", "need").join(small, "id", "left")
-    named = named.select("key", "id", "need", F.coalesce("component", "id").alias("component"))
+    named = rows.select("key", "id", "n", "need").join(small, "id", "left")
+    named = named.select("key", "id", "n", "need", F.coalesce("component", "id").alias("component"))
     several = named.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y")
     return stored(_semi(named, stored(several.select("key"), "keys"), "key"), "open")
 
 
-def _enough(pairs: DataFrame) -> DataFrame:
-    """Distinct pairs that share as many keys as a link needs in one of their bands (``need`` tells bands apart enough:
-    keys of bands with equal needs are counted together, which keeps a pair too many at worst)."""
-    return pairs.groupBy("a", "b", "need").count().where("count >= need").select("a", "b").distinct()
+def best_pivots(rows: DataFrame, turn: int) -> DataFrame:
+    """``a, b``: each class with the pivot with which it shares most keys, at most one pair for each class.
+
+    A key's pivot is one of its classes, another one in each turn."""
+    first = F.min("id") if not turn else F.min_by("id", F.xxhash64("id", F.lit(turn)))
+    met = rows.join(rows.groupBy("key").agg(first.alias("pivot")), "key").where("id <> pivot")
+    shared = met.groupBy("id", "pivot").agg(F.count(F.lit(1)).alias("c"), F.min("need").alias("need")).where("c >= need")
+    best = shared.groupBy("id").agg(F.max(F.struct("c", (-F.col("pivot")).alias("p")))["p"].alias("p"))
+    pivot = -F.col("p")
+    return best.select(F.least("id", pivot).alias("a"), F.greatest("id", pivot).alias("b")).distinct()
 
 
 def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -260,20 +301,15 @@ def link_components(candidates: DataFrame, sets: DataFrame, percent: int) -> Dat
     """``id, component`` of the classes with links. ``candidates`` from ``candidate_rows``, ``sets``: ``id, grams``."""
     rows, comp, links = candidates, None, None
     for turn in range(ROUNDS):
-        if turn:
-            pivot = F.min_by("id", F.xxhash64("id", F.lit(turn))).alias("pivot")
-            rows = rows.join(rows.groupBy("key").agg(pivot), "key")
-        pairs = rows.where("id <> pivot").select(F.least("id", "pivot").alias("a"), F.greatest("id", "pivot").alias("b"), "need")
-        found = _verify(_enough(pairs), sets, percent)
+        found = _verify(best_pivots(rows, turn), sets, percent)
         links = found if links is None else links.union(found)
         comp = stored(components(links), "components")
-        rows = _still_open(candidates if not turn else rows, comp)
-    left = rows.select("key", "need", F.col("id").alias("a"), F.col("component").alias("ca"))
-    right = rows.select("key", F.col("id").alias("b"), F.col("component").alias("cb"))
-    sizes = sets.select("id", F.size("grams").alias("n"))
-    pairs = _enough(left.join(right, "key").where("a < b AND ca <> cb").select("a", "b", "need"))
-    pairs = pairs.join(sizes.toDF("a", "na"), "a").join(sizes.toDF("b", "nb"), "b").where(_size_fits(percent))
-    pairs = stored(pairs.select("a", "b"), "pairs")
+        rows = _still_open(rows, comp)
+    left = rows.select("key", F.col("id").alias("a"), F.col("component").alias("ca"), F.col("n").alias("na"), "need")
+    right = rows.select("key", F.col("id").alias("b"), F.col("component").alias("cb"), F.col("n").alias("nb"), F.col("need").alias("need_b"))
+    met = left.join(right, (left["key"] == right["key"]) & F.expr("a < b AND ca <> cb") & _size_fits(percent))
+    shared = met.groupBy("a", "b").agg(F.count(F.lit(1)).alias("c"), F.least(F.min("need"), F.min("need_b")).alias("need"))
+    pairs = stored(shared.where("c >= need").select("a", "b"), "pairs")
     if pairs.isEmpty():
         return comp
     return stored(components(links.union(_verify(pairs, sets, percent))), "components")
@@ -331,6 +367,7 @@ def _whole_sets(
         known = known.union(texts.where("_head IS NULL"))
     grams = with_grams(known, "_head", "_text", n)
     right = wanted.select("id", F.col("head").alias("_h"), F.col("d1").alias("_1"), F.col("d2").alias("_2"))
+    right = F.broadcast(right) if wanted.count() <= _SMALL else right
     on = F.col("_id").eqNullSafe(F.col("_h")) & (F.col("d1") == F.col("_1")) & (F.col("d2") == F.col("_2"))
     joined = grams.withColumnRenamed("id", "_id").join(right, on).select("id", "grams")
     if repeated:
@@ -342,16 +379,27 @@ def _whole_sets(
 def distinct_documents(
     docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = N_WORDS, percent: int = PERCENT
 ) -> DataFrame:
-    """The rows of ``docs`` that stay: of each component the document with the smallest id, and of rows that repeat an
-    id the first. Documents without words or without an id link with nothing and stay."""
-    joined = stored(join_ngrams(docs, key, text, n, percent), "components")
-    gone = joined.where("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct()
-    gone = stored(gone, "gone")
-    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
-    rows = docs.select(whole, F.col(f"`{key}`").cast("long").alias("_gone"))
-    rows = rows.join(F.broadcast(gone) if gone.count() <= _SMALL else gone, "_gone", "left_anti")
-    twice = joined.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1")
-    if not twice.isEmpty():
-        first = F.row_number().over(Window.partitionBy("_gone").orderBy(F.monotonically_increasing_id()))
-        rows = rows.withColumn("_n", first).where("_n = 1 OR _gone IS NULL")
-    return rows.select("_row.*")
+    """The rows of ``docs`` that stay: of each component of rows the one with the smallest id.
+
+    Rows are judged by their own text, also where several rows have one id or none: of equal ids, and of rows without an id,
+    which come last, any one row of the component stays, and only one. Rows without words link with nothing and stay, as
+    does every row whose text no other row comes near."""
+    ids = docs.select(F.col(f"`{key}`").cast("long").alias("id")).groupBy("id").agg(F.count(F.lit(1)).alias("rows"))
+    if ids.where("rows > 1 OR id IS NULL").isEmpty():
+        joined = join_ngrams(docs, key, text, n, percent)
+        gone = stored(joined.where("doc_id <> component_id").select(F.col("doc_id").alias("_gone")), "gone")
+        whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
+        rows = docs.select(whole, F.col(f"`{key}`").cast("long").alias("_gone"))
+    else:
+        # Rows get a number of their own, written with them so that it stays.
+        whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
+        rows = stored(docs.select(whole, F.monotonically_increasing_id().alias("_gone")), "numbered")
+        texts = rows.select("_gone", F.col(f"_row.`{text}`").alias("text"), F.col(f"_row.`{key}`").cast("long").alias("id"))
+        joined = stored(join_ngrams(texts, "_gone", "text", n, percent), "components")
+        # Only components of several rows have anything to decide.
+        several = joined.where("doc_id <> component_id").select("component_id").distinct()
+        members = joined.join(several, "component_id").select(F.col("doc_id").alias("_gone"), "component_id")
+        members = stored(members.join(texts.select("_gone", "id"), "_gone"), "members")
+        stays = members.groupBy("component_id").agg(F.min(F.struct(F.col("id").isNull(), "id", "_gone"))["_gone"].alias("_stays"))
+        gone = stored(members.join(stays, "component_id").where("_gone <> _stays").select("_gone"), "gone")
+    return rows.join(F.broadcast(gone) if gone.count() <= _SMALL else gone, "_gone", "left_anti").select("_row.*")
