@@ -18,8 +18,8 @@ are hot in more places than that, such as members of a group of near copies, kee
 they are verified exactly on the whole sets.
 
 Links are wanted for components, so a hot key never yields all its pairs. In rounds each class is compared with one class
-only, the pivot with which it shares most keys, components are formed, and a key whose classes are all in one component is
-done. What remains after the rounds (keys that still join several components) is compared pairwise across components
+only, the pivot of another component with which it shares most keys, components are formed, and a key whose classes are all in
+one component is done. Rounds go on while the open keys hold more pairs than the index has rows and get fewer. What remains after the rounds (keys that still join several components) is compared pairwise across components
 only, for sizes that can link, and no pair that is in doubt is left out.
 
 Defined results: words are lower-cased in A-Z only; a text of fewer words than ``n`` is one n-gram; a null or empty
@@ -43,10 +43,10 @@ from tileframe.llm.common import stored, text_or_empty, words_of
 from tileframe.llm.components import components
 
 N_WORDS, PERCENT = 4, 85
-#: Bands grow by this factor; pivot rounds before components are compared pairwise.
-GROWTH, ROUNDS = 1.18, 3
+#: Bands grow by this factor; pivot rounds, at most, before components are compared pairwise.
+GROWTH, ROUNDS = 1.18, 10
 #: Classes of a key beyond which it is left out where the credits allow.
-HOT = 24
+HOT = 8
 _SMALL = 2_000_000
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -279,11 +279,12 @@ def _still_open(rows: DataFrame, comp: DataFrame) -> DataFrame:
 
 
 def best_pivots(rows: DataFrame, turn: int) -> DataFrame:
-    """``a, b``: each class with the pivot with which it shares most keys, at most one pair for each class.
+    """``a, b``: each class with the pivot of another component with which it shares most keys, at most one pair per class.
 
-    A key's pivot is one of its classes, another one in each turn."""
-    first = F.min("id") if not turn else F.min_by("id", F.xxhash64("id", F.lit(turn)))
-    met = rows.join(rows.groupBy("key").agg(first.alias("pivot")), "key").where("id <> pivot")
+    A key's pivot is one of its classes, another one in each turn; ``rows`` has ``key, id, need, component``."""
+    order = F.col("id") if not turn else F.xxhash64("id", F.lit(turn))
+    pivots = rows.groupBy("key").agg(F.min_by(F.struct("id", "component"), order).alias("p"))
+    met = rows.join(pivots.select("key", F.col("p.id").alias("pivot"), F.col("p.component").alias("other")), "key").where("component <> other")
     shared = met.groupBy("id", "pivot").agg(F.count(F.lit(1)).alias("c"), F.min("need").alias("need")).where("c >= need")
     best = shared.groupBy("id").agg(F.max(F.struct("c", (-F.col("pivot")).alias("p")))["p"].alias("p"))
     pivot = -F.col("p")
@@ -299,12 +300,17 @@ def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 def link_components(candidates: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """``id, component`` of the classes with links. ``candidates`` from ``candidate_rows``, ``sets``: ``id, grams``."""
-    rows, comp, links = candidates, None, None
+    rows, comp, links = candidates.withColumn("component", F.col("id")), None, None
+    enough, before = candidates.count(), None
     for turn in range(ROUNDS):
         found = _verify(best_pivots(rows, turn), sets, percent)
         links = found if links is None else links.union(found)
         comp = stored(components(links), "components")
         rows = _still_open(rows, comp)
+        pairs = rows.groupBy("key").count().agg(F.sum(F.expr("count * (count - 1) div 2"))).first()[0] or 0
+        if pairs <= enough or (before is not None and pairs > 0.95 * before):
+            break
+        before = pairs
     left = rows.select("key", F.col("id").alias("a"), F.col("component").alias("ca"), F.col("n").alias("na"), "need")
     right = rows.select("key", F.col("id").alias("b"), F.col("component").alias("cb"), F.col("n").alias("nb"), F.col("need").alias("need_b"))
     met = left.join(right, (left["key"] == right["key"]) & F.expr("a < b AND ca <> cb") & _size_fits(percent))
