@@ -298,14 +298,24 @@ def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return stored(verified(pairs, _semi(sets, stored(ids, "ids"), "id"), percent), "links")
 
 
+def _merged(comp: DataFrame | None, links: DataFrame) -> DataFrame:
+    """Components with more links, stored. Only the new links between known components are worked on again."""
+    if comp is None:
+        return stored(components(links), "components")
+    small = F.broadcast(comp) if comp.count() <= _SMALL else comp
+    for end in ("a", "b"):
+        links = links.join(small.toDF(end, "_c"), end, "left").withColumn(end, F.coalesce("_c", end)).drop("_c")
+    more = stored(components(links.select("a", "b")), "more")
+    grown = comp.join(more.toDF("component", "_c"), "component", "left").select("id", F.coalesce("_c", "component").alias("component"))
+    return stored(grown.union(more.join(comp.select("id"), "id", "left_anti")), "components")
+
+
 def link_components(candidates: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """``id, component`` of the classes with links. ``candidates`` from ``candidate_rows``, ``sets``: ``id, grams``."""
-    rows, comp, links = candidates.withColumn("component", F.col("id")), None, None
+    rows, comp = candidates.withColumn("component", F.col("id")), None
     enough, before = candidates.count(), None
     for turn in range(ROUNDS):
-        found = _verify(best_pivots(rows, turn), sets, percent)
-        links = found if links is None else links.union(found)
-        comp = stored(components(links), "components")
+        comp = _merged(comp, _verify(best_pivots(rows, turn), sets, percent))
         rows = _still_open(rows, comp)
         pairs = rows.groupBy("key").count().agg(F.sum(F.expr("count * (count - 1) div 2"))).first()[0] or 0
         if pairs <= enough or (before is not None and pairs > 0.95 * before):
@@ -318,7 +328,7 @@ def link_components(candidates: DataFrame, sets: DataFrame, percent: int) -> Dat
     pairs = stored(shared.where("c >= need").select("a", "b"), "pairs")
     if pairs.isEmpty():
         return comp
-    return stored(components(links.union(_verify(pairs, sets, percent))), "components")
+    return _merged(comp, _verify(pairs, sets, percent))
 
 
 def join_ngrams(
