@@ -19,7 +19,7 @@ they are verified exactly on the whole sets.
 
 Links are wanted for components, so a hot key never yields all its pairs. In rounds each class is compared with one class
 only, the pivot of another component with which it shares most keys, components are formed, and a key whose classes are all in
-one component is done. Rounds go on while the open keys hold more pairs than the index has rows and get fewer. What remains after the rounds (keys that still join several components) is compared pairwise across components
+one component is done. Rounds go on while the open keys hold more pairs than there are classes and get fewer. What remains after the rounds (keys that still join several components) is compared pairwise across components
 only, for sizes that can link, and no pair that is in doubt is left out.
 
 Defined results: words are lower-cased in A-Z only; a text of fewer words than ``n`` is one n-gram; a null or empty
@@ -313,7 +313,8 @@ def _merged(comp: DataFrame | None, links: DataFrame) -> DataFrame:
 def link_components(candidates: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """``id, component`` of the classes with links. ``candidates`` from ``candidate_rows``, ``sets``: ``id, grams``."""
     rows, comp = candidates.withColumn("component", F.col("id")), None
-    enough, before = candidates.count(), None
+    # As many pairs as classes may be compared one by one at the end.
+    enough, before = candidates.select("id").distinct().count(), None
     for turn in range(ROUNDS):
         comp = _merged(comp, _verify(best_pivots(rows, turn), sets, percent))
         rows = _still_open(rows, comp)
