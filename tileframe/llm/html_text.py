@@ -7,8 +7,11 @@ open block takes the label of its nearest decided neighbours: that of both sides
 the earlier one's if both are as near. An open block inside an article is content unless it stands directly between two blocks
 that are not; on a page without any block decided as content all open ones are content.
 
+A class name or id is a hint only: where nothing else is left of a page, what such names alone had put out is judged like the rest.
+
 Character references are decoded, white space inside a block becomes one space, and blocks are joined by one space. Broken
-markup is read as far as it goes: unclosed elements end with their container, an unclosed script or comment takes the rest.
+markup is read as far as it goes: unclosed elements end with their container, an unclosed script or comment takes the rest, a
+tag whose quotes never close ends at its first ``>``, and one without any ``>`` is text. Time is linear in the page's length.
 
 Defined results: a null or empty page gives an empty text; null keys, repeated rows and other columns are passed by;
 pages of any length are read whole; an empty table gives an empty table.
@@ -18,6 +21,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -53,9 +57,8 @@ _HINTS = re.compile(
     r"masthead|share|sharing|social|related|recommend\w*|toolbar|login|search|pagination|pager|widget)(?:$|[\s_-])",
     re.IGNORECASE,
 )
-_PIECE = re.compile(
-    r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s>/]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|[^<]+|<", re.DOTALL
-)
+_PIECE = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s<>/]*)|[^<]+|<", re.DOTALL)
+_STOP = re.compile(r"[>\"']")
 _NAMED = re.compile(r"""\b(class|id|role|style|aria-hidden)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.IGNORECASE)
 _HIDDEN = re.compile(r"(?:^|\s)hidden(?:$|[\s=/])", re.IGNORECASE)
 _BLANKS = re.compile(r"\S+")
@@ -64,6 +67,8 @@ _SENTENCE = re.compile(r"[.!?…。！？।؟۔]")
 MOST_LINKED, SHORT, LONG = 0.33, 70, 200
 FEW_STOPS, MANY_STOPS = 0.15, 0.30
 GOOD, BAD, OPEN = "good", "bad", "open"
+#: The place of blocks that only a class name or id puts out.
+HINTED = "hinted"
 
 
 @dataclass
@@ -73,24 +78,60 @@ class Block:
     place: str | None
 
 
-def _out_of_content(tag: str, attributes: str, in_article: bool) -> bool:
+class _TagEnds:
+    """Where tags end: at the first ``>`` outside quotes. Each quote is followed once, however many tags run into it."""
+
+    def __init__(self, page: str):
+        self.page, self.last = page, page.rfind(">")
+        self.seen, self.stop = 0, -1  # no stop lies from ``seen`` up to ``stop``
+        self.dead: set[int] = set()  # quotes that open and lead to no end
+
+    def _next_stop(self, at: int) -> int:
+        if not self.seen <= at <= self.stop:
+            found = _STOP.search(self.page, at)
+            self.seen, self.stop = at, found.start() if found else len(self.page)
+        return self.stop
+
+    def end(self, at: int) -> int:
+        """Place of the closing ``>`` of a tag whose name ends at ``at``, or -1."""
+        if at > self.last:
+            return -1
+        page, path = self.page, []
+        stop = self._next_stop(at)
+        while stop < len(page) and page[stop] != ">":
+            if stop in self.dead:
+                stop = len(page)
+                break
+            path.append(stop)
+            close = page.find(page[stop], stop + 1)
+            found = _STOP.search(page, close + 1) if close >= 0 else None
+            stop = found.start() if found else len(page)
+        if stop < len(page):
+            return stop
+        self.dead.update(path)
+        return page.find(">", at)
+
+
+def _out_of_content(tag: str, attributes: str, in_article: bool) -> str | None:
+    """``BAD`` for elements that are out by their kind, ``HINTED`` for those out by a class name or id alone."""
     if tag in DROPPED or (tag == "header" and not in_article):
-        return True
+        return BAD
     if not attributes:
-        return False
+        return None
     if _HIDDEN.search(re.sub(r"\"[^\"]*\"|'[^']*'", "", attributes)):
-        return True
+        return BAD
+    hinted = None
     for name, *values in _NAMED.findall(attributes):
         value, name = "".join(values), name.lower()
         if name in ("class", "id") and tag not in ("body", "html", "article", "main") and _HINTS.search(value):
-            return True
+            hinted = HINTED
         if name == "role" and value.lower() in ("navigation", "banner", "contentinfo", "complementary", "search", "form"):
-            return True
+            return BAD
         if name == "aria-hidden" and value.lower() == "true":
-            return True
+            return BAD
         if name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.IGNORECASE):
-            return True
-    return False
+            return BAD
+    return hinted
 
 
 def blocks_of(page: str) -> list[Block]:
@@ -98,76 +139,87 @@ def blocks_of(page: str) -> list[Block]:
     out: list[Block] = []
     parts: list[str] = []
     linked_parts: list[str] = []
-    stack: list[tuple[str, bool, bool]] = []  # element, drops its text, is an article
-    dropped = articles = links = 0
+    stack: list[tuple[str, str | None, bool]] = []  # element, how it drops its text, is an article
+    depth: Counter[str] = Counter()  # open elements by name, by way of dropping, and articles
+    links = 0
 
     def close() -> None:
         nonlocal parts, linked_parts
         words = _BLANKS.findall("".join(parts))
         if words:
             linked = sum(map(len, _BLANKS.findall(" ".join(linked_parts))))
-            place = BAD if dropped else GOOD if articles else None
+            place = BAD if depth[BAD] else HINTED if depth[HINTED] else GOOD if depth["/article"] else None
             out.append(Block(" ".join(words), linked, place))
         parts, linked_parts = [], []
 
+    def enter(tag: str, drops: str | None, article: bool) -> None:
+        stack.append((tag, drops, article))
+        depth.update((f"<{tag}", drops or "", "/article" if article else ""))
+
+    def leave() -> str:
+        tag, drops, article = stack.pop()
+        depth.subtract((f"<{tag}", drops or "", "/article" if article else ""))
+        return tag
+
+    ends = _TagEnds(page)
     at, end = 0, len(page)
     while at < end:
         found = _PIECE.match(page, at)
+        tag, closing, piece = found[2], found[1], found[0]
+        attributes = ""
         at = found.end()
-        tag = found[2]
+        if tag is not None:
+            stop = ends.end(at)
+            if stop < 0:
+                tag = None  # no tag at all
+            else:
+                attributes, at = page[at:stop], stop + 1
+        elif piece[0] == "<" and piece != "<":
+            continue
         if tag is None:
-            text = found[0]
-            if text[0] != "<" or text == "<":
-                text = html.unescape(text)
-                parts.append(text)
-                if links:
-                    linked_parts.append(text)
+            text = html.unescape(piece)
+            parts.append(text)
+            if links:
+                linked_parts.append(text)
             continue
         tag = tag.lower()
         if tag == "a":
-            links = 0 if found[1] else 1
+            links = 0 if closing else 1
             continue
         if tag == "br":
             parts.append(" ")
             continue
         if tag not in _BLOCKS and tag not in DROPPED:
-            if not found[1] and tag not in _VOID and _out_of_content(tag, found[3], bool(articles)):
+            drops = None if closing or tag in _VOID else _out_of_content(tag, attributes, depth["/article"] > 0)
+            if drops:
                 close()
-                stack.append((tag, True, False))
-                dropped += 1
-            elif found[1] and stack and stack[-1][0] == tag:
+                enter(tag, drops, False)
+            elif closing and stack and stack[-1][0] == tag:
                 close()
-                stack.pop()
-                dropped -= 1
+                leave()
             continue
         close()
-        if found[1]:
+        if closing:
             links = 0
-            if any(s[0] == tag for s in stack):
-                while True:
-                    name, drops, article = stack.pop()
-                    dropped -= drops
-                    articles -= article
-                    if name == tag:
-                        break
+            if depth[f"<{tag}"]:
+                while leave() != tag:
+                    pass
             continue
         if tag in _RAW:
             # Nothing inside is markup up to the closing tag.
             done = re.compile(rf"</{tag}\s*>", re.IGNORECASE).search(page, at)
             at = done.end() if done else end
             continue
-        if tag in _VOID or found[3].endswith("/"):
+        if tag in _VOID or attributes.endswith("/"):
             continue
         if tag == "body":
             # An unclosed head ends here.
-            stack, dropped, articles = [], 0, 0
-        drops = _out_of_content(tag, found[3], bool(articles))
-        article = tag in ("article", "main") and not dropped
+            stack.clear()
+            depth.clear()
+        drops = _out_of_content(tag, attributes, depth["/article"] > 0)
         if tag in ("p", "li", "td", "th", "tr", "dt", "dd", "option") and not drops:
             continue
-        stack.append((tag, drops, article))
-        dropped += drops
-        articles += article
+        enter(tag, drops, tag in ("article", "main") and not depth[BAD] and not depth[HINTED])
     close()
     return out
 
@@ -212,7 +264,11 @@ def second_pass(labels: list[str], places: list[str | None] | None = None) -> li
 
 
 def main_text(page: str) -> str:
-    blocks = [b for b in blocks_of(page) if b.place != BAD]
+    kept = [b for b in blocks_of(page) if b.place != BAD]
+    return _judged([b for b in kept if b.place != HINTED]) or _judged([Block(b.text, b.linked, None) for b in kept])
+
+
+def _judged(blocks: list[Block]) -> str:
     labels = second_pass([first_pass(b) for b in blocks], [b.place for b in blocks])
     return " ".join(b.text for b, label in zip(blocks, labels, strict=True) if label == GOOD)
 

@@ -7,10 +7,10 @@ distance between each domain's expected tokens and its target. The gradient of a
 probabilities and one number per domain, so an iteration is one aggregate over a narrow table, and only a
 handful of sums reach the driver. Rates start at one, and stay near one where the targets allow it.
 
-Where ``ITERATIONS`` steps do not bring every domain within ``TOLERANCE`` of the budget, the rates nearest to one that meet
-the targets are found exactly: they are ``max(0, 1 - p . v)`` for one number ``v`` per domain, by Newton's method with line
-search on the convex dual problem. It goes on until the tolerance is met. Targets that no rates can meet get the rates that
-come nearest to them, and a warning that names the shares reached.
+Distances are measured after the tokens' second moments over the domains, summed once, have been divided out. In this measure
+a step of length one is as long as a descent allows, however rare or alike the domains are. Steps carry momentum, dropped when the
+distance grows. The descent goes on until every domain is within ``TOLERANCE`` of the budget. Where no rates can meet the targets
+it comes to rest at those nearest to them (a step then moves less than ``REST`` of the budget), and a warning names the shares.
 
 ``LABELLED`` bounds the labelled documents from which the classifier is fitted (chosen by a hash of the id);
 everything else covers all documents. Tokens are words between ASCII white space.
@@ -36,15 +36,14 @@ from tileframe.llm.common import settled, stored, text_or_empty, words_of
 LABELLED = 20_000
 BUCKETS = 2048
 TARGETS = {"good": 0.90, "low": 0.08, "toxic": 0.02}
-ITERATIONS, TOLERANCE = 40, 1e-3
-#: A share of the budget: keeps the dual problem bounded where the targets cannot be met, far below the tolerance elsewhere.
-_PULL = 1e-8
+TOLERANCE, REST = 1e-3, 1e-7
 _SEED = 17
 
 
 @dataclass
 class Model:
-    """Classifier and rates: log priors, log odds of words by domain, and the steps of the descent."""
+    """Classifier and rates: log priors, log odds of words by domain, and the steps of the descent: a number per domain
+    and the momentum that follows."""
 
     domains: list[str]
     prior: list[float]
@@ -120,78 +119,70 @@ def with_membership(rows: DataFrame, text: str, model: Model) -> DataFrame:
     return out.drop("_buckets", "_odds", "_e", "_whole", *[f"_s{i}" for i in range(len(sums))])
 
 
+def _descended(model: Model) -> Column:
+    """The state of a row with ``p`` after all steps, each cut off at zero: ``rate`` (with momentum), ``plain`` (without), and
+    ``moved``, the length of the last step."""
+    k = len(model.domains)
+
+    def step(state: Column, move: Column) -> Column:
+        slope = F.get(F.col("p"), F.lit(0)) * F.get(move, F.lit(0))
+        for i in range(1, k):
+            slope = slope + F.get(F.col("p"), F.lit(i)) * F.get(move, F.lit(i))
+        plain = F.greatest(F.lit(0.0), state["rate"] - slope)
+        carried = F.greatest(F.lit(0.0), plain + F.get(move, F.lit(k)) * (plain - state["plain"]))
+        return F.struct(carried.alias("rate"), plain.alias("plain"), F.abs(plain - state["rate"]).alias("moved"))
+
+    start = F.struct(F.lit(1.0).alias("rate"), F.lit(1.0).alias("plain"), F.lit(0.0).alias("moved"))
+    return F.aggregate(_numbers(model.steps), start, step) if model.steps else start
+
+
 def rate_of(model: Model) -> Column:
-    """The rate of a row with ``p``: all steps of the descent, each cut off at zero."""
-    if not model.steps:
-        return F.lit(1.0)
+    """The rate of a row with ``p``."""
+    return _descended(model)["rate"]
 
-    def step(rate: Column, move: Column) -> Column:
-        dots = [F.get(F.col("p"), F.lit(i)) * F.get(move, F.lit(i)) for i in range(len(model.domains))]
-        total = dots[0]
-        for d in dots[1:]:
-            total = total + d
-        return F.greatest(F.lit(0.0), rate - total)
 
-    return F.aggregate(_numbers(model.steps), F.lit(1.0), step)
+def _sums(rows: DataFrame, sums: list[Column]) -> np.ndarray:
+    """Sums over all rows: one pass, a handful of numbers."""
+    shown = [F.coalesce(F.sum(x), F.lit(0.0)).alias(f"_{i}") for i, x in enumerate(sums)]
+    return np.array(rows.agg(*shown).first(), dtype=float)
 
 
 def fit_rates(soft: DataFrame, model: Model, targets: dict[str, float], budget: float | None = None) -> Model:
     """Append the steps of the descent. ``soft`` (stored) has ``n_words, p``. ``budget``: tokens wanted in all; by default
     so many that the first of ``targets`` that is present is used whole."""
     shares = {d: targets.get(d, 0.0) for d in model.domains}
-    if not sum(shares.values()):
-        return model
-    k = range(len(model.domains))
-    mass = [F.coalesce(F.sum(F.col("n_words") * F.get("p", F.lit(i))), F.lit(0.0)) for i in k]
-    have = list(soft.agg(*[m.alias(f"m{i}") for i, m in enumerate(mass)]).first())
     whole = sum(shares.values())
+    if not whole:
+        return model
+    k = len(model.domains)
+    p = [F.get("p", F.lit(i)) for i in range(k)]
+    words = F.col("n_words").cast("double")
+    found = _sums(soft, [words * x for x in p] + [words * x * y for x in p for y in p])
+    have, moments = found[:k], found[k:].reshape(k, k)
     if budget is None:
         lead = next(d for d in targets if shares.get(d))
         budget = have[model.domains.index(lead)] / (shares[lead] / whole)
-    wanted = [budget * shares[d] / whole for d in model.domains]
-    for _ in range(ITERATIONS):
-        rated = soft.withColumn("_w", F.col("n_words") * rate_of(model))
-        got = list(rated.agg(*[F.coalesce(F.sum(F.col("_w") * F.get("p", F.lit(i))), F.lit(0.0)) for i in k]).first())
-        miss = [g - w for g, w in zip(got, wanted, strict=True)]
-        if max(map(abs, miss)) <= TOLERANCE * max(budget, 1.0):
-            return model
-        model.steps.append([m / h if h > 0 else 0.0 for m, h in zip(miss, have, strict=True)])
-    return nearest_rates(soft, model, np.array(wanted), max(budget, 1.0))
-
-
-def nearest_rates(soft: DataFrame, model: Model, wanted: np.ndarray, budget: float) -> Model:
-    """The rates ``max(0, 1 - p . v)`` that meet the targets, as a model with the one step ``v``."""
-    k = range(len(wanted))
-
-    def look(v: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
-        """Value of the dual function, tokens of each domain, and the tokens that move with ``v``; one pass."""
-        step = Model(model.domains, model.prior, model.odds, [v.tolist()])
-        rows = soft.select(F.col("n_words").alias("_n"), "p", rate_of(step).alias("_r"))
-        p = [F.get("p", F.lit(i)) for i in k]
-        live = F.when(F.col("_r") > 0, F.col("_n")).otherwise(0)
-        sums = [F.col("_n") * F.col("_r") * F.col("_r")] + [F.col("_n") * F.col("_r") * x for x in p] + [live * x * y for x in p for y in p]
-        found = np.array(rows.agg(*[F.coalesce(F.sum(x), F.lit(0.0)).alias(f"_{i}") for i, x in enumerate(sums)]).first(), dtype=float)
-        value = 0.5 * found[0] + v @ wanted + 0.5 * _PULL * budget * (v @ v)
-        return value, found[1 : 1 + len(wanted)], found[1 + len(wanted) :].reshape(len(wanted), len(wanted))
-
-    v = np.zeros(len(wanted))
-    value, got, moving = look(v)
-    while np.abs(got - wanted).max() > TOLERANCE * budget:
-        slope = wanted - got + _PULL * budget * v
-        move = -np.linalg.solve(moving + _PULL * budget * np.eye(len(wanted)), slope)
-        if np.abs(slope).max() <= 0.01 * TOLERANCE * budget or -(slope @ move) <= 1e-12 * abs(value):
-            shares = ", ".join(f"{d} {g / budget:.4f} (wanted {w / budget:.4f})" for d, g, w in zip(model.domains, got, wanted, strict=True))
-            warnings.warn(f"no rates meet the targets; tokens as shares of the budget: {shares}", stacklevel=2)
+    wanted = budget * np.array([shares[d] / whole for d in model.domains])
+    scale, size = np.linalg.pinv(moments, rcond=1e-10, hermitian=True), max(budget, 1.0)
+    got, moved, before, weight = have, np.inf, np.inf, 1.0
+    while np.abs(got - wanted).max() > TOLERANCE * size:
+        if moved <= REST * size:
+            shown = ", ".join(f"{d} {g / size:.4f} (wanted {w / size:.4f})" for d, g, w in zip(model.domains, got, wanted, strict=True))
+            warnings.warn(f"no rates meet the targets; tokens as shares of the budget: {shown}", stacklevel=2)
             break
-        part = 1.0
-        while True:
-            there = look(v + part * move)
-            # The slack is for sums that differ with the order of their rows.
-            if there[0] <= value + 1e-4 * part * (slope @ move) + 1e-12 * abs(value):
-                break
-            part /= 2
-        v, (value, got, moving) = v + part * move, there
-    return Model(model.domains, model.prior, model.odds, [v.tolist()])
+        miss = got - wanted
+        move = scale @ miss
+        distance = miss @ move
+        weight, last = (1.0 + math.sqrt(1.0 + 4.0 * weight * weight)) / 2, weight
+        momentum = (last - 1.0) / weight
+        if distance > before:
+            weight, momentum = 1.0, 0.0
+        before = distance
+        model.steps.append([*move.tolist(), momentum])
+        state = soft.select(words.alias("_n"), "p", _descended(model).alias("_s"))
+        found = _sums(state, [F.col("_n") * F.col("_s.rate") * x for x in p] + [F.col("_n") * F.col("_s.moved")])
+        got, moved = found[:k], found[k]
+    return model
 
 
 def _copies(key: Column) -> Column:
