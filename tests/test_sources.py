@@ -1,5 +1,6 @@
 import pytest
 from pyspark.errors import AnalysisException
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from tileframe.operators import profile
@@ -31,6 +32,34 @@ def test_partitioned_write_replaces_only_its_days(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(event_date" in pruned
 
 
+def test_audited_write_counts_what_it_writes(spark, tmp_path):
+    path = str(tmp_path / "audited")
+    rows = spark.range(1000).selectExpr("id", "IF(id % 3 = 0, 'd1', IF(id % 100 = 1, NULL, 'd2')) AS day", "id * 2 AS rows")
+    named = rows.where("day IS NOT NULL")
+    got = writers.write_audited(named, path, "day", ["d1", "d2", "d3"], "first")
+    assert {tuple(r) for r in got.collect()} == {tuple(r) for r in writers.partition_counts(spark.read.parquet(path), ["day"]).collect()}
+    assert sum(r["rows"] for r in got.collect()) == named.count()
+    # The same run again writes nothing, whatever comes in.
+    again = writers.write_audited(named.limit(3), path, "day", ["d1"], "first")
+    assert sorted(again.collect()) == sorted(got.collect()) and spark.read.parquet(path).count() == named.count()
+    # Another run replaces its own days only; keys that nobody named are counted all the same.
+    other = writers.write_audited(named.where("day = 'd1'").limit(5), path, "day", ["d1"], "second")
+    assert [tuple(r) for r in other.collect()] == [("d1", 5)]
+    unnamed = writers.write_audited(rows, str(tmp_path / "other"), "day", ["d1"], "first")
+    assert {tuple(r) for r in unnamed.collect()} == {tuple(r) for r in writers.partition_counts(rows, ["day"]).collect()}
+    assert writers.write_audited(named.where("false"), str(tmp_path / "none"), "day", ["d1"], "first").count() == 0
+    with pytest.raises(ValueError, match="at most"):
+        writers.write_audited(named, path, "day", [str(i) for i in range(1001)], "third")
+
+
+def test_audit_counts_behind_the_shuffle(spark, tmp_path):
+    """Tasks before a shuffle can run twice; the tasks that write are counted once."""
+    seen = Observation()
+    df = spark.range(100).selectExpr("id", "id % 3 AS day").hint("rebalance", "day").observe(seen, F.count(F.lit(1)).alias("n"))
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("CollectMetrics") < plan.index("Exchange")
+
+
 def test_csv(spark, tmp_path):
     path = str(tmp_path / "csv")
     df = spark.createDataFrame([("a", "1,000", "2.345"), ("b", "7", None)], "Province string, `Population 2021` string, ratio string")

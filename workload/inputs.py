@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tileframe.functions.binary_geometry import wkb_from_rings
 from tileframe.functions.cells import key_x, tile_centroid, tile_key
 from tileframe.functions.geometry import RINGS_TYPE
 from tileframe.sources.workspace import stored
@@ -93,6 +94,11 @@ class Inputs:
             """concat('POLYGON ((', array_join(transform(rings[0], p -> concat(p.x, ' ', p.y)), ', '), '))') AS wkt""",
         )
 
+    def area_wkb(self) -> DataFrame:
+        """The same areas as well-known binary, the form of native geometry columns, in both byte orders."""
+        shape = F.when(F.substring("adm3", -1, 1).isin("0", "2"), wkb_from_rings("rings")).otherwise(wkb_from_rings("rings", little=False))
+        return self.areas().select("adm3", shape.alias("shape"))
+
     @staticmethod
     def with_nation(df: DataFrame, nations: DataFrame, lon: str = "lon", lat: str = "lat") -> DataFrame:
         """Add adm1, adm2, adm3 of a position by grid arithmetic."""

@@ -329,6 +329,7 @@ ORACLE: dict[str, str] = {
     + f"""SELECT cell, i, count(*) AS n FROM (
             SELECT {geohash('lat', 'lon', 5)} AS cell, k FROM goods UNION ALL SELECT {geohash('lat', 'lon', 4)}, k FROM goods)
         JOIN (SELECT k, row_number() OVER (ORDER BY k) - 1 AS i FROM (SELECT DISTINCT k FROM goods)) USING (k) GROUP BY 1, 2) GROUP BY 1""",
+    "sink_audited": "SELECT strftime(local_ts, '%Y-%m-%d') AS event_date, count(*) AS rows FROM pings GROUP BY 1",
     "sink_overwrite": "SELECT event_id, isp FROM pings",
     "sink_refuses_existing": "SELECT event_id, isp, 'refused' AS second FROM pings",
     "src_catalog_tables": "SELECT 'customer' AS name, count(*) AS rows FROM customer UNION ALL SELECT 'nation', count(*) FROM nation",
@@ -338,6 +339,8 @@ ORACLE: dict[str, str] = {
         {tile('lat', 'lon', 16)} AS tile FROM pings""",
     "load_polygons": """SELECT adm3, 3::BIGINT AS edges, 0.01::DOUBLE AS area, round(avg(x), 9) AS x, round(avg(y), 9) AS y
         FROM area_points WHERE i < 3 GROUP BY 1""",
+    "load_polygons_binary": """SELECT adm3, 3::BIGINT AS edges, 0.01::DOUBLE AS area, round(avg(x), 9) AS x, round(avg(y), 9) AS y
+        FROM area_points WHERE i < 3 GROUP BY 1""",
     "spatial_contains": "SELECT event_id, adm3 FROM area_hits WHERE strict",
     "spatial_within": "SELECT event_id, building_id FROM foot_hits WHERE strict",
     "spatial_intersects_point": f"""SELECT event_id, adm3 FROM (SELECT event_id, adm3, ({_CLOSED}) AS hit FROM (

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import timedelta
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tileframe.functions import cells, geometry, keys
+from tileframe.functions.binary_geometry import rings_from_wkb
 from tileframe.operators import assign, band, features, households, ordered, profile, qc, rank, sampling, spatial_join, tables
 from tileframe.plans import households as household_jobs
 from tileframe.plans import pings as ping_jobs
@@ -144,6 +146,17 @@ def sink_partition_counts(i: Inputs) -> DataFrame:
     return rounded(writers.partition_counts(dated, ["event_date"]))
 
 
+@query
+def sink_audited(i: Inputs) -> DataFrame:
+    """Rows per day, counted while the days are written."""
+    path = workspace.shared_path(i.spark, "audited")
+    pings = i.pings()
+    dated = pings.select("event_id", "lon", "lat", keys.event_day(pings, "ts", ZONE).alias("event_date"))
+    first, last = dated.agg(F.min("event_date"), F.max("event_date")).first()
+    days = [first + timedelta(n) for n in range((last - first).days + 1)]
+    return rounded(writers.write_audited(dated, path, "event_date", days, "all"))
+
+
 # --- filters, names, time
 
 
@@ -391,6 +404,19 @@ def load_polygons(i: Inputs) -> DataFrame:
     )
 
 
+@query
+def load_polygons_binary(i: Inputs) -> DataFrame:
+    """The polygons of a native geometry column."""
+    loaded = i.area_wkb().select("adm3", rings_from_wkb("shape").alias("rings"))
+    middle = geometry.polygon_centroid(F.col("rings"))
+    return rounded(
+        loaded.select(
+            "adm3", F.size(geometry.ring_edges("rings")).cast("long").alias("edges"),
+            geometry.polygon_area(F.col("rings")).alias("area"), middle["x"].alias("x"), middle["y"].alias("y"),
+        ), 9,
+    )
+
+
 @query
 def spatial_contains(i: Inputs) -> DataFrame:
     return spatial_join.join_points(i.pings(), i.areas(), ["adm3"], predicate="contains").select("event_id", "adm3")
