@@ -97,3 +97,38 @@ def test_clean_rows_of_one_id_stay(spark):
     assert sorted((str(r.doc_id), str(r.text)) for r in kept.collect()) == sorted(
         (str(i), str(t)) for i, t in [rows[0], rows[1], rows[2], rows[4], rows[5], rows[7], rows[8]]
     )
+
+
+def test_sketches_differ_in_no_more_cells_than_sets(spark):
+    """Bound for every pair, equality for sets of few hashes, and an empty set."""
+    rng = random.Random(12)
+    sets = [[], [1], [-5, 2**62], *([rng.getrandbits(63) - 2**62 for _ in range(rng.choice([3, 40, 400]))] for _ in range(25))]
+    sets += [s[3:] + [rng.getrandbits(60)] for s in sets]
+    table = spark.createDataFrame([(i, sorted(s)) for i, s in enumerate(sets)], "id long, grams array<long>").repartition(3)
+    found = {r.id: r.sketch for r in jaccard.with_sketches(table).collect()}
+    assert len(found) == len(sets)
+    for i, x in enumerate(sets):
+        for j, y in enumerate(sets):
+            cells = sum(((a ^ b) & (2**64 - 1)).bit_count() for a, b in zip(found[i], found[j], strict=True))
+            apart = len(set(x) ^ set(y))
+            assert cells <= apart and (apart > 3 or cells in (apart, apart - 2))
+
+
+def test_rounds_by_sketches(spark, monkeypatch):
+    """Near copies of one text on both sides of the threshold: later rounds choose by sketches and compare few pairs."""
+    rng = random.Random(21)
+    base, texts = [f"b{i}" for i in range(120)], []
+    for _ in range(220):
+        text = list(base)
+        for _ in range(rng.choice([2, 3, 4, 5])):
+            text[rng.randrange(len(text))] = f"x{rng.randrange(10**6)}"
+        texts.append(" ".join(text))
+    compared, turns = [], []
+    verified, nearest = jaccard.verified, jaccard.nearest_pivots
+    monkeypatch.setattr(jaccard, "verified", lambda pairs, *rest: compared.append(pairs.count()) or verified(pairs, *rest))
+    monkeypatch.setattr(jaccard, "nearest_pivots", lambda rows, sketches, turn, percent: turns.append(turn) or nearest(rows, sketches, turn, percent))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    got = {r.doc_id: r.component_id for r in jaccard.join_ngrams(docs).collect()}
+    expected = plain(texts, 4, 85)
+    assert got == dict(enumerate(expected)) and len(set(expected)) > 20
+    assert turns and sum(compared) < len(texts) * (len(texts) - 1) / 20

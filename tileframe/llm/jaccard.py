@@ -18,9 +18,12 @@ are hot in more places than that, such as members of a group of near copies, kee
 they are verified exactly on the whole sets.
 
 Links are wanted for components, so a hot key never yields all its pairs. In rounds each class is compared with one class
-only, the pivot of another component with which it shares most keys, components are formed, and a key whose classes are all in
-one component is done. Rounds go on while the open keys hold more pairs than there are classes and get fewer. What remains after the rounds (keys that still join several components) is compared pairwise across components
-only, for sizes that can link, and no pair that is in doubt is left out.
+only, a pivot of another component, components are formed, and a key whose classes are all in one component is done. The first
+round takes the pivot with which a class shares most keys. Later ones, which only open keys reach, take the pivot with the nearest
+sketch: the parities of a set's hashes by ``BITS`` cells. Two sketches differ in no more cells than the sets do in hashes, so pairs
+whose sketches differ in more than a link allows need no comparison, and no link is lost by that. Rounds go on while the open keys
+hold more pairs than there are classes and get fewer. What remains after the rounds (keys that still join several components) is
+compared pairwise across components only, for sizes and sketches that can link, and no pair that is in doubt is left out.
 
 Defined results: words are lower-cased in A-Z only; a text of fewer words than ``n`` is one n-gram; a null or empty
 text has the empty set and links with nothing; rows with the same id are one document; a null id has no component; other
@@ -33,10 +36,12 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
+from operator import add
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tileframe.llm.common import stored, text_or_empty, words_of
@@ -47,6 +52,8 @@ N_WORDS, PERCENT = 4, 85
 GROWTH, ROUNDS = 1.18, 10
 #: Classes of a key beyond which it is left out where the credits allow.
 HOT = 8
+#: Cells of a sketch, a multiple of 64.
+BITS = 512
 _SMALL = 2_000_000
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -223,10 +230,42 @@ def _semi(rows: DataFrame, ids: DataFrame, on: str) -> DataFrame:
     return rows.join(F.broadcast(ids) if ids.count() <= _SMALL else ids, on, "left_semi")
 
 
-def _size_fits(percent: int):
+def _size_fits(percent: int) -> Column:
     return 100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")
 
 
+def _sketch_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``id`` and the words of its sketch for each row ``id, grams``."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, 1000):
+            part = batch.slice(at, 1000)
+            lists = part.column(1)
+            grams = _mixed(lists.flatten().to_numpy(zero_copy_only=False).astype(np.uint64))
+            owner = np.repeat(np.arange(part.num_rows), lists.value_lengths().to_numpy(zero_copy_only=False))
+            cell = owner * BITS + (grams >> np.uint64(32)).astype(np.int64) % BITS
+            odd = np.bincount(cell, minlength=part.num_rows * BITS) & 1
+            words = np.packbits(odd.astype(np.uint8).reshape(-1, BITS), axis=1).view(np.int64)
+            columns = [part.column(0)] + [pa.array(np.ascontiguousarray(w)) for w in words.T]
+            yield pa.RecordBatch.from_arrays(columns, names=["id"] + [f"w{i}" for i in range(len(columns) - 1)])
+
+
+def with_sketches(sets: DataFrame) -> DataFrame:
+    """``id, sketch`` of the sets ``id, grams``."""
+    names = [f"w{i}" for i in range(BITS // 64)]
+    words = sets.select("id", "grams").mapInArrow(_sketch_batches, "id long, " + ", ".join(f"{w} long" for w in names))
+    return words.select("id", F.struct(*names).alias("sketch"))
+
+
+def _cells_apart(x: str, y: str) -> Column:
+    """In how many cells two sketches differ: at most as many as their sets differ in hashes."""
+    return reduce(add, [F.bit_count(F.col(f"{x}.w{i}").bitwiseXOR(F.col(f"{y}.w{i}"))) for i in range(BITS // 64)])
+
+
+def _sketch_fits(percent: int) -> Column:
+    """Whether sets of the sizes ``na, nb`` that differ in ``apart`` hashes or more can reach the similarity."""
+    return (100 + percent) * F.col("apart") <= (100 - percent) * (F.col("na") + F.col("nb"))
+
+
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs ``a, b`` of ids whose sets (``id, grams``) reach the similarity, on the whole sets."""
     left = sets.select(F.col("id").alias("a"), F.col("grams").alias("ga"))
@@ -291,6 +330,24 @@ def best_pivots(rows: DataFrame, turn: int) -> DataFrame:
     return best.select(F.least("id", pivot).alias("a"), F.greatest("id", pivot).alias("b")).distinct()
 
 
+def nearest_pivots(rows: DataFrame, sketches: DataFrame, turn: int, percent: int) -> DataFrame:
+    """``a, b`` as from ``best_pivots``: each class with the pivot whose sketch is nearest, where it allows a link."""
+    pivots = rows.groupBy("key").agg(F.min_by(F.struct("id", "n", "component"), F.xxhash64("id", F.lit(turn))).alias("p"))
+    pivots = pivots.select("key", F.col("p.id").alias("pivot"), F.col("p.n").alias("nb"), F.col("p.component").alias("other"))
+    pivots = _sketched(pivots, sketches, "pivot", "t")
+    mine = _sketched(rows.select("key", "id", F.col("n").alias("na"), "component"), sketches, "id", "s")
+    met = mine.join(pivots, "key").where("component <> other").where(_size_fits(percent))
+    met = met.select("id", "pivot", "na", "nb", _cells_apart("s", "t").alias("apart")).where(_sketch_fits(percent))
+    best = met.groupBy("id").agg(F.min(F.struct("apart", "pivot"))["pivot"].alias("pivot"))
+    return best.select(F.least("id", "pivot").alias("a"), F.greatest("id", "pivot").alias("b")).distinct()
+
+
+def _sketched(rows: DataFrame, sketches: DataFrame, key: str, name: str) -> DataFrame:
+    """``rows`` with the sketches of the ids in ``key``; broadcast if there are at most half a million, of 72 bytes each."""
+    named = sketches.select(F.col("id").alias(key), F.col("sketch").alias(name))
+    return rows.join(F.broadcast(named) if sketches.count() <= _SMALL // 4 else named, key)
+
+
 def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links among the pairs, stored; only the sets that take part are moved."""
     pairs = stored(pairs, "pairs")
@@ -312,19 +369,26 @@ def _merged(comp: DataFrame | None, links: DataFrame) -> DataFrame:
 
 def link_components(candidates: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """``id, component`` of the classes with links. ``candidates`` from ``candidate_rows``, ``sets``: ``id, grams``."""
-    rows, comp = candidates.withColumn("component", F.col("id")), None
+    rows, comp, sketches = candidates.withColumn("component", F.col("id")), None, None
     # As many pairs as classes may be compared one by one at the end.
     enough, before = candidates.select("id").distinct().count(), None
     for turn in range(ROUNDS):
-        comp = _merged(comp, _verify(best_pivots(rows, turn), sets, percent))
+        if turn == 1:
+            sketches = stored(with_sketches(_semi(sets, stored(rows.select("id").distinct(), "ids"), "id")), "sketches")
+        chosen = nearest_pivots(rows, sketches, turn, percent) if turn else best_pivots(rows, turn)
+        comp = _merged(comp, _verify(chosen, sets, percent))
         rows = _still_open(rows, comp)
         pairs = rows.groupBy("key").count().agg(F.sum(F.expr("count * (count - 1) div 2"))).first()[0] or 0
-        if pairs <= enough or (before is not None and pairs > 0.95 * before):
+        if pairs <= enough or (turn and pairs > 0.95 * before):
             break
         before = pairs
     left = rows.select("key", F.col("id").alias("a"), F.col("component").alias("ca"), F.col("n").alias("na"), "need")
     right = rows.select("key", F.col("id").alias("b"), F.col("component").alias("cb"), F.col("n").alias("nb"), F.col("need").alias("need_b"))
-    met = left.join(right, (left["key"] == right["key"]) & F.expr("a < b AND ca <> cb") & _size_fits(percent))
+    if sketches is not None:
+        left, right = _sketched(left, sketches, "a", "s"), _sketched(right, sketches, "b", "t")
+    met = left.join(right, "key").where("a < b AND ca <> cb").where(_size_fits(percent))
+    if sketches is not None:
+        met = met.withColumn("apart", _cells_apart("s", "t")).where(_sketch_fits(percent))
     shared = met.groupBy("a", "b").agg(F.count(F.lit(1)).alias("c"), F.least(F.min("need"), F.min("need_b")).alias("need"))
     pairs = stored(shared.where("c >= need").select("a", "b"), "pairs")
     if pairs.isEmpty():
