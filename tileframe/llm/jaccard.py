@@ -382,10 +382,10 @@ def link_components(candidates: DataFrame, sets: DataFrame, percent: int) -> Dat
         if pairs <= enough or (turn and pairs > 0.95 * before):
             break
         before = pairs
-    left = rows.select("key", F.col("id").alias("a"), F.col("component").alias("ca"), F.col("n").alias("na"), "need")
-    right = rows.select("key", F.col("id").alias("b"), F.col("component").alias("cb"), F.col("n").alias("nb"), F.col("need").alias("need_b"))
     if sketches is not None:
-        left, right = _sketched(left, sketches, "a", "s"), _sketched(right, sketches, "b", "t")
+        rows = _sketched(rows, sketches, "id", "s")
+    left = rows.withColumnsRenamed({"id": "a", "component": "ca", "n": "na"})
+    right = rows.withColumnsRenamed({"id": "b", "component": "cb", "n": "nb", "need": "need_b", "s": "t"})
     met = left.join(right, "key").where("a < b AND ca <> cb").where(_size_fits(percent))
     if sketches is not None:
         met = met.withColumn("apart", _cells_apart("s", "t")).where(_sketch_fits(percent))
