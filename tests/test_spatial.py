@@ -1,5 +1,6 @@
 import math
 import random
+import re
 
 import pytest
 from conftest import plan_of
@@ -278,3 +279,61 @@ def test_no_broadcast_of_columns_without_a_known_size(spark, shapes):
     tagged = shapes[1].withColumn("tags", F.array_repeat(F.lit("x"), 1000))
     found = cover.cover_polygons(tagged, ["name", "tags"])
     assert not found.broadcast and not found.split
+
+
+def boxes_and_ells(rng, n, spread=1.0, size=0.2):
+    """Small polygons of four and six edges that overlap."""
+    out = {}
+    for i in range(n):
+        x, y, h = round(rng.uniform(0, spread), 2), round(rng.uniform(0, spread), 2), rng.choice([size / 4, size / 2, size])
+        corners = [(-1, -1), (1, -1), (1, 0), (0, 0), (0, 1), (-1, 1)] if i % 3 == 0 else [(-1, -1), (1, -1), (1, 1), (-1, 1)]
+        out[f"b{i}"] = [[(x + a * h, y + b * h) for a, b in corners]]
+    return out
+
+
+@pytest.mark.parametrize("options", [{}, {"broadcast_bytes": 0}, {"broadcast_bytes": 0, "bits": 1}])
+def test_few_edges_equal_brute_force_and_compile(spark, options):
+    """Borders, corners and insides; the join of polygons of few edges is compiled, whatever the grid."""
+    rng = random.Random(9)
+    rings = boxes_and_ells(rng, 60)
+    polygons = spark.createDataFrame([(n, n[0], [ring(r) for r in rs]) for n, rs in rings.items()], POLYGON_SCHEMA)
+    pts = [p for rs in rings.values() for r in rs for p in r] + [(rng.uniform(-0.3, 1.3), rng.uniform(-0.3, 1.3)) for _ in range(400)]
+    pts += [((a[0] + b[0]) / 2, (a[1] + b[1]) / 2) for rs in rings.values() for r in rs for a, b in zip(r, r[1:])]
+    pts = [(i, float(x), float(y)) for i, (x, y) in enumerate(pts)]
+    df = spark.createDataFrame([*pts, (-1, None, 0.5), (-2, 0.5, float("nan"))], "id int, lon double, lat double")
+    where = {(i, n): locate((x, y), rs) for i, x, y in pts for n, rs in rings.items()}
+    for predicate, kept in (("within", ("inside",)), ("intersects", ("inside", "edge"))):
+        joined = spatial_join.join_points(df, polygons, ["name"], predicate, **options)
+        assert joined.columns == ["id", "lon", "lat", "name"]
+        got = [tuple(r) for r in joined.select("id", "name").collect()]
+        want = {pair for pair, place in where.items() if place in kept}
+        assert len(got) == len(want) and set(got) == want
+    plan = plan_of(joined)
+    assert re.search(r"\*\(\d+\) (SortMergeJoin|BroadcastHashJoin|ShuffledHashJoin) \[_cell", plan)
+
+
+def test_few_and_many_edges_side_by_side(spark):
+    """Rows of more edges than the compiled test takes keep the other one, polygon by polygon and cell by cell."""
+    rng = random.Random(10)
+    rings = boxes_and_ells(rng, 30) | {f"s{i}": [star(rng, rng.uniform(0, 1), rng.uniform(0, 1), 0.3, 30)] for i in range(8)}
+    polygons = spark.createDataFrame([(n, n[0], [ring(r) for r in rs]) for n, rs in rings.items()], POLYGON_SCHEMA)
+    pts = [(i, rng.uniform(-0.3, 1.3), rng.uniform(-0.3, 1.3)) for i in range(600)]
+    df = spark.createDataFrame(pts, "id int, lon double, lat double")
+    for bits in (2, 5):
+        joined = spatial_join.join_points(df, polygons, ["name"], "within", bits=bits, broadcast_bytes=0)
+        got = [tuple(r) for r in joined.select("id", "name").collect()]
+        want = {(i, n) for i, x, y in pts for n, rs in rings.items() if locate((x, y), rs) == "inside"}
+        assert len(got) == len(want) and set(got) == want
+
+
+def test_overlapping_polygons_get_a_fine_grid(spark):
+    """Pairs that share a cell stay below two and a half for each pair that meets, however many polygons lie on a place."""
+    shapes = spark.range(6000).selectExpr("id AS name", "(id * 7919 % 100003) / 100003D AS x", "(id * 15485863 % 99991) / 99991D AS y")
+    corners = "array(array(0, 0), array(1, 0), array(1, 1), array(0, 1), array(0, 0))"
+    polygons = shapes.selectExpr(
+        "name", f"CAST(array(transform({corners}, c -> named_struct('x', x + c[0] * 0.05D, 'y', y + c[1] * 0.05D))) AS {geometry.RINGS_TYPE}) AS rings")
+    found = cover.cover_polygons(polygons, ["name"], least_cells=0, broadcast_bytes=1_000_000)
+    met = found.rows.count() * 4.0**-found.bits
+    assert not found.broadcast and met < 2.5 * 6000 * 0.05**2
+    apart = polygons.selectExpr("name", f"transform(rings, r -> transform(r, p -> named_struct('x', p.x + name, 'y', p.y))) AS rings")
+    assert cover.cover_polygons(apart, ["name"], least_cells=0, broadcast_bytes=1_000_000).bits < found.bits

@@ -10,13 +10,13 @@ Rows also carry the polygon's bounding box, a cheap first test.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from tileframe.functions.geometry import EDGE_FIELDS, EDGES_TYPE, holds_point, ring_edges
+from tileframe.functions.geometry import EDGE_FIELDS, EDGES_TYPE, UNROLLED, holds_point, ring_edges
 from tileframe.sources.workspace import stored
 
 CELL, EDGES = "_cell", "_edges"
@@ -26,6 +26,7 @@ _REACH = 2.0**30  # cell indexes stay below this
 _MARGIN = "0.000001"  # cells this close to an edge (in cell sides) count as touched
 _CELL_BYTES, _EDGE_BYTES = 128, 48
 _CELLS_PER_TASK, _CELLS_PER_LARGE_TASK, _FEW_TASKS = 5_000, 200_000, 200
+_FEW_CELLS, _DEEP_CELLS, _DEEP = 9, 25, 2.0  # least cells per polygon, and those where places lie in more than so many polygons
 _MEASURED = ("string", "boolean", "tinyint", "smallint", "int", "bigint", "float", "double", "date", "timestamp", "timestamp_ntz")
 
 
@@ -34,7 +35,7 @@ class Cover:
     """Cover rows (polygon columns, bounding box, ``_cell``, ``_edges``) and how they may be joined.
 
     ``broadcast``: all rows are within the broadcast bound. ``split``: all rows without their edges
-    are, that is, the list of cells.
+    are, that is, the list of cells. ``most_edges`` bounds the edges of a row.
     """
 
     rows: DataFrame
@@ -42,6 +43,7 @@ class Cover:
     columns: tuple[str, ...]
     broadcast: bool
     split: bool = False
+    most_edges: int | None = None
 
     def joinable(self) -> DataFrame:
         return F.broadcast(self.rows) if self.broadcast else self.rows
@@ -81,7 +83,9 @@ def _with_box(polygons: DataFrame, rings: str, columns: Sequence[str]) -> DataFr
 
     Polygons whose outer rings run clockwise throughout are turned around.
     """
-    edges = polygons.select(*columns, ring_edges(rings).alias(EDGES))
+    # A small file is one task, yet its polygons can be a lot of work.
+    dealt = polygons.select(*columns, rings).hint("rebalance")
+    edges = dealt.select(*columns, ring_edges(rings).alias(EDGES))
     fields = ", ".join(f"'{f}', e.{f}" for f in EDGE_FIELDS if f != "s")
     turned = f"""IF(aggregate({EDGES}, 0D, (a, e) -> a + e.s * (e.x1 * e.y2 - e.x2 * e.y1)) < 0,
         transform({EDGES}, e -> named_struct({fields}, 's', -e.s)), {EDGES})"""
@@ -100,9 +104,18 @@ def _has_measured_types(df: DataFrame, columns: Sequence[str]) -> bool:
     return all(kind in _MEASURED or kind.startswith("decimal") for c, kind in df.dtypes if c in columns)
 
 
-def _reach(boxes: DataFrame) -> Column:
-    """Largest coordinate of the polygons, without its sign."""
-    return F.max(F.greatest(*[F.abs(c) for c in BOX]))
+def _measures(boxes: DataFrame, columns: Sequence[str]) -> list[Column]:
+    """What the choice of a grid needs to know of the polygons; those without edges do not count."""
+    return [
+        F.expr("count(_w) AS n"),
+        F.expr(f"sum(IF(_w IS NULL, 0, size({EDGES}))) AS edges"),
+        F.expr(f"max(IF(_w IS NULL, 0, size({EDGES}))) AS most"),
+        F.expr("sum((_e - _w) * (_n - _s)) AS wh"),
+        F.expr("sum((_e - _w) + (_n - _s)) AS w_plus_h"),
+        F.expr("(max(_e) - min(_w)) * (max(_n) - min(_s)) AS extent"),
+        F.expr(f"max(IF(_w IS NULL, 0, {_text_size(boxes, columns)})) AS text"),
+        F.max(F.greatest(*[F.abs(c) for c in BOX])).alias("reach"),
+    ]
 
 
 def _fits(reach: float, bits: int) -> bool:
@@ -122,32 +135,26 @@ class Grid:
     edges: int
     cells: int
     text: int  # longest text of the polygon columns
+    most: int  # most edges of a polygon
+    deep: bool = False  # a fine grid for polygons that overlap
 
 
 def choose_grid(
-    boxes: DataFrame, columns: Sequence[str], cells_per_polygon: int | None, least_cells: int,
-    coarsest: float | None = None,
+    found: Mapping[str, float], cells_per_polygon: int | None, least_cells: int, coarsest: float | None = None, limit: int = 0
 ) -> Grid:
-    """Finest grid within a cell budget; one aggregate over the polygon boxes, one result row.
+    """Finest grid within a cell budget, from the measures of the polygon boxes.
 
     The finer the grid, the more points fall in cells that need no test, which pays for polygons of
-    many edges: unless given, the budget is two cells per edge, within 9 to 64 cells per polygon.
-    ``coarsest`` keeps the cell side at or above a given size (used when the other side has boxes,
-    not points).
+    many edges: unless given, the budget is two cells per edge, within 9 to 64 cells per polygon. Where polygons overlap, so that
+    a point meets many, and their cover goes beyond ``limit`` bytes anyway, it is 25 at least: at 9 a point would meet five polygons
+    of its cell for each one around it. ``coarsest`` keeps the cell side at or above a given size (used when the other side has
+    boxes, not points).
     """
     # (w k + 2)(h k + 2) bounds the cells of one polygon at k cells per unit; its sum over all
     # polygons needs three sums only, whatever k.
-    row = boxes.filter("_w IS NOT NULL").agg(
-        F.expr("count(1) AS n"),
-        F.expr(f"sum(size({EDGES})) AS edges"),
-        F.expr("sum((_e - _w) * (_n - _s)) AS wh"),
-        F.expr("sum((_e - _w) + (_n - _s)) AS w_plus_h"),
-        F.expr(f"max({_text_size(boxes, columns)}) AS text"),
-        _reach(boxes).alias("reach"),
-    ).first()
-    n = row["n"]
+    row, n = found, found.get("n")
     if not n:
-        return Grid(0, 0, 0, 0, 0)
+        return Grid(0, 0, 0, 0, 0, 0)
 
     def cells(bits: int) -> int:
         return int(row["wh"] * 4.0**bits + 2 * row["w_plus_h"] * 2.0**bits + 4 * n)
@@ -158,11 +165,12 @@ def choose_grid(
     if not allowed:
         raise ValueError(f"no grid holds coordinates up to {row['reach']} and boxes up to {coarsest}")
 
-    each = cells_per_polygon or min(64, max(9, 2 * row["edges"] // n))
+    deep = row["wh"] > _DEEP * row["extent"] and _FEW_CELLS * n * _CELL_BYTES > limit
+    each = cells_per_polygon or min(64, max(_DEEP_CELLS if deep else _FEW_CELLS, 2 * row["edges"] // n))
     # Four cells a polygon is what the coarsest grids need at most.
     budget = max(each * n, 5 * n, least_cells)
     bits = max((b for b in allowed if cells(b) <= budget), default=allowed[0])
-    return Grid(bits, n, row["edges"], cells(bits), row["text"])
+    return Grid(bits, n, row["edges"], cells(bits), row["text"], row["most"], deep and not cells_per_polygon)
 
 
 def _cover_rows(boxes: DataFrame, bits: int, columns: Sequence[str], tasks: int = 1) -> DataFrame:
@@ -223,7 +231,7 @@ def cover_polygons(
 ) -> Cover:
     """Cover a polygon table. ``columns`` are the polygon columns that joins shall return.
 
-    One aggregate over the polygons picks the grid and bounds the size of the cover.
+    The edges and boxes of the polygons are written once; what is measured meanwhile picks the grid and bounds the size of the cover.
 
     * A cover within ``broadcast_bytes`` is written once, measured while it is written, and broadcast.
     * Few polygons of many edges, as administrative areas are, can have a small list of cells all the
@@ -235,23 +243,31 @@ def cover_polygons(
     columns = tuple(columns)
     boxes = _with_box(polygons, rings, columns)
     limit = _session_broadcast_limit(polygons, broadcast_bytes) if _has_measured_types(boxes, columns) else 0
+    measured = Observation()
+    boxes = stored(boxes.observe(measured, *_measures(boxes, columns)), "boxes")
+    found = measured.get
+    most = found.get("most") or 0
     fits_edges, fits_cells, tasks = True, False, 1
     if bits is None:
-        grid = choose_grid(boxes, columns, cells_per_polygon, least_cells, coarsest)
+        grid = choose_grid(found, cells_per_polygon, least_cells, coarsest, limit)
         bits = grid.bits
         # A small file is one task, yet its cover can be a lot of work.
         tasks = min(grid.cells // _CELLS_PER_TASK, max(_FEW_TASKS, grid.cells // _CELLS_PER_LARGE_TASK))
         fits_edges = grid.polygons * _CELL_BYTES + grid.edges * _EDGE_BYTES <= limit
         fits_cells = grid.cells * (_CELL_BYTES + (grid.text or 0)) <= limit
+        if grid.deep:
+            limit = 0
     else:
-        reach = boxes.agg(_reach(boxes)).first()[0]
+        reach = found.get("reach")
         if reach is not None and not _fits(reach, bits):
             raise ValueError(f"a grid of {bits} bits does not hold coordinates up to {reach}")
     rows = _cover_rows(boxes, bits, columns, tasks)
     if limit <= 0 or not (fits_edges or fits_cells):
-        return Cover(rows, bits, columns, broadcast=False)
+        # Rows of few and of many edges are joined apart, so the cover is read twice.
+        rows = stored(rows, "cover") if most > UNROLLED else rows
+        return Cover(rows, bits, columns, broadcast=False, most_edges=most)
     size = Observation()
     bytes_ = f"sum({_CELL_BYTES} + {_text_size(rows, columns)} + coalesce(size({EDGES}), 0) * {_EDGE_BYTES})"
     kept = stored(rows.observe(size, F.expr(bytes_).alias("bytes")), "cover")
     whole = (size.get["bytes"] or 0) <= limit
-    return Cover(kept, bits, columns, broadcast=whole, split=fits_cells and not whole)
+    return Cover(kept, bits, columns, broadcast=whole, split=fits_cells and not whole, most_edges=most)

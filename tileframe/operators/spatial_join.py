@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tileframe.functions.geometry import box_overlap_area, holds_point, touches_box
+from tileframe.functions.geometry import UNROLLED, box_overlap_area, few_edges, holds_point, holds_point_few, touches_box
 from tileframe.operators.cover import BOX, CELL, EDGES, Cover, cell_id, cell_index, clamped, cover_polygons, indexable
 
 PREDICATES = ("contains", "within", "intersects")
@@ -46,10 +46,17 @@ def join_points(
     located = points.filter(indexable(px, py, cover.bits)).withColumn(
         CELL, cell_id(cell_index(px, cover.bits), cell_index(py, cover.bits))
     )
-    exact = holds_point(EDGES, f"`{x}`", f"`{y}`", boundary=predicate == "intersects")
-    near = f"`{x}` >= _w AND `{x}` <= _e AND `{y}` >= _s AND `{y}` <= _n"
-
-    def joined(located: DataFrame, rows: DataFrame, test: str) -> DataFrame:
+    boundary = predicate == "intersects"
+    # Columns that are never NULL keep the compiled test short; ``indexable`` has dropped points without coordinates.
+    nan = F.lit(float("nan"))
+    located = located.withColumns({"_px": F.coalesce(px.cast("double"), nan), "_py": F.coalesce(py.cast("double"), nan)})
+    near = "_px >= _w AND _px <= _e AND _py >= _s AND _py <= _n"
+    looped = holds_point(EDGES, "_px", "_py", boundary)
+    # A lambda keeps Spark from compiling the join, so rows of few edges, which most polygons have throughout, have a test without.
+    unrolled = holds_point_few("_e", "_px", "_py", boundary)
+    shapes = few_edges(EDGES, "_e")
+
+    def joined(located: DataFrame, rows: DataFrame, exact: str) -> DataFrame:
         # Point columns keep their names; the key columns of the cover are renamed so as not to clash.
         side = rows.withColumnRenamed(CELL, "_cover_cell")
         on = F.col(CELL) == F.col("_cover_cell")
@@ -57,15 +64,31 @@ def join_points(
             side = side.withColumn(f"_key_{theirs}", F.col(theirs))
             on = on & (F.col(mine) == F.col(f"_key_{theirs}"))
         side = side.drop(*[c for c in cover.columns if c not in wanted])
-        pairs = located.join(side, on).filter(test)
-        return pairs.drop(CELL, "_cover_cell", EDGES, *BOX, *[f"_key_{c}" for c in keys.values()])
-
-    if not cover.split:
-        return joined(located, cover.joinable(), f"{near} AND ({EDGES} IS NULL OR {exact})")
-    # The points are read twice, but only those in cells with an edge are shuffled.
-    edge_cells = F.broadcast(cover.outer().select(CELL).distinct())
-    in_doubt = located.join(edge_cells, CELL, "left_semi")
-    return joined(located, cover.inner(), "true").unionByName(joined(in_doubt, cover.outer(), f"{near} AND {exact}"))
+        pairs = located.join(side, on).filter(f"_whole OR ({near} AND {exact})")
+        return pairs.drop(CELL, "_cover_cell", "_whole", "_px", "_py", EDGES, *shapes, *BOX, *[f"_key_{c}" for c in keys.values()])
+
+    def simple(rows: DataFrame) -> DataFrame:
+        boxed = {c: F.coalesce(F.col(c), nan) for c in BOX}
+        return rows.withColumns(shapes | boxed | {"_whole": F.col(EDGES).isNull()}).drop(EDGES)
+
+    def complex_(rows: DataFrame) -> DataFrame:
+        return rows.withColumn("_whole", F.col(EDGES).isNull())
+
+    few = cover.most_edges is not None and cover.most_edges <= UNROLLED
+    shaped, exact = (simple, unrolled) if few else (complex_, looped)
+    if cover.split:
+        # The points are read twice, but only those in cells with an edge are shuffled.
+        edge_cells = F.broadcast(cover.outer().select(CELL).distinct())
+        in_doubt = located.join(edge_cells, CELL, "left_semi")
+        return joined(located, complex_(cover.inner()), "true").unionByName(joined(in_doubt, shaped(cover.outer()), exact))
+    if cover.broadcast:
+        return joined(located, F.broadcast(shaped(cover.rows)), exact)
+    if few:
+        return joined(located, simple(cover.rows), unrolled)
+    many = F.coalesce(F.size(EDGES), F.lit(0)) > UNROLLED
+    return joined(located, simple(cover.rows.filter(~many)), unrolled).unionByName(
+        joined(located, complex_(cover.rows.filter(many)), looped)
+    )
 
 
 def largest_side(boxes: DataFrame, bounds: Mapping[str, Column]) -> float | None:

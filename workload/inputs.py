@@ -124,7 +124,9 @@ class Inputs:
         shape = """IF(p_partkey % 3 = 0,
             array(array(-1, -1), array(1, -1), array(1, 0), array(0, 0), array(0, 1), array(-1, 1), array(-1, -1)),
             array(array(-1, -1), array(1, -1), array(1, 1), array(-1, 1), array(-1, -1)))"""
-        placed = self.with_nation(self.parts(), self.nations())
+        # A file of many rows can be one task; the shapes are the work.
+        parts = self.parts().select("p_partkey", "p_size", "lon", "lat").hint("rebalance")
+        placed = self.with_nation(parts, self.nations())
         return placed.selectExpr(
             "p_partkey AS building_id",
             "concat('pl_', p_partkey) AS place_id",
