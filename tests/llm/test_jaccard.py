@@ -2,6 +2,7 @@
 
 import random
 import re
+from pathlib import Path
 
 import pytest
 
@@ -132,3 +133,33 @@ def test_rounds_by_sketches(spark, monkeypatch):
     expected = plain(texts, 4, 85)
     assert got == dict(enumerate(expected)) and len(set(expected)) > 20
     assert turns and sum(compared) < len(texts) * (len(texts) - 1) / 20
+
+
+def test_tables_that_served_leave_the_disk(spark):
+    """The cut hashes of all sets and the candidates with left-out keys go before the sets are compared."""
+    texts = shared_passages(11, size=60)
+    frame = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    folder = Path(spark.conf.get("spark.checkpoint.dir"))
+    before = set(folder.iterdir())
+    got = {r["doc_id"]: r["component_id"] for r in jaccard.join_ngrams(frame).collect()}
+    assert [got[i] for i in range(len(texts))] == plain(texts, 4, 85)
+    names = {f.name.rsplit("-", 1)[0] for f in set(folder.iterdir()) - before}
+    assert {"kept", "sets", "thin"} <= names
+    assert not {"rows", "candidates"} & names
+
+
+@pytest.mark.parametrize("small", [jaccard._SMALL, 0])
+def test_sets_of_first_ends_are_not_shuffled(spark, monkeypatch, small):
+    monkeypatch.setattr(jaccard, "_SMALL", small)
+    sets = spark.createDataFrame([(i, list(range(i, 40))) for i in range(12)], "id long, grams array<bigint>")
+    pairs = spark.createDataFrame([(a, b) for b in range(12) for a in range(b)], "a long, b long")
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        links = jaccard.verified(pairs, sets, 85)
+        found = {(r["a"], r["b"]) for r in links.collect()}
+        shuffles = links._jdf.queryExecution().sparkPlan().toString().count("SortMergeJoin")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert found == {(a, b) for b in range(12) for a in range(b) if 100 * (40 - b) >= 85 * (40 - a)}
+    assert shuffles == (1 if small else 2)

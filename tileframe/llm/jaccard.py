@@ -46,6 +46,7 @@ from pyspark.sql import functions as F
 
 from tileframe.llm.common import stored, text_or_empty, words_of
 from tileframe.llm.components import components
+from tileframe.sources.workspace import discarded
 
 N_WORDS, PERCENT = 4, 85
 #: Bands grow by this factor; pivot rounds, at most, before components are compared pairwise.
@@ -267,10 +268,12 @@ def _sketch_fits(percent: int) -> Column:
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs ``a, b`` of ids whose sets (``id, grams``) reach the similarity, on the whole sets."""
+    """The pairs ``a, b`` of ids (stored) whose sets (``id, grams``) reach the similarity, on the whole sets.
+
+    Up to two million pairs are broadcast to the sets of their first ends, which then move only once, to those of the second."""
     left = sets.select(F.col("id").alias("a"), F.col("grams").alias("ga"))
     right = sets.select(F.col("id").alias("b"), F.col("grams").alias("gb"))
-    both = pairs.join(left, "a").join(right, "b")
+    both = left.join(F.broadcast(pairs) if pairs.count() <= _SMALL else pairs, "a").join(right, "b")
     joint = F.size(F.array_intersect("ga", "gb"))
     union = F.size("ga") + F.size("gb") - joint
     return both.where(100 * joint >= percent * union).select("a", "b")
@@ -305,7 +308,9 @@ def candidate_rows(classes: DataFrame, percent: int) -> DataFrame | None:
         "key", "id", F.floor(F.col("facts") / 256).cast("int").alias("n"),
         (need - F.coalesce("left_out", F.lit(0))).cast("int").alias("need"),
     )
-    return stored(kept, "kept")
+    kept = stored(kept, "kept")
+    discarded(found)
+    return kept
 
 
 def _still_open(rows: DataFrame, comp: DataFrame) -> DataFrame:
@@ -408,7 +413,7 @@ def join_ngrams(
         ),
         "rows",
     )
-    thin = rows.select("row", F.col("id").alias("doc_id"), "n", "d1", "d2")
+    thin = stored(rows.select("row", F.col("id").alias("doc_id"), "n", "d1", "d2"), "thin")
     heads = thin.where("n > 0").groupBy("d1", "d2").agg(
         F.min("row").alias("id"), F.min_by("doc_id", "row").alias("head"), F.count(F.lit(1)).alias("copies")
     )
@@ -417,6 +422,8 @@ def join_ngrams(
     classes = rows.where("n > 0").drop("id").withColumnRenamed("row", "id")
     classes = _semi(classes, stored(heads.select("id"), "ids"), "id")
     candidates = candidate_rows(classes, percent)
+    # The hashes of all sets have served; those of the candidates are written anew, in full.
+    discarded(rows)
     comp = None
     if candidates is not None:
         wanted = stored(candidates.select("id").distinct().join(heads, "id").select("id", "head", "d1", "d2"), "wanted")

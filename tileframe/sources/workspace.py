@@ -38,6 +38,14 @@ def stored(df: DataFrame, name: str = "stage") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discarded(table: DataFrame) -> None:
+    """Remove the files of a table from ``stored`` that nothing will read again; what was made of it must be stored itself."""
+    spark, jvm = table.sparkSession, table.sparkSession._jvm
+    for folder in {file.rsplit("/", 1)[0] for file in table.inputFiles()}:
+        path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(folder))
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def is_small(df: DataFrame, max_rows: int = 200_000) -> bool:
     """Count a table against a bound. This is a job: use it on tables that are cheap to scan, such
     as control totals, truth sets, overrides, or aggregates of a stored table. The count is made of
