@@ -133,3 +133,14 @@ def test_repeated_overrides_do_not_multiply_rows(spark):
     df = spark.createDataFrame([("a", 1.0), ("b", None)], "k string, v double")
     twice = spark.createDataFrame([("b", 3.0), ("b", 5.0)], "k string, v double")
     assert sorted(tables.override_values(df, twice, "k", "v").collect()) == [("a", 1.0), ("b", 5.0)]
+
+
+def test_listing_leaves_temporary_views_out(spark):
+    spark.sql("CREATE DATABASE listed_alone")
+    spark.range(3).write.saveAsTable("listed_alone.some_rows")
+    spark.range(5).createOrReplaceTempView("passing_view")
+    try:
+        assert [t for _, t in readers.list_catalog_tables(spark, "listed_alone")] == ["some_rows"]
+    finally:
+        spark.catalog.dropTempView("passing_view")
+        spark.sql("DROP DATABASE listed_alone CASCADE")

@@ -53,6 +53,6 @@ def read_catalog_rows(
 
 
 def list_catalog_tables(spark: SparkSession, database: str | None = None) -> list[tuple[str, str]]:
-    """(database, table) names of a catalog, sorted."""
-    tables = spark.catalog.listTables(database)
+    """(database, table) names of a catalog, sorted; temporary views of the session are in no database."""
+    tables = [t for t in spark.catalog.listTables(database) if not t.isTemporary]
     return sorted((".".join(t.namespace or []), t.name) for t in tables)
