@@ -84,3 +84,18 @@ def test_busy_day_in_batches(spark, tmp_path):
     back = spark.read.parquet(path)
     assert {(r.event_id, str(r.date), r.part) for r in back.collect()} == {(r.event_id, "2024-01-01", r.part) for r in rows}
     assert back.count() == len(rows)
+
+
+def test_day_is_written_as_text_before_the_join(spark):
+    shapes = spark.createDataFrame([(i, box(0.0, 0.0, 9.0, 9.0)) for i in range(3)], f"building_id long, rings {RINGS_TYPE}")
+    seen = spark.createDataFrame(
+        [(1, 0, 4.0, 4.0, "c"), (2, 61_200_000, 5.0, 5.0, "c"), (3, None, 6.0, 6.0, "c")],
+        "event_id long, ts_ms long, lon double, lat double, consent string",
+    )
+    dated = jobs.building_visits(seen, shapes, zone="Asia/Bangkok")
+    visits = jobs.building_visits(seen, shapes, zone="Asia/Bangkok", day_type="string").select("event_id", "event_date", "building_id")
+    want = dated.selectExpr("event_id", "CAST(event_date AS STRING) AS event_date", "building_id")
+    assert sorted(visits.collect(), key=str) == sorted(want.collect(), key=str)
+    assert {(r[0], r[1]) for r in visits.collect()} == {(1, "1970-01-01"), (2, "1970-01-02"), (3, None)}
+    plan = visits._jdf.queryExecution().optimizedPlan().toString()
+    assert "as string" not in plan.split("Join")[0] and "as string" in plan

@@ -47,11 +47,14 @@ def building_visits(
     lat: str = "lat",
     zone: str | None = None,
     drop: Sequence[str] = ("consent",),
+    day_type: str = "date",
     **options,
 ) -> DataFrame:
-    """Pings strictly inside a building, with the local time and day of their epoch milliseconds."""
+    """Pings strictly inside a building, with the local time and day of their epoch milliseconds.
+
+    ``day_type``: "string" writes the day as text once for each ping, not for each building around it."""
     slim = pings.drop(*drop).withColumn("event_time", from_epoch_ms(F.col(ts_ms)))
-    dated = slim.withColumn(DAY, event_day(slim, "event_time", zone))
+    dated = slim.withColumn(DAY, event_day(slim, "event_time", zone).cast(day_type))
     return join_points(dated, footprints, columns, predicate="within", x=lon, y=lat, **options)
 
 

@@ -480,7 +480,7 @@ def ping_admin_tags(i: Inputs) -> DataFrame:
 
 @query
 def ping_building_visits(i: Inputs) -> DataFrame:
-    visits = ping_jobs.building_visits(i.pings_ms(), i.footprints(), zone=ZONE)
+    visits = ping_jobs.building_visits(i.pings_ms(), i.footprints(), zone=ZONE, day_type="string")
     return rounded(visits.select("event_id", "event_date", "building_id"))
 
 
@@ -496,6 +496,8 @@ def busy_day_batches(i: Inputs) -> DataFrame:
 @query
 def ping_place_visits(i: Inputs) -> DataFrame:
     tagged = ping_jobs.tag_pings(i.pings(), i.areas(), AREA, zone=ZONE)
+    # As text before the join, once for each ping.
+    tagged = tagged.withColumn("event_date", F.col("event_date").cast("string"))
     visits = ping_jobs.place_visits(tagged, i.footprints())
     return rounded(visits.select("event_id", "event_date", "adm1", "adm3", "building_id", "place_id"))
 
