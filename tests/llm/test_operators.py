@@ -273,6 +273,37 @@ def test_packing(spark, edges, none):
     assert packing.fill({7: 1, 5: 3, 3: 2}, 10) == {7: 1, 3: 1}
 
 
+def test_packing_holds_few_texts_at_a_time(spark, monkeypatch):
+    pieces, sizes = packing._pieces, spark.sparkContext.accumulator(0)
+
+    def watched(make, capacity):
+        run = pieces(make, capacity)
+
+        def counted(batches):
+            for batch in batches:
+                sizes.add(int(batch.num_rows > 200))
+                yield from run(iter([batch]))
+
+        return counted
+
+    monkeypatch.setattr(packing, "_pieces", watched)
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    docs = spark.range(1500).coalesce(1).selectExpr("id AS doc_id", "repeat('ab ', 30) AS text")
+    assert packing.pack(docs, encoder=lambda: letters).agg({"length": "sum"}).first()[0] == 1500 * 91
+    assert sizes.value == 0 and spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == before
+
+
+def test_slow_encoder_waits_for_the_special_token(tmp_path):
+    public = pytest.importorskip("public_tokenizers")
+    ranks = public.path("byte_bpe_50k.tiktoken")
+    encode = packing.byte_bpe_encoder(str(tmp_path / "none.json"), ranks, public.PATTERN)
+    both = packing.byte_bpe_encoder(public.path("byte_bpe_50k.json"), ranks, public.PATTERN)
+    assert encode("one two") == both("one two")
+    with pytest.raises(Exception):
+        encode("one <|endoftext|>")
+    assert len(both("one <|endoftext|>")) > 4
+
+
 def test_mixing(spark, edges, none):
     rng = random.Random(5)
     rows, labels = [], []

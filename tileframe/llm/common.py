@@ -14,22 +14,29 @@ _MAX_BROADCAST_ROWS = 1_000_000
 _SALTS = 32
 
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 __all__ = ["SPACE", "SPACE_CHARS", "join_groups", "settled", "stored", "text_or_empty", "words_of"]
 
 
-def stored(df: DataFrame, name: str = "stage") -> DataFrame:
+def stored(df: DataFrame, name: str = "stage", batch_rows: int | None = None) -> DataFrame:
     """Write a table to the shared folder and read it back. The shuffle files of the writing job are not
-    needed after that, so Spark is asked to remove them at once where it can."""
+    needed after that, so Spark is asked to remove them at once where it can. ``batch_rows`` bounds the rows that a
+    Python function of the job is given at a time."""
     conf = df.sparkSession.conf
-    before = conf.get(_CLEANUP, None)
-    if before is None or not conf.isModifiable(_CLEANUP):
-        return workspace.stored(df, name)
-    conf.set(_CLEANUP, "true")
+    wanted = {}
+    if conf.get(_CLEANUP, None) is not None:
+        wanted[_CLEANUP] = "true"
+    if batch_rows is not None:
+        wanted[_BATCH_ROWS] = str(min(batch_rows, int(conf.get(_BATCH_ROWS)) if int(conf.get(_BATCH_ROWS)) > 0 else batch_rows))
+    before = {key: conf.get(key) for key in wanted if conf.isModifiable(key)}
+    for key in before:
+        conf.set(key, wanted[key])
     try:
         return workspace.stored(df, name)
     finally:
-        conf.set(_CLEANUP, before)
+        for key, value in before.items():
+            conf.set(key, value)
 
 
 def text_or_empty(column: str) -> Column:

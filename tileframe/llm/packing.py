@@ -19,6 +19,7 @@ import base64
 import zlib
 from collections import defaultdict
 from collections.abc import Callable, Iterator
+from functools import cache
 
 import numpy as np
 import pandas as pd
@@ -33,6 +34,8 @@ CAPACITY = 2048
 END_ID = 1
 #: Lines of pieces that are packed together in one group.
 BUCKET_ROWS = 20_000
+#: Texts that a task holds at a time.
+BATCH_ROWS = 200
 _SPECIAL = "<|endoftext|>"
 _SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
@@ -44,18 +47,22 @@ def byte_bpe_encoder(vocabulary: str, ranks: str, pattern: str) -> Encoder:
     """Text to ids as little-endian unsigned 32-bit integers, by the public byte-level vocabulary.
 
     ``ranks`` holds the same vocabulary as ``vocabulary`` for a library that is three times as fast and gives the same
-    ids; only texts that spell the vocabulary's special token go to the slower one."""
+    ids; only texts that spell the vocabulary's special token go to the slower one, which is loaded with the first of them."""
     import tiktoken
-    from tokenizers import Tokenizer
 
     with open(ranks, "rb") as lines:
         merges = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
     fast = tiktoken.Encoding("public", pat_str=pattern, mergeable_ranks=merges, special_tokens={})
-    whole = Tokenizer.from_file(vocabulary)
+
+    @cache
+    def whole():
+        from tokenizers import Tokenizer
+
+        return Tokenizer.from_file(vocabulary)
 
     def encode(text: str) -> bytes:
         if _SPECIAL in text:
-            ids = whole.encode(text, add_special_tokens=False).ids
+            ids = whole().encode(text, add_special_tokens=False).ids
         else:
             ids = fast.encode_ordinary(text)
         return np.asarray(ids, dtype="<u4").tobytes()
@@ -164,7 +171,7 @@ def pack(
 ) -> DataFrame:
     """One row per piece: ``doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset``."""
     rows = docs.select(F.col(f"`{key}`").cast("long").alias("doc_id"), text_or_empty(text).alias("text"))
-    pieces = stored(rows.mapInArrow(_pieces(encoder, capacity), f"{_SCHEMA}, _row long"), "pieces")
+    pieces = stored(rows.mapInArrow(_pieces(encoder, capacity), f"{_SCHEMA}, _row long"), "pieces", BATCH_ROWS)
     buckets = max(1, -(-pieces.count() // BUCKET_ROWS))
     dealt = pieces.withColumn("_bucket", F.pmod(F.xxhash64("_row"), F.lit(buckets)))
     packed = dealt.groupBy("_bucket").applyInPandas(
