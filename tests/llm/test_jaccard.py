@@ -163,3 +163,27 @@ def test_sets_of_first_ends_are_not_shuffled(spark, monkeypatch, small):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
     assert found == {(a, b) for b in range(12) for a in range(b) if 100 * (40 - b) >= 85 * (40 - a)}
     assert shuffles == (1 if small else 2)
+
+
+@pytest.mark.parametrize("sketched", [False, True])
+def test_pairs_are_formed_where_they_first_meet(spark, sketched):
+    """Classes that share many keys make about one row a pair, those that share too few make hardly any, and no pair is lost."""
+    rng = random.Random(17)
+    common, held = rng.sample(range(10**6), 90), {}
+    for i in range(70):
+        # Two groups that share most keys within, and some that share few.
+        kept = rng.sample(common[:45] if i % 2 else common[45:], rng.choice([3, 30, 36, 40]))
+        held[i] = kept + rng.sample(range(10**6, 2 * 10**6), 4)
+    # A repeated key counts once.
+    rows = [(k, i, 300, 9 + i % 3, i // 2) for i, keys in held.items() for k in [*keys, keys[0]]]
+    table = spark.createDataFrame(rows, "key long, id long, n int, need int, component long").repartition(4)
+    sketches = None
+    if sketched:
+        sketches = jaccard.with_sketches(spark.createDataFrame([(i, [1, 2, 3]) for i in held], "id long, grams array<long>"))
+    met = jaccard.first_meetings(jaccard.key_lists(table), sketches, 80).collect()
+    shared = {(a, b): len({*held[a]} & {*held[b]}) for b in held for a in range(b) if a // 2 != b // 2}
+    expected = {p for p, c in shared.items() if c >= min(8 + p[0] % 3, 8 + p[1] % 3)}
+    found = jaccard.meeting_pairs(table, sketches, 80).collect()
+    assert {(r.a, r.b) for r in found} == expected and len(found) == len(expected)
+    assert expected <= {(r.a, r.b) for r in met}
+    assert len(met) < 1.3 * len(expected) < sum(shared.values()) / 10

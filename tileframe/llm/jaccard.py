@@ -23,7 +23,9 @@ round takes the pivot with which a class shares most keys. Later ones, which onl
 sketch: the parities of a set's hashes by ``BITS`` cells. Two sketches differ in no more cells than the sets do in hashes, so pairs
 whose sketches differ in more than a link allows need no comparison, and no link is lost by that. Rounds go on while the open keys
 hold more pairs than there are classes and get fewer. What remains after the rounds (keys that still join several components) is
-compared pairwise across components only, for sizes and sketches that can link, and no pair that is in doubt is left out.
+compared pairwise across components only, for sizes and sketches that can link, and no pair that is in doubt is left out. A pair
+is formed where it first meets in the order of the keys, not at each of the many keys that it shares, and only if enough keys
+follow there for a link.
 
 Defined results: words are lower-cased in A-Z only; a text of fewer words than ``n`` is one n-gram; a null or empty
 text has the empty set and links with nothing; rows with the same id are one document; a null id has no component; other
@@ -55,6 +57,8 @@ GROWTH, ROUNDS = 1.18, 10
 HOT = 8
 #: Cells of a sketch, a multiple of 64.
 BITS = 512
+#: Keys of a class that tell whether a pair has met before.
+FIRST = 8
 _SMALL = 2_000_000
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -262,9 +266,9 @@ def _cells_apart(x: str, y: str) -> Column:
     return reduce(add, [F.bit_count(F.col(f"{x}.w{i}").bitwiseXOR(F.col(f"{y}.w{i}"))) for i in range(BITS // 64)])
 
 
-def _sketch_fits(percent: int) -> Column:
+def _sketch_fits(percent: int, apart: Column) -> Column:
     """Whether sets of the sizes ``na, nb`` that differ in ``apart`` hashes or more can reach the similarity."""
-    return (100 + percent) * F.col("apart") <= (100 - percent) * (F.col("na") + F.col("nb"))
+    return (100 + percent) * apart <= (100 - percent) * (F.col("na") + F.col("nb"))
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -342,7 +346,7 @@ def nearest_pivots(rows: DataFrame, sketches: DataFrame, turn: int, percent: int
     pivots = _sketched(pivots, sketches, "pivot", "t")
     mine = _sketched(rows.select("key", "id", F.col("n").alias("na"), "component"), sketches, "id", "s")
     met = mine.join(pivots, "key").where("component <> other").where(_size_fits(percent))
-    met = met.select("id", "pivot", "na", "nb", _cells_apart("s", "t").alias("apart")).where(_sketch_fits(percent))
+    met = met.select("id", "pivot", "na", "nb", _cells_apart("s", "t").alias("apart")).where(_sketch_fits(percent, F.col("apart")))
     best = met.groupBy("id").agg(F.min(F.struct("apart", "pivot"))["pivot"].alias("pivot"))
     return best.select(F.least("id", "pivot").alias("a"), F.greatest("id", "pivot").alias("b")).distinct()
 
@@ -387,20 +391,51 @@ def link_components(candidates: DataFrame, sets: DataFrame, percent: int) -> Dat
         if pairs <= enough or (turn and pairs > 0.95 * before):
             break
         before = pairs
-    if sketches is not None:
-        rows = _sketched(rows, sketches, "id", "s")
-    left = rows.withColumnsRenamed({"id": "a", "component": "ca", "n": "na"})
-    right = rows.withColumnsRenamed({"id": "b", "component": "cb", "n": "nb", "need": "need_b", "s": "t"})
-    met = left.join(right, "key").where("a < b AND ca <> cb").where(_size_fits(percent))
-    if sketches is not None:
-        met = met.withColumn("apart", _cells_apart("s", "t")).where(_sketch_fits(percent))
-    shared = met.groupBy("a", "b").agg(F.count(F.lit(1)).alias("c"), F.least(F.min("need"), F.min("need_b")).alias("need"))
-    pairs = stored(shared.where("c >= need").select("a", "b"), "pairs")
+    pairs = stored(meeting_pairs(rows, sketches, percent), "pairs")
     if pairs.isEmpty():
         return comp
     return _merged(comp, _verify(pairs, sets, percent))
 
 
+def key_lists(rows: DataFrame) -> DataFrame:
+    """``id, n, component, need, keys`` of the classes of ``rows``, with their different keys in order.
+
+    ``need`` is how many *different* keys a class shares with each of its links, or more."""
+    lists = rows.groupBy("id").agg(
+        F.first("n").alias("n"), F.first("component").alias("component"), F.min("need").alias("need"),
+        F.count(F.lit(1)).cast("int").alias("rows"), F.array_sort(F.collect_set("key")).alias("keys"),
+    )
+    return lists.select("id", "n", "component", (F.col("need") - F.col("rows") + F.size("keys")).alias("need"), "keys")
+
+
+def first_meetings(lists: DataFrame, sketches: DataFrame | None, percent: int) -> DataFrame:
+    """``a, b`` of classes of different components that can link, met at the first key that they share.
+
+    At that key both have as many keys to come, itself included, as they share, so it is enough to look at places with ``need``
+    keys to come. A pair is passed over if the ``FIRST`` keys of both hold an earlier meeting; few pairs come twice."""
+    rows = lists.select(
+        "id", "n", "component", "need", F.slice("keys", 1, FIRST).alias("first"), F.size("keys").alias("k"), F.posexplode("keys").alias("at", "key")
+    ).withColumn("rest", F.col("k") - F.col("at")).drop("k", "at")
+    fits = F.expr("a < b AND ca <> cb AND least(ra, rb) >= least(wa, wb)") & _size_fits(percent)
+    if sketches is not None:
+        rows = _sketched(rows, sketches, "id", "s")
+        fits = fits & _sketch_fits(percent, _cells_apart("s", "t"))
+    fits = fits & F.coalesce(F.array_min(F.array_intersect("fa", "fb")) >= F.col("key"), F.lit(True))
+    left = rows.withColumnsRenamed({"id": "a", "component": "ca", "n": "na", "need": "wa", "rest": "ra", "first": "fa"})
+    right = rows.withColumnsRenamed({"id": "b", "component": "cb", "n": "nb", "need": "wb", "rest": "rb", "first": "fb", "s": "t"})
+    return left.join(right, "key").where(fits).select("a", "b")
+
+
+def meeting_pairs(rows: DataFrame, sketches: DataFrame | None, percent: int) -> DataFrame:
+    """``a, b`` of all classes of different components that share as many keys as a link needs. ``rows``: ``key, id, n, need, component``."""
+    lists = stored(key_lists(rows), "lists")
+    met = stored(first_meetings(lists, sketches, percent).distinct(), "met")
+    left = lists.select(F.col("id").alias("a"), F.col("need").alias("wa"), F.col("keys").alias("ka"))
+    right = lists.select(F.col("id").alias("b"), F.col("need").alias("wb"), F.col("keys").alias("kb"))
+    both = left.join(F.broadcast(met) if met.count() <= _SMALL else met, "a").join(right, "b")
+    return both.where(F.size(F.array_intersect("ka", "kb")) >= F.least("wa", "wb")).select("a", "b")
+
+
 def join_ngrams(
     docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = N_WORDS, percent: int = PERCENT
 ) -> DataFrame:
