@@ -426,6 +426,60 @@ def test_lm_score_gives_every_word_its_own_probability(spark):
     assert len(known.words) == 10_000
 
 
+def test_lm_score_joins_only_words_that_tasks_cannot_count(spark, monkeypatch):
+    """The next words after the frequent ones need no join; the scores are those of a join of all."""
+    words = [f"top{i}" for i in range(lm_score.VOCABULARY)] * 9 + [f"next{i}" for i in range(40)] * 5 + [f"last{i}" for i in range(50)] * 3
+    rows = [(i, " ".join(words[i::97])) for i in range(97)] + [(97, None), (98, " ")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    scores = []
+    for counted in (40, 1, 10_000):
+        monkeypatch.setattr(lm_score, "COUNTED", counted)
+        known, _ = lm_score.vocabulary(lm_score.count_words(docs))
+        joined = {w.w for r in lm_score.numbered(docs, known).collect() for w in r.rest}
+        assert len(known.words) == lm_score.VOCABULARY and len(joined) == max(0, 90 - counted)
+        assert counted != 40 or {w[:4] for w in joined} == {"last"}
+        scores.append([(r.doc_id, r.n_tokens, r.log_likelihood) for r in lm_score.score(docs).orderBy("doc_id").collect()])
+    assert scores[0][0][1] > 0
+    for other in scores[1:]:
+        assert all(a[:2] == b[:2] and abs(a[2] - b[2]) < 1e-6 for a, b in zip(scores[0], other, strict=True))
+
+
+@pytest.mark.parametrize("scale", [1, 400])
+def test_lm_network_learns_like_a_plain_one(scale):
+    """One step of Adagrad and the probabilities after it, against a softmax over all outputs in double precision; the larger
+    weights give logits that ``exp`` does not hold."""
+    outputs, width, size = 256, lm_score.WIDTH, lm_score.CLASS_SIZE
+    net = lm_score.Network.fresh(outputs)
+    net.parts["classes"] *= scale
+    net.parts["words"] *= scale
+    rng = np.random.default_rng(3)
+    context, target = rng.integers(0, outputs + 1, (500, 4)), np.append(rng.integers(0, 64, 250), rng.integers(130, outputs, 250))
+
+    def plain(embed, classes, words):
+        h = np.append(np.tanh(sum(embed[j][context[:, j]] for j in range(4))), np.ones((len(context), 1)), axis=1)
+        parts = [h @ classes, np.einsum("ni,nij->nj", h, words[target // size])]
+        shares = [np.exp(x - x.max(1, keepdims=True)) for x in parts]
+        return h, [x / x.sum(1, keepdims=True) for x in shares]
+
+    before = [p.astype(np.float64) for p in net.parts.values()]
+    h, shares = plain(*before)
+    rows, slots, want = np.arange(len(target)), (target // size, target % size), [np.zeros_like(p) for p in before]
+    for share, slot in zip(shares, slots, strict=True):
+        share[rows, slot] -= 1
+    want[1] = h.T @ shares[0] / len(target)
+    np.add.at(want[2], target // size, np.einsum("ni,nj->nij", h, shares[1]) / len(target))
+    back = shares[0] @ before[1][:width].T + np.einsum("nj,nij->ni", shares[1], before[2][target // size, :width])
+    for j in range(4):
+        np.add.at(want[0][j], context[:, j], back * (1 - h[:, :width] ** 2) / len(target))
+    squares = lm_score.Network(np.zeros_like(net.flat), outputs)
+    net.learn(context, target, squares)
+    for name, gradient in zip(net.parts, want, strict=True):
+        assert np.allclose(np.sqrt(squares.parts[name]), np.abs(gradient), rtol=2e-3, atol=2e-5 * scale)
+    _, shares = plain(*(p.astype(np.float64) for p in net.parts.values()))
+    logs = sum(np.log(np.maximum(share[rows, slot], 1e-300)) for share, slot in zip(shares, slots, strict=True))
+    assert np.allclose(net.log_probability(context, target), logs, rtol=1e-3, atol=1e-3)
+
+
 def test_lm_score_trains_on_every_word(spark):
     """A text of period four: a fixed stride of four would show the network only one of its words as target."""
     rows = [(i, " ".join(["north", "east", "south", "west"] * 50)) for i in range(600)]

@@ -8,7 +8,8 @@ log-probabilities of its words, and the probabilities of all words of the corpus
 All words are counted in a stored table. The network has an output for each of the most frequent words: ``VOCABULARY``, or as
 many as are counted at least ``sqrt(tokens) / ROOT_SHARE`` times if these are more, so that it grows with the root of the
 corpus. Other words meet the network as one of ``HASHED`` groups, and have their share of the group's count as
-probability within the group; the sums of its logarithms come from a join with the count table, so no word is cut off.
+probability within the group; the tasks know the counts of the next ``COUNTED`` words, and the sums of the logarithms of all
+others come from a join with the count table, so no word is cut off.
 
 Texts are numbered once, and the numbers stored. Training is data parallel: each task starts from the same seeded network
 and learns from its own part of every document's windows with numpy; the networks are then averaged, weighted by what they
@@ -40,21 +41,22 @@ from pyspark.sql import functions as F
 from tileframe.llm.common import stored, text_or_empty, words_of
 
 VOCABULARY, HASHED, CLASS_SIZE, ROOT_SHARE = 4096, 256, 64, 8
+COUNTED = 65_536  # words after the vocabulary whose counts the tasks know without a join
 WIDTH, OFFSETS = 16, (-2, -1, 1, 2)
 BATCH, RATE = 4096, 0.1
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _CHUNK, _TOGETHER, _SEED = 16_384, 64, 5
+_SCORED, _BLOCK, _BUNDLE, _LARGE = 16_384, 1024, 16, 60  # words scored at once; rows, classes of a block; logits that need a shift
 
 
 def _shapes(outputs: int) -> tuple:
-    """Name, shape and spread of the parameters, in the order in which they are laid out. The last row of ``embed`` is the pad."""
+    """Name and shape of the parameters, in the order in which they are laid out. The last row of ``embed`` is the pad; the last
+    of the ``WIDTH + 1`` rows of weights is the bias."""
     classes = outputs // CLASS_SIZE
     return (
-        ("embed", (len(OFFSETS), outputs + 1, WIDTH), 0.1),
-        ("class_w", (WIDTH, classes), 0.1),
-        ("class_b", (classes,), 0.0),
-        ("word_w", (classes, WIDTH, CLASS_SIZE), 0.1),
-        ("word_b", (classes, CLASS_SIZE), 0.0),
+        ("embed", (len(OFFSETS), outputs + 1, WIDTH)),
+        ("classes", (WIDTH + 1, classes)),
+        ("words", (classes, WIDTH + 1, CLASS_SIZE)),
     )
 
 
@@ -63,83 +65,151 @@ class Network:
 
     def __init__(self, flat: np.ndarray, outputs: int = VOCABULARY + HASHED):
         self.flat, self.outputs, self.parts, at = flat, outputs, {}, 0
-        for name, shape, _ in _shapes(outputs):
+        for name, shape in _shapes(outputs):
             size = int(np.prod(shape))
             self.parts[name] = flat[at : at + size].reshape(shape)
             at += size
 
     @staticmethod
     def fresh(outputs: int = VOCABULARY + HASHED) -> Network:
-        rng, shapes = np.random.default_rng(_SEED), _shapes(outputs)
-        flat = np.concatenate([(s * rng.standard_normal(int(np.prod(n)))).astype(np.float32) for _, n, s in shapes])
-        return Network(flat, outputs)
+        rng, sizes = np.random.default_rng(_SEED), [int(np.prod(shape)) for _, shape in _shapes(outputs)]
+        net = Network(np.zeros(sum(sizes), dtype=np.float32), outputs)
+        embed, classes, words = net.parts.values()
+        embed[:] = 0.1 * rng.standard_normal(embed.shape)
+        classes[:] = 0.1 * rng.standard_normal(classes.shape)
+        words[:, :WIDTH] = 0.1 * rng.standard_normal((len(words), WIDTH, CLASS_SIZE))
+        classes[WIDTH] = 0
+        return net
 
     def hidden(self, context: np.ndarray) -> np.ndarray:
-        return np.tanh(sum(self.parts["embed"][j][context[:, j]] for j in range(len(OFFSETS))))
+        """With a column of ones, which meets the bias."""
+        h = np.ones((len(context), WIDTH + 1), dtype=np.float32)
+        total = self.parts["embed"][0].take(context[:, 0], axis=0)
+        for j in range(1, len(OFFSETS)):
+            total += self.parts["embed"][j].take(context[:, j], axis=0)
+        np.tanh(total, out=h[:, :WIDTH])
+        return h
 
     def log_probability(self, context: np.ndarray, target: np.ndarray) -> np.ndarray:
         """Of each target word given its context of four."""
-        h = self.hidden(context)
-        group, place = target // CLASS_SIZE, target % CLASS_SIZE
-        out = _log_softmax(h @ self.parts["class_w"] + self.parts["class_b"])[np.arange(len(h)), group].astype(np.float64)
-        for c, rows in _by_class(group):
-            logits = h[rows] @ self.parts["word_w"][c] + self.parts["word_b"][c]
-            out[rows] += _log_softmax(logits)[np.arange(len(rows)), place[rows]]
+        order = _order(target, self.outputs)
+        h, sorted_ = self.hidden(context[order]), target[order]
+        group, place, rows = sorted_ // CLASS_SIZE, sorted_ % CLASS_SIZE, np.arange(len(sorted_))
+        found = np.empty(len(h))
+        for at in range(0, len(h), _BLOCK):
+            found[at : at + _BLOCK] = _log_share(h[at : at + _BLOCK] @ self.parts["classes"], group[at : at + _BLOCK])
+        logits = np.empty((len(h), CLASS_SIZE), dtype=np.float32)
+        for c, some in _runs(group):
+            np.matmul(h[some], self.parts["words"][c], out=logits[some])
+        found += _log_share(logits, place)
+        out = np.empty(len(rows))
+        out[order] = found
         return out
 
     def learn(self, context: np.ndarray, target: np.ndarray, squares: Network) -> None:
         """One step of Adagrad on a batch; ``squares`` collects the squared gradients."""
-        n = len(target)
-        order = np.argsort(target, kind="stable")
+        n, classes = len(target), self.parts["classes"]
+        order = _order(target, self.outputs)
         context, target = context[order], target[order]
         h = self.hidden(context)
         group, place = target // CLASS_SIZE, target % CLASS_SIZE
-        d = _softmax(h @ self.parts["class_w"] + self.parts["class_b"])
-        d[np.arange(n), group] -= 1
-        dh = d @ self.parts["class_w"].T
-        self._step("class_w", ..., h.T @ d / n, squares)
-        self._step("class_b", ..., d.sum(0) / n, squares)
-        found, first = np.unique(group, return_index=True)
-        for c, start, end in zip(found.tolist(), first.tolist(), [*first[1:].tolist(), n], strict=True):
-            some = h[start:end]
-            dw = _softmax(some @ self.parts["word_w"][c] + self.parts["word_b"][c])
-            dw[np.arange(end - start), place[start:end]] -= 1
-            dh[start:end] += dw @ self.parts["word_w"][c].T
-            self._step("word_w", c, some.T @ dw / n, squares)
-            self._step("word_b", c, dw.sum(0) / n, squares)
-        dh = (dh * (1 - h * h) / n).astype(np.float32)
+        dh, gradient, back = np.empty((n, WIDTH), dtype=np.float32), np.zeros_like(classes), classes[:WIDTH].T.copy()
+        for at in range(0, n, _BLOCK):
+            some = slice(at, at + _BLOCK)
+            d = _surplus(h[some] @ classes, group[some])
+            np.matmul(d, back, out=dh[some])
+            gradient += h[some].T @ d
+        self._step(("classes", ...), ..., gradient / n, squares)
+        runs = list(_runs(group))
+        for at in range(0, len(runs), _BUNDLE):
+            self._learn_words(h, runs[at : at + _BUNDLE], place, dh, squares)
+        dh *= (1 - h[:, :WIDTH] * h[:, :WIDTH]) / n
         for j in range(len(OFFSETS)):
-            order = np.argsort(context[:, j], kind="stable")
-            seen, first = np.unique(context[order, j], return_index=True)
-            self._step("embed", (j, seen), np.add.reduceat(dh[order], first, axis=0), squares)
-
-    def _step(self, name: str, at, gradient: np.ndarray, squares: Network) -> None:
-        past = squares.parts[name][at] + gradient * gradient
-        squares.parts[name][at] = past
-        self.parts[name][at] -= RATE * gradient / (np.sqrt(past) + 1e-6)
-
-
-def _log_softmax(x: np.ndarray) -> np.ndarray:
-    x = x - x.max(axis=1, keepdims=True)
-    return x - np.log(np.exp(x).sum(axis=1, keepdims=True))
-
-
-def _softmax(x: np.ndarray) -> np.ndarray:
-    x = np.exp(x - x.max(axis=1, keepdims=True))
-    return x / x.sum(axis=1, keepdims=True)
-
-
-def _by_class(group: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-    order = np.argsort(group, kind="stable")
-    found, first = np.unique(group[order], return_index=True)
-    yield from zip(found.tolist(), np.split(order, first[1:]), strict=True)
+            order = _order(context[:, j], self.outputs + 1)
+            seen = context[:, j].take(order)
+            first = _starts(seen)
+            self._step(("embed", j), seen.take(first), np.add.reduceat(dh.take(order, axis=0), first, axis=0), squares)
+
+    def _learn_words(self, h: np.ndarray, runs: list[tuple[int, slice]], place: np.ndarray, dh: np.ndarray, squares: Network) -> None:
+        """The words of a few classes, small enough together for a processor's cache; their share is added to ``dh``."""
+        words, start, end = self.parts["words"], runs[0][1].start, runs[-1][1].stop
+        d = np.empty((end - start, CLASS_SIZE), dtype=np.float32)
+        across, gradient = np.empty((end - start, WIDTH), dtype=np.float32), np.empty((len(runs), WIDTH + 1, CLASS_SIZE), dtype=np.float32)
+        inner = [slice(some.start - start, some.stop - start) for _, some in runs]
+        for (c, some), here in zip(runs, inner, strict=True):
+            np.matmul(h[some], words[c], out=d[here])
+        _surplus(d, place[start:end])
+        for i, ((c, some), here) in enumerate(zip(runs, inner, strict=True)):
+            np.matmul(d[here], words[c, :WIDTH].T, out=across[here])
+            np.matmul(h[some].T, d[here], out=gradient[i])
+        dh[start:end] += across
+        gradient /= len(h)
+        first, last = runs[0][0], runs[-1][0]
+        at = slice(first, last + 1) if last - first + 1 == len(runs) else [c for c, _ in runs]
+        self._step(("words", ...), at, gradient, squares)
+
+    def _step(self, part: tuple, at, gradient: np.ndarray, squares: Network) -> None:
+        name, j = part
+        weights, sums = self.parts[name][j], squares.parts[name][j]
+        past = gradient * gradient
+        past += sums[at]
+        sums[at] = past
+        np.sqrt(past, out=past)
+        past += 1e-6
+        np.divide(gradient, past, out=past)
+        past *= RATE
+        weights[at] -= past
+
+
+def _order(ids: np.ndarray, limit: int) -> np.ndarray:
+    """A stable order; numbers of 16 bits are sorted by radix."""
+    return np.argsort(ids.astype(np.uint16) if limit <= 1 << 16 else ids, kind="stable")
+
+
+def _starts(sorted_: np.ndarray) -> np.ndarray:
+    """Where each run of equal values begins."""
+    return np.flatnonzero(np.concatenate([[True], sorted_[1:] != sorted_[:-1]])[: len(sorted_)])
+
+
+def _runs(sorted_: np.ndarray) -> Iterator[tuple[int, slice]]:
+    first = _starts(sorted_)
+    ends = [*first[1:].tolist(), len(sorted_)]
+    for c, start, end in zip(sorted_[first].tolist(), first.tolist(), ends, strict=False):
+        yield c, slice(start, end)
+
+
+def _bounded(logits: np.ndarray) -> np.ndarray:
+    """The same up to a shift of each row, if there are any that a float's ``exp`` might not hold; in place."""
+    if max(logits.max(initial=0), -logits.min(initial=0)) > _LARGE:
+        logits -= logits.max(axis=1, keepdims=True)
+    return logits
+
+
+def _sums(rows: np.ndarray) -> np.ndarray:
+    return rows @ np.ones(rows.shape[1], dtype=rows.dtype)
+
+
+def _surplus(logits: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Softmax less one at the right place of each row, in place."""
+    d = np.exp(_bounded(logits), out=logits)
+    d *= (1 / _sums(d))[:, None]
+    d[np.arange(len(d)), right] -= 1
+    return d
+
+
+def _log_share(logits: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Logarithm of the softmax at the right place of each row; ``logits`` are overwritten."""
+    own = _bounded(logits)[np.arange(len(logits)), right].astype(np.float64)
+    return own - np.log(_sums(np.exp(logits, out=logits)).astype(np.float64))
 
 
 @dataclass
 class Vocabulary:
-    """The frequent words by number; groups of all others by their hash, each with the sum of its words' counts."""
+    """The frequent words by number; the counts of the next ones; groups of all others than the frequent by their hash, each with
+    the sum of its words' counts."""
 
     words: list[str]
+    counted: dict[str, int]
     groups: list[int]
     outputs: int
 
@@ -150,51 +220,74 @@ def count_words(docs: DataFrame, text: str = "text") -> DataFrame:
 
 
 def vocabulary(counts: DataFrame) -> tuple[Vocabulary, DataFrame]:
-    """The frequent words, ties by the word, and the counts of all others."""
+    """The frequent words, ties by the word, and the counts of those that it does not hold."""
     total = counts.agg(F.coalesce(F.sum("count"), F.lit(0))).first()[0]
     often = counts.where(F.col("count") >= max(2, math.ceil(math.sqrt(total) / ROOT_SHARE))).count()
     size = max(VOCABULARY, -(-often // CLASS_SIZE) * CLASS_SIZE)
-    top = counts.orderBy(F.desc("count"), "w").limit(size).collect()
-    rest = counts.where("false")
-    if len(top) == size:
-        n, w = F.lit(top[-1]["count"]), F.lit(top[-1]["w"])
-        rest = counts.where((F.col("count") < n) | ((F.col("count") == n) & (F.col("w") > w)))
+    top = counts.orderBy(F.desc("count"), "w").limit(size + COUNTED).collect()
+
+    def after(held: int) -> DataFrame:
+        if len(top) < held:
+            return counts.where("false")
+        n, w = F.lit(top[held - 1]["count"]), F.lit(top[held - 1]["w"])
+        return counts.where((F.col("count") < n) | ((F.col("count") == n) & (F.col("w") > w)))
+
     groups = [0] * HASHED
     group = F.pmod(F.crc32(F.col("w").cast("binary")), F.lit(HASHED))
-    for r in rest.groupBy(group.alias("g")).agg(F.sum("count").alias("n")).collect():
+    for r in after(size).groupBy(group.alias("g")).agg(F.sum("count").alias("n")).collect():
         groups[r["g"]] = r["n"]
-    return Vocabulary([r["w"] for r in top], groups, size + HASHED), rest
+    counted = {r["w"]: r["count"] for r in top[size:]}
+    return Vocabulary([r["w"] for r in top[:size]], counted, groups, size + HASHED), after(size + COUNTED)
 
 
 class Numbering(dict):
-    """Word to number; words outside the vocabulary get a hashed group."""
+    """Word to number; words that the vocabulary only counts are numbered after its outputs, all others get a hashed group."""
 
     def __init__(self, known: Vocabulary):
         super().__init__((w, i) for i, w in enumerate(known.words))
         self.first = known.outputs - HASHED
+        self.update((w, known.outputs + i) for i, w in enumerate(known.counted))
 
     def __missing__(self, word: str) -> int:
         return self.first + zlib.crc32(word.encode()) % HASHED
 
+    def outputs(self, known: Vocabulary) -> np.ndarray:
+        """The network's output for each number."""
+        return np.array([*range(known.outputs), *map(self.__missing__, known.counted)], dtype=np.int32)
+
+
+def _offsets(ends) -> pa.Array:
+    """Of lists that end there; more than 2**31 entries are refused."""
+    return pa.array([0, *ends], pa.int32())
+
 
 def _numbered(known: Vocabulary):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number, row = Numbering(known), TaskContext.get().partitionId() << 33
+        output, logs = number.outputs(known), np.zeros(known.outputs + len(known.counted))
+        logs[known.outputs :] = np.log([*known.counted.values()])
         for batch in batches:
             for start in range(0, batch.num_rows, 256):
                 part = batch.slice(start, 256)
-                ids, rest = [], []
+                found, rare, counts, ends = [], [], [], []
                 for text in part.column(1).to_pylist():
                     words = _WORD.findall(text)
-                    ids.append(np.fromiter(map(number.__getitem__, words), np.int32, len(words)))
-                    rare = Counter(map(words.__getitem__, np.flatnonzero(ids[-1] >= number.first).tolist()))
-                    rest.append([{"w": w, "n": n} for w, n in rare.items()])
+                    found.append(np.fromiter(map(number.__getitem__, words), np.int32, len(words)))
+                    beyond = np.flatnonzero((found[-1] >= number.first) & (found[-1] < known.outputs))
+                    rest = Counter(map(words.__getitem__, beyond.tolist()))
+                    rare.extend(rest)
+                    counts.extend(rest.values())
+                    ends.append(len(rare))
+                sizes, found = [len(x) for x in found], np.concatenate(found)
+                adds = np.bincount(np.repeat(np.arange(len(sizes)), sizes), logs[found], len(sizes))
+                rest = pa.StructArray.from_arrays([pa.array(rare, pa.string()), pa.array(counts, pa.int64())], names=["w", "n"])
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(range(row, row + part.num_rows), pa.int64()), part.column(0), pa.array(ids, pa.list_(pa.int32())),
-                        pa.array(rest, pa.list_(pa.struct([("w", pa.string()), ("n", pa.int64())]))),
+                        pa.array(range(row, row + part.num_rows), pa.int64()), part.column(0),
+                        pa.ListArray.from_arrays(_offsets(np.cumsum(sizes)), pa.array(output[found])),
+                        pa.array(adds, pa.float64()), pa.ListArray.from_arrays(_offsets(ends), rest),
                     ],
-                    names=["row", "doc_id", "ids", "rest"],
+                    names=["row", "doc_id", "ids", "add", "rest"],
                 )
                 row += part.num_rows
 
@@ -202,9 +295,10 @@ def _numbered(known: Vocabulary):
 
 
 def numbered(docs: DataFrame, known: Vocabulary, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per row, stored: a number of its own, ``doc_id``, the numbers of its words, and its words outside the vocabulary."""
+    """Per row, stored: a number of its own, ``doc_id``, the numbers of its words, the summed logarithms of the counts that the
+    vocabulary holds of the words after the frequent ones, and the words beyond, which it does not hold."""
     rows = docs.select(F.col(f"`{key}`").cast("long").alias("doc_id"), text_or_empty(text).alias("text"))
-    schema = "row long, doc_id long, ids array<int>, rest array<struct<w: string, n: bigint>>"
+    schema = "row long, doc_id long, ids array<int>, add double, rest array<struct<w: string, n: bigint>>"
     return stored(rows.mapInArrow(_numbered(known), schema), "numbered")
 
 
@@ -274,19 +368,19 @@ def score_texts(texts: pa.ListArray, net: Network, shares: np.ndarray) -> tuple[
     """Words and summed log-probability of each text; ``shares`` is added by number of a word."""
     ids, places, owner = windows(texts, net.outputs)
     total = np.zeros(len(texts))
-    for at in range(0, len(places), BATCH):
-        some = places[at : at + BATCH]
+    for at in range(0, len(places), _SCORED):
+        some = places[at : at + _SCORED]
         found = net.log_probability(_context(ids, some), ids[some]) + shares[ids[some]]
-        total += np.bincount(owner[at : at + BATCH], found, len(texts))
+        total += np.bincount(owner[at : at + _SCORED], found, len(texts))
     return np.bincount(owner, minlength=len(texts)), total
 
 
-def _score(known: Vocabulary, flat: np.ndarray | None):
+def _score(groups: list[int], outputs: int, flat: np.ndarray | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        net = None if flat is None else Network(flat.copy(), known.outputs)
-        # A word of a group has count(word) / count(group); the upper part comes from the count table.
-        shares = np.zeros(known.outputs)
-        shares[-HASHED:] = -np.log(np.maximum(known.groups, 1))
+        net = None if flat is None else Network(flat.copy(), outputs)
+        # A word of a group has count(word) / count(group); the upper part comes with the row or from the count table.
+        shares = np.zeros(outputs)
+        shares[-HASHED:] = -np.log(np.maximum(groups, 1))
         for batch in batches:
             for start in range(0, batch.num_rows, 64):
                 part = batch.slice(start, 64)
@@ -295,15 +389,15 @@ def _score(known: Vocabulary, flat: np.ndarray | None):
                 else:
                     n, total = score_texts(part.column(2), net, shares)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), part.column(1), pa.array(n), pa.array(total)], names=["row", "doc_id", "n_tokens", "total"]
+                    [part.column(0), part.column(1), pa.array(n), pa.array(total + part.column(3).to_numpy())], names=["row", "doc_id", "n_tokens", "total"]
                 )
 
     return run
 
 
 def rest_sums(rows: DataFrame, rest: DataFrame) -> DataFrame:
-    """``row, add``: the summed logarithms of the counts of a row's words outside the vocabulary. A word counted once adds
-    nothing; none is hot, as the hot ones are in the vocabulary."""
+    """``row, add``: the summed logarithms of the counts of a row's words that the vocabulary does not hold. A word counted once
+    adds nothing; none is hot, as the hot ones are in the vocabulary."""
     words = rows.select("row", F.inline("rest")).join(rest.where("count > 1"), "w")
     return words.groupBy("row").agg(F.sum(F.col("n") * F.log(F.col("count").cast("double"))).alias("add"))
 
@@ -313,8 +407,8 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
     known, rest = vocabulary(count_words(docs, text))
     rows = numbered(docs, known, key, text)
     flat = train(rows, known.outputs)
-    scores = rows.select("row", "doc_id", "ids").mapInArrow(
-        _score(known, flat), "row long, doc_id long, n_tokens long, total double"
+    scores = rows.select("row", "doc_id", "ids", "add").mapInArrow(
+        _score(known.groups, known.outputs, flat), "row long, doc_id long, n_tokens long, total double"
     )
     scores = scores.join(rest_sums(rows, rest), "row", "left")
     whole = (F.col("total") + F.coalesce("add", F.lit(0.0))).alias("log_likelihood")
