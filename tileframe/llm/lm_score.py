@@ -8,7 +8,7 @@ log-probabilities of its words, and the probabilities of all words of the corpus
 All words are counted in a stored table. The network has an output for each of the most frequent words: ``VOCABULARY``, or as
 many as are counted at least ``sqrt(tokens) / ROOT_SHARE`` times if these are more, so that it grows with the root of the
 corpus. Other words meet the network as one of ``HASHED`` groups, and have their share of the group's count as
-probability within the group; the tasks know the counts of the next ``COUNTED`` words, and the sums of the logarithms of all
+probability within the group; the tasks know the counts of up to ``COUNTED`` next words, and the sums of the logarithms of all
 others come from a join with the count table, so no word is cut off.
 
 Texts are numbered once, and the numbers stored. Training is data parallel: each task starts from the same seeded network
@@ -41,12 +41,12 @@ from pyspark.sql import functions as F
 from tileframe.llm.common import stored, text_or_empty, words_of
 
 VOCABULARY, HASHED, CLASS_SIZE, ROOT_SHARE = 4096, 256, 64, 8
-COUNTED = 65_536  # words after the vocabulary whose counts the tasks know without a join
+COUNTED = 131_072  # at most so many words after the vocabulary whose counts the tasks know without a join
 WIDTH, OFFSETS = 16, (-2, -1, 1, 2)
 BATCH, RATE = 4096, 0.1
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _CHUNK, _TOGETHER, _SEED = 16_384, 64, 5
-_SCORED, _BLOCK, _BUNDLE, _LARGE = 16_384, 1024, 16, 60  # words scored at once; rows, classes of a block; logits that need a shift
+_SCORED, _BLOCK, _BUNDLE, _LARGE = 8192, 1024, 16, 60  # words scored at once; rows, classes of a block; logits that need a shift
 
 
 def _shapes(outputs: int) -> tuple:
@@ -128,7 +128,9 @@ class Network:
             order = _order(context[:, j], self.outputs + 1)
             seen = context[:, j].take(order)
             first = _starts(seen)
-            self._step(("embed", j), seen.take(first), np.add.reduceat(dh.take(order, axis=0), first, axis=0), squares)
+            # Pairs of floats are added as one complex number: the same sums in half the steps.
+            sums = np.add.reduceat(dh.take(order, axis=0).view(np.complex64), first, axis=0).view(np.float32)
+            self._step(("embed", j), seen.take(first), sums, squares)
 
     def _learn_words(self, h: np.ndarray, runs: list[tuple[int, slice]], place: np.ndarray, dh: np.ndarray, squares: Network) -> None:
         """The words of a few classes, small enough together for a processor's cache; their share is added to ``dh``."""
@@ -151,14 +153,15 @@ class Network:
     def _step(self, part: tuple, at, gradient: np.ndarray, squares: Network) -> None:
         name, j = part
         weights, sums = self.parts[name][j], squares.parts[name][j]
+        several = isinstance(at, np.ndarray)
         past = gradient * gradient
-        past += sums[at]
+        past += sums.take(at, axis=0) if several else sums[at]
         sums[at] = past
         np.sqrt(past, out=past)
         past += 1e-6
         np.divide(gradient, past, out=past)
         past *= RATE
-        weights[at] -= past
+        weights[at] = (weights.take(at, axis=0) if several else weights[at]) - past
 
 
 def _order(ids: np.ndarray, limit: int) -> np.ndarray:
@@ -220,24 +223,33 @@ def count_words(docs: DataFrame, text: str = "text") -> DataFrame:
 
 
 def vocabulary(counts: DataFrame) -> tuple[Vocabulary, DataFrame]:
-    """The frequent words, ties by the word, and the counts of those that it does not hold."""
-    total = counts.agg(F.coalesce(F.sum("count"), F.lit(0))).first()[0]
-    often = counts.where(F.col("count") >= max(2, math.ceil(math.sqrt(total) / ROOT_SHARE))).count()
-    size = max(VOCABULARY, -(-often // CLASS_SIZE) * CLASS_SIZE)
-    top = counts.orderBy(F.desc("count"), "w").limit(size + COUNTED).collect()
-
-    def after(held: int) -> DataFrame:
-        if len(top) < held:
-            return counts.where("false")
-        n, w = F.lit(top[held - 1]["count"]), F.lit(top[held - 1]["w"])
-        return counts.where((F.col("count") < n) | ((F.col("count") == n) & (F.col("w") > w)))
+    """The frequent words, ties by the word, and the counts of those that it does not hold.
 
+    The driver gets the number of words by count, of which there are at most about the root of twice the tokens, and no more words
+    than the vocabulary holds; only if the last frequent ones tie does a part send as many."""
+    by_count = sorted((r["count"], r["words"]) for r in counts.groupBy("count").agg(F.count("*").alias("words")).collect())[::-1]
+    least = max(2, math.ceil(math.sqrt(sum(n * words for n, words in by_count)) / ROOT_SHARE))
+    often = sum(words for n, words in by_count if n >= least)
+    size = max(VOCABULARY, -(-often // CLASS_SIZE) * CLASS_SIZE)
+    held, last, known = 0, 1, math.inf  # the least count of a frequent word, and that of a counted one
+    for n, words in by_count:
+        if held < size:
+            last = n
+        held += words
+        if held <= size + COUNTED:
+            known = n
+    top = counts.where(F.col("count") >= last).orderBy(F.desc("count"), "w").limit(size).collect()
+    others = counts.where("false")
+    if len(top) == size:
+        n, w = F.lit(top[-1]["count"]), F.lit(top[-1]["w"])
+        others = counts.where((F.col("count") < n) | ((F.col("count") == n) & (F.col("w") > w)))
     groups = [0] * HASHED
     group = F.pmod(F.crc32(F.col("w").cast("binary")), F.lit(HASHED))
-    for r in after(size).groupBy(group.alias("g")).agg(F.sum("count").alias("n")).collect():
+    for r in others.groupBy(group.alias("g")).agg(F.sum("count").alias("n")).collect():
         groups[r["g"]] = r["n"]
-    counted = {r["w"]: r["count"] for r in top[size:]}
-    return Vocabulary([r["w"] for r in top[:size]], counted, groups, size + HASHED), after(size + COUNTED)
+    counted = {r["w"]: r["count"] for r in others.where(F.col("count") >= known).collect()} if known < math.inf else {}
+    rest = others.where(F.col("count") < known) if known < math.inf else others
+    return Vocabulary([r["w"] for r in top], counted, groups, size + HASHED), rest
 
 
 class Numbering(dict):
