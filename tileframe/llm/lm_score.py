@@ -41,12 +41,12 @@ from pyspark.sql import functions as F
 from tileframe.llm.common import stored, text_or_empty, words_of
 
 VOCABULARY, HASHED, CLASS_SIZE, ROOT_SHARE = 4096, 256, 64, 8
-COUNTED = 131_072  # at most so many words after the vocabulary whose counts the tasks know without a join
+COUNTED = 65_536  # at most so many words after the vocabulary whose counts the tasks know without a join
 WIDTH, OFFSETS = 16, (-2, -1, 1, 2)
 BATCH, RATE = 4096, 0.1
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _CHUNK, _TOGETHER, _SEED = 16_384, 64, 5
-_SCORED, _BLOCK, _BUNDLE, _LARGE = 8192, 1024, 16, 60  # words scored at once; rows, classes of a block; logits that need a shift
+_SCORED, _BLOCK, _BUNDLE, _LARGE = 16_384, 1024, 16, 60  # words scored at once; rows, classes of a block; logits that need a shift
 
 
 def _shapes(outputs: int) -> tuple:
